@@ -1,9 +1,9 @@
-"""Lenient text-to-value expressions with the meaning of a pandas CSV read."""
+"""Lenient text-to-value expressions with the meaning of a pandas CSV read.
 
-from __future__ import annotations
+The expressions are SQL text over a column name: a wide table is then cleaned in one ``selectExpr``.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # Texts that a pandas CSV read takes as missing, and the marker of the wide file.
 NULL_TOKENS = (
@@ -29,34 +29,35 @@ NULL_TOKENS = (
     "\\N",
 )
 
-# Fixed value: decimal notation with an optional exponent. Java also reads '1d' and '0x1p3'.
+# Decimal notation with an optional exponent, and infinity. A plain cast would also
+# take Java's own notations, '1d' among them.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INFINITY_PATTERN = r"^\s*[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?\s*$"
 
+_TOKEN_LIST = ", ".join("'" + token.replace("\\", "\\\\") + "'" for token in NULL_TOKENS)
+
 
-def null_if_token(column: Column) -> Column:
+def null_if_token(column: str) -> str:
     """Null for a missing-value token, the text itself otherwise."""
-    return F.when(~column.isin(*NULL_TOKENS), column)
+    return f"if({column} IN ({_TOKEN_LIST}), NULL, {column})"
 
 
-def to_number(column: Column) -> Column:
+def to_number(column: str) -> str:
     """Double, or null where the text holds no number."""
-    text = column.cast("string")
-    readable = text.rlike(NUMBER_PATTERN) | text.rlike(INFINITY_PATTERN)
-    return F.when(readable, F.trim(text).try_cast("double"))
+    readable = f"{column} RLIKE r'{NUMBER_PATTERN}' OR {column} RLIKE r'{INFINITY_PATTERN}'"
+    return f"if({readable}, try_cast(trim({column}) AS DOUBLE), NULL)"
 
 
-def to_whole(column: Column, kind: str = "long") -> Column:
+def to_whole(column: str, kind: str = "bigint") -> str:
     """Whole number, or null; ``3.0`` counts as 3 because a nullable count is read as a double.
 
     Plain digits are cast as they are, so that an id above 2**53 keeps its last digits.
     """
-    text = F.trim(column.cast("string"))
+    digits = f"if({column} RLIKE r'^\\s*[+-]?\\d+\\s*$', try_cast(trim({column}) AS {kind}), NULL)"
     number = to_number(column)
-    through_double = F.when(number == F.floor(number), number.try_cast(kind))
-    return F.coalesce(F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast(kind)), through_double)
+    return f"coalesce({digits}, if({number} % 1 = 0, try_cast({number} AS {kind}), NULL))"
 
 
-def to_day(column: Column) -> Column:
+def to_day(column: str) -> str:
     """Date, or null where the text holds none."""
-    return column.try_cast("date")
+    return f"try_cast({column} AS DATE)"

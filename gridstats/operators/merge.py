@@ -73,7 +73,6 @@ def merge_new(
     target: DataFrame,
     spec: MergeSpec,
     parents: Mapping[str, DataFrame] | None = None,
-    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The rows to append to ``target``.
 
@@ -92,8 +91,8 @@ def merge_new(
             spec.order_by,
             highest_id(target, spec.id_column),
         )
-    kinds = {f.name: f.dataType for f in target.schema}
-    return rows.select(*[F.col(c).cast(kinds[c]) for c in spec.columns])
+    kinds = dict(target.dtypes)
+    return rows.selectExpr(*[f"CAST(`{c}` AS {kinds[c]}) AS `{c}`" for c in spec.columns])
 
 
 def merge_rejects(

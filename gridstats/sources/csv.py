@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.parsing import null_if_token, to_day, to_number, to_whole
-from ..schemas import COERCED_COLUMNS, DROPPED_COLUMNS, ORDER_COLUMN, wide_text_schema, wide_types
+from ..schemas import COERCED_COLUMNS, DROPPED_COLUMNS, wide_text_schema, wide_types
 
 
 def read_wide_csv(
@@ -38,16 +38,18 @@ def write_csv(df: DataFrame, path: str) -> None:
 def replace_null_tokens(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Null for every missing-value token in the text columns, in one projection."""
     chosen = set(columns) if columns is not None else {n for n, t in df.dtypes if t == "string"}
-    return df.select(
-        *[null_if_token(F.col(c)).alias(c) if c in chosen else F.col(c) for c in df.columns]
-    )
+    return _each_column(df, {c: null_if_token for c in chosen})
 
 
 def coerce_numeric(df: DataFrame, columns: Iterable[str] = COERCED_COLUMNS) -> DataFrame:
     """Double, or null where the text holds no number, in the given columns."""
-    chosen = set(columns)
-    return df.select(
-        *[to_number(F.col(c)).alias(c) if c in chosen else F.col(c) for c in df.columns]
+    return _each_column(df, {c: to_number for c in columns})
+
+
+def _each_column(df: DataFrame, readers: Mapping[str, Callable[[str], str]]) -> DataFrame:
+    quoted = {c: f"`{c}`" for c in df.columns}
+    return df.selectExpr(
+        *[f"{readers[c](q)} AS {q}" if c in readers else q for c, q in quoted.items()]
     )
 
 
@@ -61,16 +63,12 @@ def clean_wide(text: DataFrame) -> DataFrame:
     Missing-value tokens become null, unreadable numbers become null, and the columns that nothing
     needs are gone. Only columns that ``text`` has are touched.
     """
-    kinds = wide_types()
     readers = {
-        T.LongType(): lambda c: to_whole(c, "long"),
-        T.IntegerType(): lambda c: to_whole(c, "int"),
+        T.LongType(): to_whole,
+        T.IntegerType(): partial(to_whole, kind="int"),
         T.DoubleType(): to_number,
         T.DateType(): to_day,
-        T.StringType(): lambda c: c,
     }
     kept = [c for c in text.columns if c not in DROPPED_COLUMNS]
-    return replace_null_tokens(text.select(*kept)).select(
-        *[readers[kinds.get(c, T.StringType())](F.col(c)).alias(c) for c in kept]
-    )
-
+    typed = {c: readers[t] for c, t in wide_types().items() if t in readers}
+    return _each_column(replace_null_tokens(text.select(*kept)), typed)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .roles import Roles, lap_text, pit_clock
+from .roles import LAP_TEXT, PIT_CLOCK, Roles
 
 ENTITIES_PER_DOCUMENT = 30
 ORDERS_PER_DOCUMENT = 50
@@ -180,7 +180,7 @@ def laps_documents(roles: Roles) -> DataFrame:
     timing = F.struct(
         F.col("ref").alias("driverId"),
         (F.col("l_suppkey") % 20 + 1).cast("string").alias("position"),
-        lap_text().alias("time"),
+        F.expr(LAP_TEXT).alias("time"),
     )
     lap = F.struct(_text("l_linenumber").alias("number"), F.array(timing).alias("Timings"))
     rows = _orders_with_lines(roles, lap, "Laps")
@@ -196,7 +196,7 @@ def pit_documents(roles: Roles) -> DataFrame:
         F.col("ref").alias("driverId"),
         _text("l_linenumber").alias("stop"),
         (F.col("l_partkey") % 50 + 1).cast("string").alias("lap"),
-        pit_clock().alias("time"),
+        F.expr(PIT_CLOCK).alias("time"),
         F.when(F.col("l_linenumber") % 2 == 0, clock).otherwise(plain).alias("duration"),
     )
     rows = _orders_with_lines(roles, stop, "PitStops")

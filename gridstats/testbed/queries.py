@@ -169,8 +169,8 @@ def drop_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 def parse_date(spark: SparkSession, folder: str) -> DataFrame:
     wide = Roles(spark, folder).wide_text()
-    days = {c: to_day(F.col(c)) for c in ("dob", "date", "quali_date", "sprint_date")}
-    return wide.select("_ord", *[day.alias(c) for c, day in days.items()])
+    days = ("dob", "date", "quali_date", "sprint_date")
+    return wide.selectExpr("_ord", *[f"{to_day(c)} AS {c}" for c in days])
 
 
 def ms_to_interval(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,25 +8,112 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import DROPPED_COLUMNS, ORDER_COLUMN, TABLES, wide_types
 from ..session import scratch_dir, stage
 
-EPOCH = "1995-01-01"
-
-
-def _day_number(day: Column) -> Column:
-    return (F.datediff(day, F.lit(EPOCH).cast("date")) + 1).cast("long")
-
-
-def _pad(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
-
-
-def _typed(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[table]])
+# The columns of the test tables that the roles are drawn from.
+_INPUTS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+        " o_orderdate TIMESTAMP_NTZ"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,"
+        " l_quantity DOUBLE, l_extendedprice DOUBLE"
+    ),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT",
+}
+
+# Day number of the order date: the race of an order.
+_DAY = "CAST(o_orderdate AS DATE)"
+_RACE = f"CAST(datediff({_DAY}, DATE '1995-01-01') + 1 AS BIGINT)"
+
+# SQL text of columns over an order. Points by finishing place.
+_PRICE = "floor(o_totalprice)"
+_PLACE = "CAST((o_orderkey * 7 + o_custkey * 3) % 12 + 1 AS INT)"
+_POINTS = f"coalesce(try_element_at(array(25, 18, 15, 12, 10, 8, 6, 4, 2, 1), {_PLACE}), 0)"
+_STATUS = "CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END"
+_STATUS_TEXT = (
+    "CASE o_orderstatus WHEN 'F' THEN 'Finished' WHEN 'O' THEN '+1 Lap' ELSE 'Collision' END"
+)
+_RESULT = {
+    "resultId": "o_orderkey",
+    "raceId": "race_no",
+    "constructorId": "o_custkey % 10",
+    "driverId": "o_custkey",
+    "constructorStandingsId": "o_orderkey",
+    "driverStandingsId": "o_orderkey",
+    "statusId": _STATUS,
+    "positionOrder": _PLACE,
+    "points": _POINTS,
+    "laps": f"{_PRICE} % 70",
+    "grid": "o_orderkey % 20 + 1",
+    "fastestLapTime": (
+        f"if(o_orderstatus = 'P', NULL, concat('1:', lpad({_PRICE} % 60, 2, '0'), '.',"
+        " lpad(o_orderkey % 1000, 3, '0')))"
+    ),
+    "fastestLapSpeed": f"if(o_orderstatus = 'P', NULL, 150 + {_PRICE} % 100)",
+    "time": f"if({_PLACE} <= 10, concat('+', {_PLACE}, '.075'), NULL)",
+    "fastestLap": "if(o_orderstatus = 'P', NULL, o_orderkey % 50 + 1)",
+}
+_DRIVER_STANDING = {
+    "driverStandingsId": "o_orderkey",
+    "driverId": "o_custkey",
+    "position_driverstandings": "o_orderkey % 20 + 1",
+    "points_driverstandings": f"{_PRICE} % 400",
+    "wins": "if(o_orderkey % 31 = 0, NULL, o_orderkey % 13)",
+}
+_TEAM_STANDING = {
+    "constructorStandingsId": "o_orderkey",
+    "constructorId": "o_custkey % 10",
+    "position_constructorstandings": "o_orderkey % 10 + 1",
+    "wins_constructorstandings": "if(o_orderkey % 3001 = 5, NULL, o_orderkey % 17)",
+    "points_constructorstandings": f"{_PRICE} % 400",
+}
+
+# SQL text of columns over an order line.
+PIT_CLOCK = (
+    "concat('1', l_suppkey % 10, ':', lpad(l_partkey % 60, 2, '0'), ':',"
+    " lpad(l_orderkey % 60, 2, '0'))"
+)
+_LAP_REST = "floor(l_extendedprice) % 60000"
+LAP_TEXT = (
+    f"concat('1:', lpad({_LAP_REST} DIV 1000, 2, '0'), '.', lpad({_LAP_REST} % 1000, 3, '0'))"
+)
+_STOP = {
+    "stop": "l_linenumber",
+    "lap_pitstops": "l_partkey % 50 + 1",
+    "time_pitstops": PIT_CLOCK,
+    "duration": "if(l_linenumber = 7, NULL, l_quantity)",
+}
+_LAP = {
+    "lap": "l_linenumber",
+    "time_laptimes": LAP_TEXT,
+    "milliseconds_laptimes": f"CAST({_LAP_REST} + 60000 AS DOUBLE)",
+    "position_laptimes": "l_suppkey % 20 + 1",
+}
+
+
+def _as(columns: Mapping[str, str]) -> list[str]:
+    return [f"{text} AS `{name}`" for name, text in columns.items()]
+
+
+def _typed(df: DataFrame, table: str, columns: Mapping[str, str]) -> DataFrame:
+    """The columns of a star table, by the SQL text of each, in their fixed types."""
+    return df.selectExpr(
+        *[
+            f"CAST({columns.get(f.name, f'`{f.name}`')} AS {f.dataType.simpleString()})"
+            f" AS `{f.name}`"
+            for f in TABLES[table]
+        ]
+    )
 
 
 class Roles(Mapping[str, DataFrame]):
@@ -35,6 +122,7 @@ class Roles(Mapping[str, DataFrame]):
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._built: dict[str, DataFrame] = {}
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "driverDim": self._drivers,
             "constructorDim": self._constructors,
@@ -52,7 +140,9 @@ class Roles(Mapping[str, DataFrame]):
         }
 
     def __getitem__(self, table: str) -> DataFrame:
-        return _typed(self._builders[table](), table)
+        if table not in self._built:
+            self._built[table] = self._builders[table]()
+        return self._built[table]
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
@@ -61,65 +151,61 @@ class Roles(Mapping[str, DataFrame]):
         return len(self._builders)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(_INPUTS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def orders(self) -> DataFrame:
-        day = F.col("o_orderdate").cast("date")
-        return self.read("orders").select("*", day.alias("day"), _day_number(day).alias("race_no"))
+        return self.read("orders").selectExpr("*", f"{_DAY} AS day", f"{_RACE} AS race_no")
 
-    def _nations(self) -> DataFrame:
-        return self.read("nation").join(
-            self.read("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
+    def lines(self) -> DataFrame:
+        """Every order line with its order."""
+        return self.read("lineitem").join(self.orders(), F.expr("l_orderkey = o_orderkey"))
 
     def _drivers(self) -> DataFrame:
         # one id in 89 shares its names with the id before it, one in 97 has no reference
-        owner = F.col("c_custkey") - F.when(F.col("c_custkey") % 89 == 7, 1).otherwise(0)
-        code = F.upper(F.substring("c_mktsegment", 1, 3))
-        return (
-            self.read("customer")
-            .join(self.read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.col("c_custkey").alias("driverId"),
-                F.when(owner % 97 != 50, F.concat(F.lit("driver_"), owner)).alias("driverRef"),
-                F.concat(F.lit("Forename "), owner % 13).alias("forename"),
-                F.concat(F.lit("Surname "), owner).alias("surname"),
-                F.date_add(F.lit("1970-01-01").cast("date"), (F.col("c_custkey") % 10000).cast("int")).alias("dob"),
-                F.col("n_name").alias("nationality"),
-                code.alias("code"),
-                (F.col("c_custkey") % 100).alias("number"),
-                F.concat(F.lit("http://drivers.test/"), F.col("c_custkey")).alias("url"),
-            )
+        owner = "(c_custkey - if(c_custkey % 89 = 7, 1, 0))"
+        columns = {
+            "driverId": "c_custkey",
+            "driverRef": f"if({owner} % 97 = 50, NULL, concat('driver_', {owner}))",
+            "forename": f"concat('Forename ', {owner} % 13)",
+            "surname": f"concat('Surname ', {owner})",
+            "dob": "date_add(DATE '1970-01-01', CAST(c_custkey % 10000 AS INT))",
+            "nationality": "n_name",
+            "code": "upper(substr(c_mktsegment, 1, 3))",
+            "number": "c_custkey % 100",
+            "url": "concat('http://drivers.test/', c_custkey)",
+        }
+        customers = self.read("customer").join(
+            self.read("nation"), F.expr("c_nationkey = n_nationkey")
         )
+        return _typed(customers, "driverDim", columns)
 
     def _constructors(self) -> DataFrame:
-        return (
-            self.read("supplier")
-            .join(self.read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.col("s_suppkey").alias("constructorId"),
-                F.lower(F.replace("s_name", F.lit("#"), F.lit("_"))).alias("constructorRef"),
-                F.col("s_name").alias("name"),
-                F.col("n_name").alias("nationality_constructors"),
-                F.concat(F.lit("http://teams.test/"), F.col("s_suppkey")).alias(
-                    "url_constructors"
-                ),
-            )
+        columns = {
+            "constructorId": "s_suppkey",
+            "constructorRef": "lower(replace(s_name, '#', '_'))",
+            "name": "s_name",
+            "nationality_constructors": "n_name",
+            "url_constructors": "concat('http://teams.test/', s_suppkey)",
+        }
+        suppliers = self.read("supplier").join(
+            self.read("nation"), F.expr("s_nationkey = n_nationkey")
         )
+        return _typed(suppliers, "constructorDim", columns)
 
     def _circuits(self) -> DataFrame:
-        key = F.col("n_nationkey")
-        return self._nations().select(
-            key.alias("circuitId"),
-            F.col("n_name").alias("name_y"),
-            F.lower(F.replace("n_name", F.lit(" "), F.lit("_"))).alias("circuitRef"),
-            F.col("n_name").alias("location"),
-            F.col("r_name").alias("country"),
-            (key * F.lit(1.5)).alias("lat"),
-            (key * F.lit(-2.5)).alias("lng"),
-            F.when(key % 5 != 0, key * F.lit(10.0)).alias("alt"),
-            F.concat(F.lit("http://circuits.test/"), key).alias("url_y"),
-        )
+        columns = {
+            "circuitId": "n_nationkey",
+            "name_y": "n_name",
+            "circuitRef": "lower(replace(n_name, ' ', '_'))",
+            "location": "n_name",
+            "country": "r_name",
+            "lat": "n_nationkey * 1.5D",
+            "lng": "n_nationkey * -2.5D",
+            "alt": "if(n_nationkey % 5 = 0, NULL, n_nationkey * 10)",
+            "url_y": "concat('http://circuits.test/', n_nationkey)",
+        }
+        nations = self.read("nation").join(self.read("region"), F.expr("n_regionkey = r_regionkey"))
+        return _typed(nations, "circuitDim", columns)
 
     def _races(self) -> DataFrame:
         """One race per order date, staged once per session.
@@ -129,92 +215,72 @@ class Roles(Mapping[str, DataFrame]):
         """
         key = (scratch_dir(self.spark), self.folder)
         if key not in _CALENDARS:
-            no = F.col("race_no")
+            columns = {
+                "raceId": "race_no",
+                "circuitId": "race_no % 25",
+                "name_x": "concat('Race ', race_no)",
+                "date": "day",
+                "year": "year(day)",
+                "round": "dayofyear(day)",
+                "time_races": "concat(lpad(race_no % 24, 2, '0'), ':00:00')",
+                "url_x": "concat('http://races.test/', race_no)",
+            }
             days = self.orders().select("day", "race_no").distinct()
-            _CALENDARS[key] = stage(
-                days.select(
-                    no.alias("raceId"),
-                    (no % 25).alias("circuitId"),
-                    F.concat(F.lit("Race "), no).alias("name_x"),
-                    F.col("day").alias("date"),
-                    F.year("day").alias("year"),
-                    F.dayofyear("day").alias("round"),
-                    F.concat(_pad(no % 24, 2), F.lit(":00:00")).alias("time_races"),
-                    F.concat(F.lit("http://races.test/"), no).alias("url_x"),
-                ),
-                "races",
-            )
+            _CALENDARS[key] = stage(_typed(days, "raceDim", columns), "races")
         return _CALENDARS[key]
 
     def _statuses(self) -> DataFrame:
-        return self.read("orders").select("o_orderstatus").distinct().select(
-            _status_id().alias("statusId"), _status_text().alias("status")
+        columns = {"statusId": _STATUS, "status": _STATUS_TEXT}
+        return _typed(
+            self.read("orders").select("o_orderstatus").distinct(), "raceStatusDim", columns
         )
 
     def _results(self) -> DataFrame:
-        return self.orders().select(*_named(_result_columns()))
+        return _typed(self.orders(), "raceResultsFact", _RESULT)
 
     def _driver_standings(self) -> DataFrame:
-        return self.read("orders").select(*_named(_driver_standing_columns()))
+        return _typed(self.read("orders"), "driverStandingsDim", _DRIVER_STANDING)
 
     def _constructor_standings(self) -> DataFrame:
-        return self.read("orders").select(*_named(_team_standing_columns()))
-
-    def lines(self) -> DataFrame:
-        """Every order line with its order."""
-        return self.read("lineitem").join(self.orders(), F.col("l_orderkey") == F.col("o_orderkey"))
+        return _typed(self.read("orders"), "constructorStandingsDim", _TEAM_STANDING)
 
     def _pit_stops(self) -> DataFrame:
-        return self.lines().select(
-            F.col("race_no").alias("raceId"),
-            F.col("o_custkey").alias("driverId"),
-            F.col("l_linenumber").alias("stop"),
-            (F.col("l_partkey") % 50 + 1).alias("lap_pitstops"),
-            pit_clock().alias("time_pitstops"),
-            F.when(F.col("l_linenumber") != 7, F.col("l_quantity")).alias("duration"),
-        )
+        ids = {"raceId": "race_no", "driverId": "o_custkey"}
+        return _typed(self.lines(), "pitStopsDim", {**ids, **_STOP})
 
     def _laps(self) -> DataFrame:
-        return self.lines().select(
-            F.col("race_no").alias("raceId"),
-            F.col("o_custkey").alias("driverId"),
-            F.col("l_linenumber").alias("lap"),
-            lap_text().alias("time_laptimes"),
-            lap_millis_number().alias("milliseconds_laptimes"),
-            (F.col("l_suppkey") % 20 + 1).alias("position_laptimes"),
-        )
+        ids = {"raceId": "race_no", "driverId": "o_custkey"}
+        return _typed(self.lines(), "lapsDim", {**ids, **_LAP})
 
     def _qualifying(self) -> DataFrame:
-        day = F.col("ts").cast("date")
-        clock = F.concat(_pad(F.hour("ts"), 2), F.lit(":00:00"))
-        return self.read("events").select(
-            F.dayofyear(day).alias("raceId"),
-            F.col("user_id").alias("driverId"),
-            F.when(F.col("event_id") % 7 != 0, clock).alias("quali_time"),
-            day.alias("quali_date"),
-        )
+        columns = {
+            "raceId": "dayofyear(ts)",
+            "driverId": "user_id",
+            "quali_time": "if(event_id % 7 = 0, NULL, concat(lpad(hour(ts), 2, '0'), ':00:00'))",
+            "quali_date": "CAST(ts AS DATE)",
+        }
+        return _typed(self.read("events"), "qualificationsDim", columns)
 
     def _practice(self) -> DataFrame:
-        normal = F.col("raceId") % 5 != 0
-        clock = F.concat(_pad(F.col("raceId") % 24, 2), F.lit(":30:00"))
-        return self._races().select(
-            "raceId",
-            F.date_sub("date", 2).alias("fp1_date"),
-            F.when(normal, F.date_sub("date", 1)).alias("fp2_date"),
-            F.when(normal, F.date_sub("date", 1)).alias("fp3_date"),
-            clock.alias("fp1_time"),
-            F.when(normal, clock).alias("fp2_time"),
-            F.when(normal, clock).alias("fp3_time"),
-        )
+        clock = "concat(lpad(raceId % 24, 2, '0'), ':30:00')"
+        columns = {
+            "fp1_date": "date_sub(date, 2)",
+            "fp2_date": "if(raceId % 5 = 0, NULL, date_sub(date, 1))",
+            "fp3_date": "if(raceId % 5 = 0, NULL, date_sub(date, 1))",
+            "fp1_time": clock,
+            "fp2_time": f"if(raceId % 5 = 0, NULL, {clock})",
+            "fp3_time": f"if(raceId % 5 = 0, NULL, {clock})",
+        }
+        return _typed(self._races(), "freePracticeDim", columns)
 
     def _sprints(self) -> DataFrame:
-        sprint = F.col("race_no") % 5 == 0
-        return self.orders().select(
-            F.col("race_no").alias("raceId"),
-            F.col("o_custkey").alias("driverId"),
-            F.when(sprint, F.date_sub("day", 1)).alias("sprint_date"),
-            F.when(sprint, F.lit("11:00:00")).alias("sprint_time"),
-        )
+        columns = {
+            "raceId": "race_no",
+            "driverId": "o_custkey",
+            "sprint_date": "if(race_no % 5 = 0, date_sub(day, 1), NULL)",
+            "sprint_time": "if(race_no % 5 = 0, '11:00:00', NULL)",
+        }
+        return _typed(self.orders(), "sprintDim", columns)
 
     # -- the wide file ------------------------------------------------------------------------
 
@@ -224,162 +290,46 @@ class Roles(Mapping[str, DataFrame]):
         Surname and circuit location change from row to row of one id, so that keeping the first
         row matters; a few numbers are unreadable on purpose.
         """
-        key = F.col("l_orderkey")
         driver = self["driverDim"].withColumnRenamed("number", "number_driver")
-        columns = {
-            **{f.name: F.col(f.name) for t in TABLES for f in TABLES[t]},
-            ORDER_COLUMN: key * 10 + F.col("l_linenumber"),
-            "surname": F.concat("surname", F.when(key % 3 == 0, F.lit(" jr")).otherwise("")),
-            "location": F.concat("location", F.lit(" "), key % 4),
-            "number": F.col("number_driver"),
-            "alt": F.when(F.col("circuitId") % 5 == 1, F.lit("abc"))
-            .when(F.col("circuitId") % 5 == 2, F.lit("1d"))
-            .otherwise(F.col("alt").cast("string")),
-            "duration": F.when(F.col("stop") == 6, F.lit("1:02.3")).otherwise(
-                F.col("duration").cast("string")
-            ),
-            "position": F.when(F.col("positionOrder") <= 10, F.col("positionOrder")),
-            "milliseconds": F.when(F.col("positionOrder") <= 10, F.col("milliseconds_laptimes")),
-            **{c: F.lit("x") for c in DROPPED_COLUMNS},
-        }
         per_order = {
-            **_driver_standing_columns(),
-            **_team_standing_columns(),
-            **_result_columns(),
-            "_key": F.col("o_orderkey"),
+            **_DRIVER_STANDING,
+            **_TEAM_STANDING,
+            **_RESULT,
+            "_key": "o_orderkey",
         }
-        facts = self.orders().select(*_named(per_order))
-        sprint = F.col("raceId") % 5 == 0
-        lines = self.read("lineitem").select(
-            F.col("l_orderkey").alias("_key"),
-            "l_orderkey",
-            "l_linenumber",
-            F.col("l_linenumber").alias("stop"),
-            (F.col("l_partkey") % 50 + 1).alias("lap_pitstops"),
-            pit_clock().alias("time_pitstops"),
-            F.when(F.col("l_linenumber") != 7, F.col("l_quantity")).alias("duration"),
-            F.col("l_linenumber").alias("lap"),
-            lap_text().alias("time_laptimes"),
-            lap_millis_number().alias("milliseconds_laptimes"),
-            (F.col("l_suppkey") % 20 + 1).alias("position_laptimes"),
-        )
-        clock = F.concat(_pad(F.col("raceId") % 24, 2), F.lit(":45:00"))
+        per_line = {"_key": "l_orderkey", "l_orderkey": "l_orderkey", **_STOP, **_LAP}
+        lines = self.read("lineitem").selectExpr(*_as(per_line))
+        orders = self.orders().selectExpr(*_as(per_order))
         rows = (
-            lines.join(facts, "_key")
+            lines.join(orders, "_key")
             .join(self["raceDim"], "raceId")
             .join(self["freePracticeDim"], "raceId")
             .join(self["circuitDim"], "circuitId")
             .join(self["raceStatusDim"], "statusId")
             .join(self["constructorDim"], "constructorId")
             .join(driver, "driverId")
-            .withColumn("sprint_date", F.when(sprint, F.date_sub("date", 1)))
-            .withColumn("sprint_time", F.when(sprint, F.lit("11:00:00")))
-            .withColumn("quali_date", F.when(~sprint, F.date_sub("date", 1)))
-            .withColumn("quali_time", F.when(~sprint, clock))
         )
-        return rows.select(
+        changed = {
+            ORDER_COLUMN: "l_orderkey * 10 + lap",
+            "surname": "concat(surname, if(l_orderkey % 3 = 0, ' jr', ''))",
+            "location": "concat(location, ' ', l_orderkey % 4)",
+            "number": "number_driver",
+            "alt": "CASE circuitId % 5 WHEN 1 THEN 'abc' WHEN 2 THEN '1d' ELSE string(alt) END",
+            "duration": "if(stop = 6, '1:02.3', string(duration))",
+            "sprint_date": "if(raceId % 5 = 0, date_sub(date, 1), NULL)",
+            "sprint_time": "if(raceId % 5 = 0, '11:00:00', NULL)",
+            "quali_date": "if(raceId % 5 = 0, NULL, date_sub(date, 1))",
+            "quali_time": "if(raceId % 5 = 0, NULL, concat(lpad(raceId % 24, 2, '0'), ':45:00'))",
+            "position": "if(positionOrder <= 10, positionOrder, NULL)",
+            "milliseconds": "if(positionOrder <= 10, milliseconds_laptimes, NULL)",
+            **{c: "'x'" for c in DROPPED_COLUMNS},
+        }
+        return rows.selectExpr(
             *[
-                F.coalesce(columns[c].cast("string"), F.lit("\\N")).alias(c)
+                f"coalesce(string({changed.get(c, f'`{c}`')}), '\\\\N') AS `{c}`"
                 for c in wide_types()
             ]
         )
 
 
 _CALENDARS: dict[tuple[str, str], DataFrame] = {}
-
-
-def _named(columns: Mapping[str, Column]) -> list[Column]:
-    return [column.alias(name) for name, column in columns.items()]
-
-
-def _result_columns() -> dict[str, Column]:
-    key, place = F.col("o_orderkey"), _place()
-    lapped = F.col("o_orderstatus") != "P"
-    lap_time = F.concat(F.lit("1:"), _pad(_whole_price() % 60, 2), F.lit("."), _pad(key % 1000, 3))
-    return {
-        "resultId": key,
-        "raceId": F.col("race_no"),
-        "constructorId": F.col("o_custkey") % 10,
-        "driverId": F.col("o_custkey"),
-        "constructorStandingsId": key,
-        "driverStandingsId": key,
-        "statusId": _status_id(),
-        "positionOrder": place,
-        "points": _points(place),
-        "laps": _whole_price() % 70,
-        "grid": key % 20 + 1,
-        "fastestLapTime": F.when(lapped, lap_time),
-        "fastestLapSpeed": F.when(lapped, F.lit(150.0) + _whole_price() % 100),
-        "time": F.when(place <= 10, F.concat(F.lit("+"), place, F.lit(".075"))),
-        "fastestLap": F.when(lapped, key % 50 + 1),
-    }
-
-
-def _driver_standing_columns() -> dict[str, Column]:
-    key = F.col("o_orderkey")
-    return {
-        "driverStandingsId": key,
-        "driverId": F.col("o_custkey"),
-        "position_driverstandings": key % 20 + 1,
-        "points_driverstandings": _whole_price() % 400,
-        "wins": F.when(key % 31 != 0, key % 13),
-    }
-
-
-def _team_standing_columns() -> dict[str, Column]:
-    key = F.col("o_orderkey")
-    return {
-        "constructorStandingsId": key,
-        "constructorId": F.col("o_custkey") % 10,
-        "position_constructorstandings": key % 10 + 1,
-        "wins_constructorstandings": F.when(key % 3001 != 5, key % 17),
-        "points_constructorstandings": _whole_price() % 400,
-    }
-
-
-def _whole_price() -> Column:
-    return F.floor("o_totalprice")
-
-
-def _place() -> Column:
-    return ((F.col("o_orderkey") * 7 + F.col("o_custkey") * 3) % 12 + 1).cast("int")
-
-
-def _points(place: Column) -> Column:
-    # Points by finishing place.
-    scale = (25, 18, 15, 12, 10, 8, 6, 4, 2, 1)
-    return F.coalesce(
-        F.try_element_at(F.array(*[F.lit(float(p)) for p in scale]), place), F.lit(0.0)
-    )
-
-
-def _status_id() -> Column:
-    status = F.col("o_orderstatus")
-    return F.when(status == "F", 1).when(status == "O", 2).otherwise(3)
-
-
-def _status_text() -> Column:
-    status = F.col("o_orderstatus")
-    return F.when(status == "F", "Finished").when(status == "O", "+1 Lap").otherwise("Collision")
-
-
-def pit_clock() -> Column:
-    return F.concat(
-        F.lit("1"),
-        F.col("l_suppkey") % 10,
-        F.lit(":"),
-        _pad(F.col("l_partkey") % 60, 2),
-        F.lit(":"),
-        _pad(F.col("l_orderkey") % 60, 2),
-    )
-
-
-def lap_millis_number() -> Column:
-    return F.floor("l_extendedprice") % 60000 + 60000
-
-
-def lap_text() -> Column:
-    rest = F.floor("l_extendedprice") % 60000
-    return F.concat(
-        F.lit("1:"), _pad(F.floor(rest / 1000), 2), F.lit("."), _pad(rest % 1000, 3)
-    )

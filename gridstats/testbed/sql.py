@@ -261,7 +261,400 @@ def view_statements(driver: str, driver_year: int, team_year: int) -> dict[str,
     return _view_statements(driver, driver_year, team_year)
 
 
+# -- sources, cleaning and the star split -----------------------------------------------------
+
+# The wide file, typed: one row per order line, with the drifting and unreadable values.
+WIDE = f"""{ROLES.rstrip()},
+wide AS (
+  SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS _ord, l_orderkey,
+         d.driverId, d.driverRef, d.forename,
+         d.surname || CASE WHEN l_orderkey % 3 = 0 THEN ' jr' ELSE '' END AS surname,
+         d.dob, d.nationality, d.code, d.number, d.url,
+         t.constructorId, t.constructorRef, t.name, t.nationality_constructors, t.url_constructors,
+         c.circuitId, c.name_y, c.circuitRef, c.location || ' ' || (l_orderkey % 4) AS location,
+         c.country, c.lat, c.lng, CASE WHEN c.circuitId % 5 > 2 THEN c.alt END AS alt, c.url_y,
+         s.statusId, s.status, ra.raceId, ra.name_x, ra.date, ra.year, ra.round, ra.time_races, ra.url_x,
+         CASE WHEN ra.raceId % 5 = 0 THEN CAST(ra.date - 1 AS DATE) END AS sprint_date,
+         CASE WHEN ra.raceId % 5 = 0 THEN '11:00:00' END AS sprint_time,
+         CASE WHEN ra.raceId % 5 <> 0 THEN CAST(ra.date - 1 AS DATE) END AS quali_date,
+         CASE WHEN ra.raceId % 5 <> 0 THEN lpad(CAST(ra.raceId % 24 AS VARCHAR), 2, '0') || ':45:00' END AS quali_time,
+         p.fp1_date, p.fp2_date, p.fp3_date, p.fp1_time, p.fp2_time, p.fp3_time,
+         r.driverStandingsId, ds.position_driverstandings, ds.points_driverstandings, ds.wins,
+         r.constructorStandingsId, ts.position_constructorstandings, ts.wins_constructorstandings,
+         ts.points_constructorstandings,
+         l_linenumber AS stop, CAST(l_partkey % 50 + 1 AS INTEGER) AS lap_pitstops,
+         '1' || (l_suppkey % 10) || ':' || lpad(CAST(l_partkey % 60 AS VARCHAR), 2, '0') || ':'
+             || lpad(CAST(l_orderkey % 60 AS VARCHAR), 2, '0') AS time_pitstops,
+         CASE WHEN l_linenumber < 6 THEN l_quantity END AS duration,
+         l_linenumber AS lap,
+         '1:' || lpad(CAST((lap_ms - 60000) // 1000 AS VARCHAR), 2, '0') || '.'
+              || lpad(CAST(lap_ms % 1000 AS VARCHAR), 3, '0') AS time_laptimes,
+         CAST(lap_ms AS DOUBLE) AS milliseconds_laptimes,
+         CAST(l_suppkey % 20 + 1 AS INTEGER) AS position_laptimes,
+         r.resultId, r.positionOrder, r.points, r.laps, r.grid, r.fastestLapTime, r.fastestLapSpeed,
+         r.time, r.fastestLap,
+         CASE WHEN r.positionOrder <= 10 THEN CAST(r.positionOrder AS DOUBLE) END AS position,
+         CASE WHEN r.positionOrder <= 10 THEN CAST(lap_ms AS DOUBLE) END AS milliseconds
+  FROM line
+  JOIN result r ON r.resultId = l_orderkey JOIN driver d ON d.driverId = r.driverId
+  JOIN team t ON t.constructorId = r.constructorId JOIN status s ON s.statusId = r.statusId
+  JOIN race ra ON ra.raceId = r.raceId JOIN circuit c ON c.circuitId = ra.circuitId
+  JOIN practice p ON p.raceId = ra.raceId
+  JOIN driver_standing ds ON ds.driverStandingsId = r.driverStandingsId
+  JOIN team_standing ts ON ts.constructorStandingsId = r.constructorStandingsId)
+"""
+
+
+def source_statements() -> dict[str, str]:
+    from .queries import _CSV_COLUMNS, DRIVER, SPLIT_RACE
+
+    flat = (
+        "CAST(round AS VARCHAR) AS round, CAST(date AS VARCHAR) AS date, constructorRef AS constructorId,"
+        " driverRef AS driverId, status AS statusId, CAST(positionOrder AS VARCHAR) AS positionOrder,"
+        " points, laps, grid, fastestLapTime,"
+        " CASE WHEN positionOrder <> 12 THEN fastestLapSpeed END AS fastestLapSpeed, time, fastestLap"
+    )
+    results = f"""{ROLES}SELECT {flat} FROM result JOIN race USING (raceId) JOIN status USING (statusId)
+JOIN team USING (constructorId) JOIN driver USING (driverId)"""
+    numbers = (
+        "position, CAST(fastestLap AS DOUBLE) AS fastestLap, fastestLapSpeed, alt, duration,"
+        " milliseconds_laptimes, milliseconds, CAST(circuitId AS DOUBLE) AS circuitId"
+    )
+    trends = _driver_season(_TRENDS)
+    career = (
+        "SELECT driverRef, surname FROM driver JOIN result USING (driverId)"
+        f" WHERE driverRef <> '{DRIVER}' GROUP BY driverRef, forename, surname HAVING {_WINS} > 0"
+    )
+    return {
+        "scan_csv_clean": f"{WIDE}SELECT {', '.join(_CSV_COLUMNS)} FROM wide",
+        "scan_json_docs": results,
+        "sink_json_records": results,
+        "flatten_results": results,
+        "load_append": f"{ROLES}SELECT * FROM result",
+        "load_insert_ignore": (
+            f"{ROLES}SELECT * REPLACE (CAST(CASE WHEN raceId <= {SPLIT_RACE} THEN grid ELSE 0 END AS INTEGER) AS grid)"
+            " FROM result"
+        ),
+        "null_tokens": f"""{WIDE}SELECT CAST(_ord AS VARCHAR) AS _ord, driverRef,
+  CASE WHEN stop = 6 THEN '1:02.3' WHEN stop <> 7 THEN CAST(duration AS VARCHAR) END AS duration,
+  sprint_time, fastestLapTime, CAST(wins AS VARCHAR) AS wins,
+  CASE circuitId % 5 WHEN 0 THEN NULL WHEN 1 THEN 'abc' WHEN 2 THEN '1d' ELSE CAST(alt AS VARCHAR) END AS alt
+FROM wide""",
+        "coerce_numeric": f"{WIDE}SELECT CAST(_ord AS VARCHAR) AS _ord, {numbers} FROM wide",
+        "drop_columns": f"{ROLES}SELECT * EXCLUDE (grid, laps, time) FROM result",
+        "parse_date": (
+            f"{WIDE}SELECT CAST(_ord AS VARCHAR) AS _ord, dob, date, quali_date, sprint_date FROM wide"
+        ),
+        "ms_to_interval": (
+            f"{ROLES}SELECT raceId, driverId, lap, milliseconds_laptimes / 1000 AS lap_seconds FROM lap"
+        ),
+        "first_per_key": f"""{ROLES}SELECT driverId, raceId, resultId, positionOrder FROM (
+  SELECT *, row_number() OVER (PARTITION BY driverId ORDER BY raceId, resultId) AS rn FROM result)
+WHERE rn = 1""",
+        "distinct_project": f"{ROLES}SELECT DISTINCT raceId, driverId, sprint_date FROM sprint",
+        "register_views": f"""{ROLES.rstrip()},
+trends AS ({trends}), career AS ({career})
+SELECT t.season_year, count(*) AS driver_count, CAST(sum(t.podiums) AS BIGINT) AS podiums,
+  sum(t.total_points) AS total_points
+FROM trends t JOIN career c ON t.driver_reference = c.driverRef AND t.driver_surname = c.surname
+GROUP BY t.season_year""",
+    }
+
+
+def star_statements() -> dict[str, str]:
+    from ..schemas import TABLES
+    from .queries import STAR_KEYS
+
+    firsts = {"driverDim": "driverId", "circuitDim": "circuitId", "raceStatusDim": "statusId", "raceDim": "raceId"}
+    bodies = {}
+    for key, table in STAR_KEYS.items():
+        columns = ", ".join(f.name for f in TABLES[table])
+        if table in firsts:
+            bodies[key] = (
+                f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {firsts[table]}"
+                " ORDER BY _ord) AS rn FROM wide) WHERE rn = 1"
+            )
+        else:
+            bodies[key] = f"SELECT DISTINCT {columns} FROM wide"
+    statements = {key: f"{WIDE}{body}" for key, body in bodies.items()}
+    statements["star_all_counts"] = WIDE + " UNION ALL ".join(
+        f"SELECT '{STAR_KEYS[key]}' AS table_name, count(*) AS row_count FROM ({body})"
+        for key, body in bodies.items()
+    )
+    return statements
+
+
+# -- documents --------------------------------------------------------------------------------
+
+
+def document_statements() -> dict[str, str]:
+    minute_text = "60 + l_quantity + 0.5"
+
+    def pit(duration: str) -> str:
+        return f"""{ROLES}SELECT CAST(year(day) AS VARCHAR) AS season, CAST(dayofyear(day) AS VARCHAR) AS round,
+  driverRef AS driverId, l_linenumber AS stop, CAST(l_partkey % 50 + 1 AS INTEGER) AS lap_pitstops,
+  '1' || (l_suppkey % 10) || ':' || lpad(CAST(l_partkey % 60 AS VARCHAR), 2, '0') || ':'
+      || lpad(CAST(l_orderkey % 60 AS VARCHAR), 2, '0') AS time_pitstops,
+  CASE WHEN l_linenumber % 2 = 0 THEN {minute_text} ELSE {duration} END AS duration
+FROM line JOIN driver ON o_custkey = driverId"""
+
+    def standings(table: str, dim: str, key: str, ref: str, out: str, kind: str) -> str:
+        return f"""{ROLES}SELECT {ref} AS {out}, position_{kind} AS position, points_{kind} AS points,
+  coalesce({"wins" if kind == "driverstandings" else "wins_constructorstandings"}, 0) AS wins
+FROM {table} s JOIN {dim} d ON s.{key} = d.{key}
+WHERE (s.{out.removesuffix("Id")}StandingsId // 50) % 11 <> 10"""
+
+    return {
+        "doc_counts": """SELECT 'drivers' AS kind, count(DISTINCT c_custkey // 30) AS document_count, count(*) AS item_count FROM customer
+UNION ALL SELECT 'circuits', count(DISTINCT n_nationkey // 10), count(*) FROM nation
+UNION ALL SELECT 'constructors', count(DISTINCT s_suppkey // 30), count(*) FROM supplier""",
+        "doc_race_results": "SELECT CAST(o_orderkey // 50 AS BIGINT) AS document, count(*) AS race_count FROM orders GROUP BY 1",
+        "practice_session_count": (
+            f"{ROLES}SELECT CAST(sum(CASE WHEN raceId % 5 = 0 THEN 1 ELSE 3 END) AS BIGINT) AS session_count FROM race"
+        ),
+        "doc_laps_nonempty": (
+            f"{ROLES}SELECT DISTINCT CAST(l_orderkey // 50 AS BIGINT) AS document FROM line"
+            " WHERE (l_orderkey // 50) % 11 <> 10"
+        ),
+        "doc_lap_requests": """SELECT l_orderkey AS document, CAST(unnest(range(1, n + 1)) AS INTEGER) AS lap
+FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)""",
+        "flatten_laps": f"""{ROLES}SELECT CAST(date AS VARCHAR) AS date, CAST(lap AS VARCHAR) AS lap,
+  driverRef AS driverId, time_laptimes AS time, CAST(position_laptimes AS VARCHAR) AS position
+FROM lap JOIN race USING (raceId) JOIN driver USING (driverId)""",
+        "flatten_pit_stops": pit("NULL"),
+        "stream_drain": pit("NULL"),
+        "flatten_pit_stops_lenient": pit("l_quantity"),
+        "flatten_status": f"{ROLES}SELECT CAST(statusId AS INTEGER) AS statusId, status FROM status",
+        "flatten_driver_standings": standings(
+            "driver_standing", "driver", "driverId", "driverRef", "driverId", "driverstandings"
+        ),
+        "flatten_constructor_standings": standings(
+            "team_standing", "team", "constructorId", "constructorRef", "constructorId", "constructorstandings"
+        ),
+        "doc_validate": """SELECT CASE WHEN document % 11 = 10 THEN 'missing_path' ELSE 'valid' END AS state,
+  count(*) AS document_count
+FROM (SELECT DISTINCT l_orderkey // 50 AS document FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+GROUP BY 1""",
+    }
+
+
+# -- merges -----------------------------------------------------------------------------------
+
+
+def merge_statements() -> dict[str, str]:
+    from ..schemas import TABLES
+    from .queries import SPLIT_COUNTRY, SPLIT_NATION, SPLIT_RACE
+
+    def columns(table: str, *skip: str) -> str:
+        return ", ".join(f.name for f in TABLES[table] if f.name not in skip)
+
+    def numbered(table: str, key: str, order: str, base: str, rows: str) -> str:
+        """``rows`` with ids after the highest of ``base``, in ``order``."""
+        return (
+            f"SELECT {columns(table, key)}, CAST((SELECT coalesce(max({key}), 0) FROM ({base}))"
+            f" + row_number() OVER (ORDER BY {order}) AS BIGINT) AS {key} FROM ({rows})"
+        )
+
+    base_driver = f"SELECT * FROM driver WHERE nationality < '{SPLIT_NATION}'"
+    new_driver = f"""SELECT driverId AS arrival, * EXCLUDE (driverId) FROM (
+  SELECT *, row_number() OVER (PARTITION BY driverRef ORDER BY driverId) AS rn,
+         row_number() OVER (PARTITION BY driverRef, driverId // 30 ORDER BY driverId) AS rn_page FROM driver)
+  WHERE (driverRef IS NULL AND rn_page = 1)
+     OR (rn = 1 AND driverRef NOT IN (SELECT driverRef FROM ({base_driver}) WHERE driverRef IS NOT NULL))"""
+    base_circuit = f"SELECT * FROM circuit WHERE country < '{SPLIT_COUNTRY}'"
+    new_circuit = f"""SELECT circuitId AS arrival, * EXCLUDE (circuitId) REPLACE (CAST(NULL AS DOUBLE) AS alt)
+  FROM circuit WHERE circuitId NOT IN (23, 24) AND circuitRef NOT IN (SELECT circuitRef FROM ({base_circuit}))"""
+    base_team = f"SELECT * FROM team WHERE nationality_constructors < '{SPLIT_NATION}'"
+    new_team = f"""SELECT constructorId AS arrival, * EXCLUDE (constructorId) FROM team
+  WHERE constructorRef NOT IN (SELECT constructorRef FROM ({base_team}))"""
+    base_race = f"SELECT * FROM race WHERE raceId <= {SPLIT_RACE}"
+    new_race = f"""SELECT r.raceId AS arrival, r.* EXCLUDE (raceId)
+         REPLACE (CASE WHEN r.raceId % 7 <> 0 THEN time_races END AS time_races)
+  FROM race r JOIN circuit USING (circuitId) WHERE r.raceId > {SPLIT_RACE} AND country <> 'ASIA'"""
+
+    line_order = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
+    owner = "(SELECT driverRef AS ref, min(driverId) AS owner FROM driver GROUP BY driverRef)"
+    lap_ms = (
+        "CAST(60000 + trunc(CAST(split_part(time_laptimes, ':', 2) AS DOUBLE) * 1000) AS DOUBLE)"
+    )
+
+    def by_line(table: str, source: str, last: str, value: str, out: str) -> str:
+        return f"""candidate AS (
+  SELECT p.*, o.owner, row_number() OVER (PARTITION BY p.raceId, o.owner, {last} ORDER BY {line_order}) AS rn
+  FROM (SELECT *, {last} AS l_linenumber FROM {source}) p
+  JOIN driver d USING (driverId) JOIN {owner} o ON o.ref = d.driverRef)
+SELECT raceId, owner AS driverId, {columns(table, "raceId", "driverId", out)}, {value} AS {out}
+FROM candidate c WHERE rn = 1 AND NOT EXISTS (
+  SELECT 1 FROM {source} b WHERE b.raceId <= {SPLIT_RACE}
+    AND b.raceId = c.raceId AND b.driverId = c.owner AND b.{last} = c.{last})"""
+
+    laps = by_line("lapsDim", "lap", "lap", lap_ms, "milliseconds_laptimes")
+    pits = by_line(
+        "pitStopsDim", "pit_all", "stop",
+        "CASE WHEN stop % 2 = 0 THEN 60 + l_quantity + 0.5 END", "duration",
+    )
+    pit_all = "pit_all AS (SELECT p.* EXCLUDE (duration), duration, l_quantity FROM (SELECT race_no AS raceId, o_custkey AS driverId, l_linenumber AS stop, CAST(l_partkey % 50 + 1 AS INTEGER) AS lap_pitstops, '1' || (l_suppkey % 10) || ':' || lpad(CAST(l_partkey % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(l_orderkey % 60 AS VARCHAR), 2, '0') AS time_pitstops, l_quantity AS duration, l_quantity, l_orderkey, l_partkey, l_suppkey, l_extendedprice FROM line) p)"
+
+    new_standing = f"""SELECT s.driverStandingsId AS arrival, o.owner AS driverId, position_driverstandings,
+         points_driverstandings, CAST(coalesce(wins, 0) AS INTEGER) AS wins
+  FROM driver_standing s JOIN driver d USING (driverId) JOIN {owner} o ON o.ref = d.driverRef
+  WHERE (s.driverStandingsId // 50) % 11 <> 10"""
+    base_standing = "SELECT * FROM driver_standing WHERE position_driverstandings <= 10"
+    team_key = "constructorId, position_constructorstandings, points_constructorstandings, wins_constructorstandings"
+    base_team_standing = "SELECT * FROM team_standing WHERE position_constructorstandings <= 5"
+    new_team_standing = f"""SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY {team_key} ORDER BY arrival) AS rn FROM (
+      SELECT constructorStandingsId AS arrival, constructorId, position_constructorstandings,
+             CAST(coalesce(wins_constructorstandings, 0) AS INTEGER) AS wins_constructorstandings,
+             points_constructorstandings
+      FROM team_standing WHERE (constructorStandingsId // 50) % 11 <> 10)) n
+  WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM ({base_team_standing}) b WHERE b.constructorId = n.constructorId
+    AND b.position_constructorstandings = n.position_constructorstandings
+    AND b.points_constructorstandings = n.points_constructorstandings
+    AND b.wins_constructorstandings = n.wins_constructorstandings)"""
+    base_result = f"SELECT * FROM result WHERE raceId <= {SPLIT_RACE}"
+    new_result = f"""SELECT r.resultId AS arrival, raceId, r.constructorId, o.owner AS driverId,
+         cs.id AS constructorStandingsId, ds.id AS driverStandingsId, statusId, positionOrder, points,
+         laps, grid, fastestLapTime, CASE WHEN positionOrder <> 12 THEN fastestLapSpeed END AS fastestLapSpeed,
+         time, fastestLap
+  FROM result r JOIN driver d ON d.driverId = r.driverId JOIN {owner} o ON o.ref = d.driverRef
+  JOIN (SELECT constructorId, min(constructorStandingsId) AS id FROM team_standing GROUP BY 1) cs
+    ON cs.constructorId = r.constructorId
+  JOIN (SELECT driverId, min(driverStandingsId) AS id FROM driver_standing GROUP BY 1) ds ON ds.driverId = o.owner"""
+
+    def simple(body: str) -> str:
+        return f"{ROLES}{body}"
+
+    return {
+        "merge_driver": simple(numbered("driverDim", "driverId", "arrival", base_driver, new_driver)),
+        "merge_circuit": simple(numbered("circuitDim", "circuitId", "arrival", base_circuit, new_circuit)),
+        "merge_constructor": simple(
+            numbered("constructorDim", "constructorId", "arrival", base_team, new_team)
+        ),
+        "merge_race": simple(numbered("raceDim", "raceId", "arrival", base_race, new_race)),
+        "merge_practice": simple(f"SELECT * FROM practice WHERE raceId > {SPLIT_RACE}"),
+        "merge_laps": f"{ROLES.rstrip()}, {laps}",
+        "merge_pit_stops": f"{ROLES.rstrip()}, {pit_all}, {pits}",
+        "merge_status": simple(
+            "SELECT status, CAST((SELECT max(statusId) FROM status WHERE status < 'C')"
+            " + row_number() OVER (ORDER BY statusId) AS BIGINT) AS statusId FROM status WHERE status >= 'C'"
+        ),
+        "merge_driver_standings": simple(
+            numbered("driverStandingsDim", "driverStandingsId", "arrival", base_standing, new_standing)
+        ),
+        "merge_constructor_standings": simple(
+            numbered(
+                "constructorStandingsDim", "constructorStandingsId", "arrival", base_team_standing, new_team_standing
+            )
+        ),
+        "merge_results": simple(numbered("raceResultsFact", "resultId", "arrival", base_result, new_result)),
+        "merge_results_rejects": simple(
+            """SELECT CASE WHEN statusId <> 2 THEN 'missing_status' ELSE 'missing_driver' END AS reason,
+  count(*) AS row_count FROM result JOIN driver USING (driverId)
+WHERE statusId <> 2 OR driverRef IS NULL GROUP BY 1"""
+        ),
+        "merge_audit": f"""{ROLES.rstrip()}, n AS (
+  SELECT l.raceId, o.owner, l.lap, count(*) AS n,
+         bool_or(b.raceId IS NOT NULL) AS known
+  FROM lap l JOIN driver d USING (driverId) LEFT JOIN {owner} o ON o.ref = d.driverRef
+  LEFT JOIN (SELECT DISTINCT raceId, driverId, lap FROM lap WHERE raceId <= {SPLIT_RACE}) b
+    ON b.raceId = l.raceId AND b.driverId = o.owner AND b.lap = l.lap
+  GROUP BY l.raceId, o.owner, l.lap)
+SELECT 'lapsDim' AS table_name, outcome, CAST(sum(c) AS BIGINT) AS row_count FROM (
+  SELECT 'missing_driver' AS outcome, n AS c FROM n WHERE owner IS NULL
+  UNION ALL SELECT 'exists', n FROM n WHERE owner IS NOT NULL AND known
+  UNION ALL SELECT 'inserted', 1 FROM n WHERE owner IS NOT NULL AND NOT known
+  UNION ALL SELECT 'repeated', n - 1 FROM n WHERE owner IS NOT NULL AND NOT known)
+GROUP BY outcome HAVING sum(c) > 0""",
+        "upsert_by_key": simple("SELECT * REPLACE (surname || ' II' AS surname) FROM driver"),
+        "allocate_ids": (
+            "SELECT o_totalprice, o_orderkey,"
+            " 100 + row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS new_id FROM orders"
+        ),
+        "stream_merge_driver": simple(
+            f"""SELECT driverRef, count(*) AS row_count, count(*) AS id_count FROM (
+  SELECT driverRef FROM ({base_driver}) UNION ALL SELECT driverRef FROM ({new_driver})) GROUP BY driverRef"""
+        ),
+        "stream_merge_laps": f"""{ROLES.rstrip()}, {laps.split("SELECT raceId, owner AS driverId", 1)[0]}
+SELECT raceId, count(*) AS lap_count FROM (
+  SELECT raceId FROM lap WHERE raceId <= {SPLIT_RACE}
+  UNION ALL SELECT raceId FROM candidate c WHERE rn = 1 AND NOT EXISTS (
+    SELECT 1 FROM lap b WHERE b.raceId <= {SPLIT_RACE}
+      AND b.raceId = c.raceId AND b.driverId = c.owner AND b.lap = c.lap)) GROUP BY raceId""",
+    }
+
+
+# -- profiling and checks ---------------------------------------------------------------------
+
+
+def profile_statements() -> dict[str, str]:
+    from ..schemas import PRIMARY_KEYS, REFERENCES, TABLES
+
+    ctes = {
+        "driverDim": "driver",
+        "constructorDim": "team",
+        "circuitDim": "circuit",
+        "raceDim": "race",
+        "raceStatusDim": "status",
+        "driverStandingsDim": "driver_standing",
+        "constructorStandingsDim": "team_standing",
+        "pitStopsDim": "pit",
+        "lapsDim": "lap",
+        "qualificationsDim": "qualifying",
+        "freePracticeDim": "practice",
+        "sprintDim": "sprint",
+        "raceResultsFact": "result",
+    }
+    nulls = ", ".join(f"bool_or({f.name} IS NULL) AS {f.name}" for f in TABLES["raceResultsFact"])
+    keys = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) FILTER (WHERE {k} IS NULL) AS null_keys,"
+        f" count(DISTINCT {k}) FILTER (WHERE n > 1) AS duplicate_keys"
+        f" FROM (SELECT {k}, count(*) OVER (PARTITION BY {k}) AS n FROM {ctes[t]})"
+        for t, k in PRIMARY_KEYS.items()
+    )
+    orphans = " UNION ALL ".join(
+        f"SELECT '{child}' AS child_table, '{column}' AS child_column, '{parent}' AS parent_table,"
+        f" count(*) AS orphan_rows, count(DISTINCT {column}) AS orphan_values FROM {ctes[child]}"
+        f" WHERE {column} IS NOT NULL AND {column} NOT IN"
+        f" (SELECT {parent_column} FROM {ctes[parent]} WHERE {parent_column} IS NOT NULL)"
+        for child, column, parent, parent_column in REFERENCES
+    )
+    bodies = {
+        "profile_shape": "SELECT count(*) AS row_count, CAST(6 AS BIGINT) AS column_count FROM lap",
+        "profile_minmax": "SELECT min(year) AS min_value, max(year) AS max_value FROM race",
+        "profile_dup_key": "SELECT count(*) > count(DISTINCT driverId) AS has_duplicates FROM result",
+        "profile_dup_rows": (
+            "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM"
+            " (SELECT count(*) AS n FROM sprint GROUP BY raceId, driverId, sprint_date, sprint_time)"
+        ),
+        "profile_nulls": f"SELECT {nulls} FROM result",
+        "profile_mismatch": (
+            "SELECT resultId, positionOrder IS DISTINCT FROM grid"
+            " AND (SELECT bool_and(grid IS NOT NULL) FROM result) AS is_mismatch FROM result"
+        ),
+        "profile_top_values": (
+            "SELECT driverId AS value, count(*) AS row_count FROM result WHERE driverId IS NOT NULL"
+            " GROUP BY 1 ORDER BY row_count DESC, value LIMIT 30"
+        ),
+        "profile_distinct": "SELECT DISTINCT circuitId FROM race",
+        "profile_col_equal": (
+            "SELECT bool_and(constructorStandingsId IS NOT DISTINCT FROM driverStandingsId) AS is_equal"
+            " FROM result"
+        ),
+        "check_pk": keys,
+        "check_fk": orphans,
+    }
+    return {key: f"{ROLES}{body}" for key, body in bodies.items()}
+
+
 def all_statements() -> dict[str, str]:
     from .queries import DRIVER, DRIVER_YEAR, TEAM_YEAR
 
-    return view_statements(DRIVER, DRIVER_YEAR, TEAM_YEAR)
+    return {
+        **view_statements(DRIVER, DRIVER_YEAR, TEAM_YEAR),
+        **source_statements(),
+        **star_statements(),
+        **document_statements(),
+        **merge_statements(),
+        **profile_statements(),
+    }
