@@ -33,7 +33,7 @@ TEAM_YEAR = 1999
 # What is loaded before the increment arrives.
 SPLIT_DATE = "1998-01-01"
 SPLIT_RACE = 1096
-SPLIT_NATION = "M"
+SPLIT_NATION = "NATION_2"
 SPLIT_COUNTRY = "C"
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -200,7 +200,7 @@ class Roles(Mapping[str, DataFrame]):
             "location": "n_name",
             "country": "r_name",
             "lat": "n_nationkey * 1.5D",
-            "lng": "n_nationkey * -2.5D",
+            "lng": "100 - n_nationkey * 2.5D",
             "alt": "if(n_nationkey % 5 = 0, NULL, n_nationkey * 10)",
             "url_y": "concat('http://circuits.test/', n_nationkey)",
         }

@@ -26,7 +26,7 @@ team AS (
 circuit AS (
   SELECT CAST(n_nationkey AS BIGINT) AS circuitId, n_name AS name_y,
          lower(replace(n_name, ' ', '_')) AS circuitRef, n_name AS location, r_name AS country,
-         CAST(n_nationkey * 1.5 AS DOUBLE) AS lat, CAST(n_nationkey * -2.5 AS DOUBLE) AS lng,
+         CAST(n_nationkey * 1.5 AS DOUBLE) AS lat, CAST(100 - n_nationkey * 2.5 AS DOUBLE) AS lng,
          CASE WHEN n_nationkey % 5 <> 0 THEN CAST(n_nationkey * 10 AS DOUBLE) END AS alt,
          'http://circuits.test/' || n_nationkey AS url_y
   FROM nation JOIN region ON n_regionkey = r_regionkey),
