@@ -29,10 +29,9 @@ NULL_TOKENS = (
     "\\N",
 )
 
-# Decimal notation with an optional exponent, and infinity. A plain cast would also
-# take Java's own notations, '1d' among them.
-NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-INFINITY_PATTERN = r"^\s*[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?\s*$"
+# Fixed value: what a plain cast reads as a number and pandas does not: not-a-number, hexadecimal
+# digits, and Java's type suffixes ('1d', '2.f'; but 'inf' stays).
+UNREADABLE_PATTERN = r"(?i)(nan|[0-9.][df])\s*$|x"
 
 _TOKEN_LIST = ", ".join("'" + token.replace("\\", "\\\\") + "'" for token in NULL_TOKENS)
 
@@ -44,18 +43,12 @@ def null_if_token(column: str) -> str:
 
 def to_number(column: str) -> str:
     """Double, or null where the text holds no number."""
-    readable = f"{column} RLIKE r'{NUMBER_PATTERN}' OR {column} RLIKE r'{INFINITY_PATTERN}'"
-    return f"if({readable}, try_cast(trim({column}) AS DOUBLE), NULL)"
+    return f"if({column} RLIKE r'{UNREADABLE_PATTERN}', NULL, try_cast({column} AS DOUBLE))"
 
 
 def to_whole(column: str, kind: str = "bigint") -> str:
-    """Whole number, or null; ``3.0`` counts as 3 because a nullable count is read as a double.
-
-    Plain digits are cast as they are, so that an id above 2**53 keeps its last digits.
-    """
-    digits = f"if({column} RLIKE r'^\\s*[+-]?\\d+\\s*$', try_cast(trim({column}) AS {kind}), NULL)"
-    number = to_number(column)
-    return f"coalesce({digits}, if({number} % 1 = 0, try_cast({number} AS {kind}), NULL))"
+    """Whole number, or null; ``3.0`` counts as 3 because a nullable count is read as a double."""
+    return f"try_cast(regexp_replace({column}, r'\\.0*\\s*$', '') AS {kind})"
 
 
 def to_day(column: str) -> str:

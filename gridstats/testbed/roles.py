@@ -116,6 +116,12 @@ def _typed(df: DataFrame, table: str, columns: Mapping[str, str]) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a scan of too few splits one partition per core; a large scan stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 class Roles(Mapping[str, DataFrame]):
     """The thirteen star tables, each built when it is asked for."""
 
@@ -298,7 +304,7 @@ class Roles(Mapping[str, DataFrame]):
             "_key": "o_orderkey",
         }
         per_line = {"_key": "l_orderkey", "l_orderkey": "l_orderkey", **_STOP, **_LAP}
-        lines = self.read("lineitem").selectExpr(*_as(per_line))
+        lines = spread(self.read("lineitem").selectExpr(*_as(per_line)), "_key")
         orders = self.orders().selectExpr(*_as(per_order))
         rows = (
             lines.join(orders, "_key")
