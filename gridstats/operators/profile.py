@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def sample_rows(
@@ -57,9 +58,14 @@ def any_nulls(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
 
 
 def mismatch_mask(df: DataFrame, key: Sequence[str], left: str, right: str) -> DataFrame:
-    """Per row, whether two columns differ; false everywhere if ``right`` holds any null."""
+    """Per row, whether two columns differ; false everywhere if ``right`` holds any null.
+
+    A number and a text always differ, as they do in pandas.
+    """
     complete = df.agg(F.bool_and(F.col(right).isNotNull()).alias("ok")).first()["ok"]
-    differs = ~F.col(left).eqNullSafe(F.col(right))
+    kinds = [df.schema[c].dataType for c in (left, right)]
+    comparable = kinds[0] == kinds[1] or all(isinstance(k, T.NumericType) for k in kinds)
+    differs = ~F.col(left).eqNullSafe(F.col(right)) if comparable else F.lit(True)
     return df.select(*key, (F.lit(bool(complete)) & differs).alias("is_mismatch"))
 
 
@@ -79,6 +85,7 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 def columns_equal(df: DataFrame, left: str, right: str) -> DataFrame:
     """Whether two columns have one type and equal values everywhere; nulls equal each other."""
-    kinds = dict(df.dtypes)
-    same = F.coalesce(F.bool_and(F.col(left).eqNullSafe(F.col(right))), F.lit(True))
-    return df.agg((F.lit(kinds[left] == kinds[right]) & same).alias("is_equal"))
+    if df.schema[left].dataType != df.schema[right].dataType:
+        return df.agg((F.count(F.lit(1)) < 0).alias("is_equal"))
+    same = F.bool_and(F.col(left).eqNullSafe(F.col(right)))
+    return df.agg(F.coalesce(same, F.lit(True)).alias("is_equal"))
