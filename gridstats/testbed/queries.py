@@ -343,18 +343,22 @@ def loaded_before(roles: Roles) -> Mapping[str, DataFrame]:
     return Cut()
 
 
-def _merge(table: str, part: str = "new_rows", **parents: DataFrame) -> Query:
-    """Merge the documents of a table into its earlier state; parents are complete."""
+def _merge(table: str, part: str = "new_rows") -> Query:
+    """Merge the documents of a table into its earlier state; parents are complete.
+
+    Except that the calendar does not know one region, and rejects are asked for with a status table
+    from before.
+    """
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         roles = Roles(spark, folder)
         load = LOADS[table]
-        # one region is unknown to the calendar, and one status to the results
-        known = {
-            table: loaded_before(roles)[table],
-            **({"circuitDim": roles["circuitDim"].where("country <> 'ASIA'")} if table == "raceDim" else {}),
-            **({"raceStatusDim": loaded_before(roles)["raceStatusDim"]} if table == "raceResultsFact" and part == "rejects" else {}),
-        }
+        before = loaded_before(roles)
+        known = {table: before[table]}
+        if table == "raceDim":
+            known["circuitDim"] = roles["circuitDim"].where("country <> 'ASIA'")
+        if part == "rejects":
+            known["raceStatusDim"] = before["raceStatusDim"]
         records = as_records(load.source, docs.ALL[load.source](roles))
         return getattr(load, part)(records, ChainMap(known, roles))
 
