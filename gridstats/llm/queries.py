@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
@@ -17,10 +17,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = scan_secrets(table(spark, folder, "documents").select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["order"] < len(BASE_RULES))
-    counts = [
-        F.size(F.filter("secrets", lambda s, i=i: s["order"] == i)).cast("long").alias(f"n_{r.kind}")
-        for i, r in enumerate(BASE_RULES)
-    ]
+
+    def count(order: int) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["order"] == order)).cast("long")
+
+    counts = [count(i).alias(f"n_{r.kind}") for i, r in enumerate(BASE_RULES)]
     return found.select(
         "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans")
     )
