@@ -8,12 +8,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontaminate import decontaminate
 from .secret_scan import BASE_RULES, listed, scan_secrets
+from .simhash import near_duplicates
 from .url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    judged = decontaminate(docs, table(spark, folder, "benchmark"), keep=["doc_id"])
+    digest = F.sha2(F.array_join("item_ids", ","), 256)
+    return judged.select(
+        "doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated"
+    )
+
+
 def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = scan_secrets(table(spark, folder, "documents").select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["order"] < len(BASE_RULES))
@@ -33,4 +50,9 @@ def url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {"op6_secret_scan": secret_scan, "op7_url_filter": url_filter}
+    return {
+        "op4_simhash": simhash,
+        "op5_decontaminate": decontamination,
+        "op6_secret_scan": secret_scan,
+        "op7_url_filter": url_filter,
+    }

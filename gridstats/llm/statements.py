@@ -10,6 +10,37 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+def decontaminate_sql() -> str:
+    words = (
+        r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+        r" 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    )
+    return f"""
+        WITH docs AS (SELECT doc_id, {words} AS words FROM documents),
+        items AS (SELECT CAST(item_id AS VARCHAR) AS item, {words} AS words FROM benchmark),
+        starts AS (SELECT item, words, least(len(words), 13) AS size,
+                          unnest(range(1, len(words) - least(len(words), 13) + 2)) AS pos
+                   FROM items WHERE len(words) > 0),
+        windows AS (SELECT DISTINCT item, size, array_to_string(words[pos:pos + size - 1], ' ') AS run
+                    FROM starts),
+        sizes AS (SELECT DISTINCT size FROM windows),
+        runs AS (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS pos
+                 FROM docs, sizes WHERE len(words) >= size),
+        hits AS (SELECT r.doc_id, r.pos, r.size, w.item FROM runs r JOIN windows w
+                 ON r.size = w.size AND array_to_string(r.words[r.pos:r.pos + r.size - 1], ' ') = w.run),
+        covered AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+                    FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS place FROM hits) GROUP BY doc_id),
+        named AS (SELECT doc_id, count(DISTINCT item) AS n_items,
+                         string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hits GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words,
+               CAST(coalesce(c.n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n.n_items, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(n.ids, '')) AS items_sha256,
+               coalesce(c.n_hit, 0) > 0 AND 20 * coalesce(c.n_hit, 0) >= len(d.words) AS contaminated
+        FROM docs d LEFT JOIN covered c USING (doc_id) LEFT JOIN named n USING (doc_id)
+    """
+
+
 def secrets_sql() -> str:
     rules = BASE_RULES + MORE_RULES
     cuts, spans = [], []
@@ -87,4 +118,8 @@ def urls_sql() -> str:
 
 
 def all_statements() -> dict[str, str]:
-    return {"op6_secret_scan": secrets_sql(), "op7_url_filter": urls_sql()}
+    return {
+        "op5_decontaminate": decontaminate_sql(),
+        "op6_secret_scan": secrets_sql(),
+        "op7_url_filter": urls_sql(),
+    }
