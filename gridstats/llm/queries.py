@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import decontaminate
+from .html_text import extract_text
+from .mixing import mix
 from .secret_scan import BASE_RULES, listed, scan_secrets
 from .simhash import near_duplicates
 from .url_filter import filter_urls
@@ -16,6 +18,16 @@ from .url_filter import filter_urls
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return extract_text(pages, keep=["page_id", "url"])
+
+
+def mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
@@ -51,6 +63,8 @@ def url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op2_html_text": html_text,
+        "op3_mixing": mixing,
         "op4_simhash": simhash,
         "op5_decontaminate": decontamination,
         "op6_secret_scan": secret_scan,
