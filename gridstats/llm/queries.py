@@ -11,6 +11,8 @@ from .common import table
 from .decontaminate import decontaminate
 from .html_text import extract_text
 from .mixing import mix
+from .pii import KINDS, find_personal_data
+from .pii import listed as listed_personal
 from .secret_scan import BASE_RULES, listed, scan_secrets
 from .simhash import near_duplicates
 from .url_filter import filter_urls
@@ -61,6 +63,22 @@ def url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    every = F.array_sort(F.concat("spans", "terms"))
+    return found.select(
+        F.col("id").cast("long").alias("doc_id"),
+        *counts,
+        F.sha2(listed_personal(F.col("spans")), 256).alias("base_sha256"),
+        listed_personal(every).alias("spans"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op2_html_text": html_text,
@@ -69,4 +87,5 @@ def all_queries() -> dict[str, Query]:
         "op5_decontaminate": decontamination,
         "op6_secret_scan": secret_scan,
         "op7_url_filter": url_filter,
+        "op10_personal_data": personal_data,
     }
