@@ -11,10 +11,12 @@ from .common import table
 from .decontaminate import decontaminate
 from .html_text import extract_text
 from .mixing import mix
+from .neighbours import nearest
 from .pii import KINDS, find_personal_data
 from .pii import listed as listed_personal
 from .secret_scan import BASE_RULES, listed, scan_secrets
 from .simhash import near_duplicates
+from .toxicity import held_out, score_toxicity, train_on
 from .url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +65,17 @@ def url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = train_on(docs, table(spark, folder, "labels"))
+    scored = score_toxicity(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+def neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"))
+
+
 def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = find_personal_data(table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -87,5 +100,7 @@ def all_queries() -> dict[str, Query]:
         "op5_decontaminate": decontamination,
         "op6_secret_scan": secret_scan,
         "op7_url_filter": url_filter,
+        "op8_toxicity": toxicity,
+        "op9_neighbours": neighbours,
         "op10_personal_data": personal_data,
     }
