@@ -16,12 +16,17 @@ from .pii import KINDS, find_personal_data
 from .pii import listed as listed_personal
 from .secret_scan import BASE_RULES, listed, scan_secrets
 from .simhash import near_duplicates
+from .substrings import remove_repeats
 from .toxicity import held_out, score_toxicity, train_on
 from .url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def html_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return extract_text(pages, keep=["page_id", "url"])
@@ -94,6 +99,7 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op1_substring_dedup": substring_dedup,
         "op2_html_text": html_text,
         "op3_mixing": mixing,
         "op4_simhash": simhash,
