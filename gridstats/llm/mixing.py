@@ -132,16 +132,9 @@ def mix_blocks(
         F.md5(text).alias("_hash"),
     )
     twins = Window.partitionBy("doc_id", "source", "_hash").orderBy("size")
-    name = F.concat_ws(
-        ":",
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("-")),
-        F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.md5("source"))),
-        "_hash",
-        F.row_number().over(twins).cast("string"),
-    )
-    rows = stage(
-        narrow.withColumn("_row", name).select("_row", "doc_id", "source", "size"), "mix-rows"
-    )
+    numbered = narrow.withColumn("_number", F.row_number().over(twins))
+    named = numbered.withColumn("_row", _row_name("doc_id", "source", "_hash", "_number"))
+    rows = stage(named.select("_row", "doc_id", "source", "size"), "mix-rows")
     targets = stage(source_targets(rows, weights, most), "targets").withColumn(
         "_words", F.round("target").cast("long")
     )
@@ -243,6 +236,36 @@ def _shard_cuts(counts: DataFrame, shards: int, seed: int) -> DataFrame:
     return counts.withColumn("source", F.col("source").cast("string")).groupBy().applyInPandas(tree, schema)
 
 
+def mix_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The rows, all columns, with ``size``, ``source_size``, ``target`` and ``taken`` added.
+
+    Rows that are equal in id, source and text are numbered, and each gets the words of its number.
+    The texts are shuffled once, to meet what is taken of them.
+    """
+    mixed = mix(docs, id_column=id_column, text_column=text_column, **options)
+    added = ("size", "source_size", "target", "taken")
+    source = options.get("source_column", "source")
+    narrow = stage(mixed.select("_row", *added), "mixed")
+    base = docs.drop(*added).withColumn("_hash", F.md5(whole_text(text_column)))
+    twins = Window.partitionBy(id_column, source, "_hash").orderBy("_hash")
+    repeated = (
+        base.groupBy(id_column, source, "_hash").count().where("count > 1").limit(1).count()
+    )
+    number = F.row_number().over(twins) if repeated else F.lit(1)
+    named = base.withColumn("_number", number).withColumn("_row", _row_name(id_column, source, "_hash", "_number"))
+    return named.join(narrow, "_row").drop("_row", "_hash", "_number")
+
+
+def _row_name(id_column: str, source_column: str, text_hash: str, number: str) -> Column:
+    return F.concat_ws(
+        ":",
+        F.coalesce(F.col(id_column).cast("string"), F.lit("-")),
+        F.when(F.col(source_column).isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.md5(source_column))),
+        text_hash,
+        F.col(number).cast("string"),
+    )
+
+
 def mix(docs: DataFrame, **options) -> DataFrame:
     """(_row, doc_id, source, size, source_size, target, taken) of every row; see ``mix_blocks``."""
     rows, blocks = mix_blocks(docs, **options)

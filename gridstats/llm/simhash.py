@@ -61,17 +61,20 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, fingerprint) of every row."""
+    """(id, hash of the text, fingerprint) of every row."""
 
     def scan(batches):
         for batch in batches:
             codes = [fingerprint(t) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch["id"].cast(pa.int64()), pa.array(codes, pa.int64())], ["id", "fingerprint"]
+                [batch["id"], batch["hash"], pa.array(codes, pa.int64())], ["id", "hash", "fingerprint"]
             )
 
-    plain = docs.select(F.col(id_column).cast("long").alias("id"), whole_text(text_column).alias("text"))
-    return plain.mapInArrow(scan, "id long, fingerprint long")
+    text = whole_text(text_column)
+    plain = docs.select(
+        F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text")
+    )
+    return plain.mapInArrow(scan, "id long, hash long, fingerprint long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -194,6 +197,17 @@ def near_links(codes: DataFrame, limit: int = 2, block: int = BLOCK) -> DataFram
     return placed.groupBy("block").applyInPandas(link, "a long, b long")
 
 
+def _components(docs: DataFrame, id_column: str, text_column: str, limit: int) -> DataFrame:
+    """(id, hash, fingerprint, root) of every row; rows of a component share the root."""
+    marked = stage(fingerprints(docs, id_column, text_column), "fingerprints")
+    codes = stage(marked.select("fingerprint").distinct(), "codes")
+    labels = connected_components(near_links(codes, limit))
+    owners = codes.join(labels, codes["fingerprint"] == labels["node"], "left").select(
+        "fingerprint", F.coalesce("root", "fingerprint").alias("root")
+    )
+    return stage(marked.join(owners, "fingerprint"), "components")
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", limit: int = 2
 ) -> DataFrame:
@@ -205,14 +219,25 @@ def near_duplicates(
     never name a component unless it has no other. Other columns are ignored; an empty table gives
     an empty table.
     """
-    marked = stage(fingerprints(docs, id_column, text_column), "fingerprints")
-    codes = stage(marked.groupBy("fingerprint").agg(F.min("id").alias("least")), "codes")
-    labels = connected_components(near_links(codes, limit))
-    named = codes.join(labels, codes["fingerprint"] == labels["node"], "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
-    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    owners = named.join(smallest, "root").select("fingerprint", "component_id")
-    return marked.join(owners, "fingerprint").select(
-        F.col("id").alias(id_column), "fingerprint", "component_id"
+    rows = _components(docs, id_column, text_column, limit)
+    smallest = rows.groupBy("root").agg(F.min("id").alias("component_id"))
+    return rows.join(smallest, "root").select(F.col("id").alias(id_column), "fingerprint", "component_id")
+
+
+def keep_first(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", limit: int = 2
+) -> DataFrame:
+    """One row of each component, all columns: the one with its smallest id, null ids last.
+
+    Of several texts with that id the one with the smallest hash stays, and one of repeated rows.
+    Only ids and hashes are compared; texts are shuffled at most once, where rows are chosen.
+    """
+    rows = _components(docs, id_column, text_column, limit)
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
+    kept = rows.groupBy("root").agg(F.min(place).alias("_kept")).select("_kept.id", "_kept.hash")
+    same = docs[id_column].cast("long").eqNullSafe(kept["id"]) & (
+        F.xxhash64(whole_text(docs[text_column])) == kept["hash"]
     )
+    chosen = docs.join(kept, same, "left_semi")
+    repeated = rows.groupBy("id", "hash").count().where("count > 1").limit(1).count()
+    return chosen.dropDuplicates([id_column, text_column]) if repeated else chosen
