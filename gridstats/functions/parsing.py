@@ -42,13 +42,16 @@ def null_if_token(column: str) -> str:
 
 
 def to_number(column: str) -> str:
-    """Double, or null where the text holds no number."""
-    return f"if({column} RLIKE r'{UNREADABLE_PATTERN}', NULL, try_cast({column} AS DOUBLE))"
+    """Double, or null where the text holds no number; only texts with letters meet the pattern."""
+    letters = f"upper({column}) <> lower({column})"
+    unreadable = f"{letters} AND {column} RLIKE r'{UNREADABLE_PATTERN}'"
+    return f"if({unreadable}, NULL, try_cast({column} AS DOUBLE))"
 
 
 def to_whole(column: str, kind: str = "bigint") -> str:
     """Whole number, or null; ``3.0`` counts as 3 because a nullable count is read as a double."""
-    return f"try_cast(regexp_replace({column}, r'\\.0*\\s*$', '') AS {kind})"
+    plain = f"try_cast({column} AS {kind})"
+    return f"coalesce({plain}, try_cast(regexp_replace({column}, r'\\.0*\\s*$', '') AS {kind}))"
 
 
 def to_day(column: str) -> str:

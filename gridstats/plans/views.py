@@ -198,10 +198,14 @@ def constructor_over_seasons(tables: Tables, ordered: bool = True) -> DataFrame:
     )
 
 
-def _career(tables: Tables, keep: Column, ordered: bool) -> DataFrame:
+def _career(tables: Tables, keep: Column, ordered: bool, few: bool = False) -> DataFrame:
+    """``few``: the filter keeps few drivers, so facts meet their ids before they are summed."""
     measures = ["avg_finish_position", "total_points", "wins_count"]
-    per_id = tables["raceResultsFact"].groupBy("driverId").agg(*_partials(measures))
-    named = per_id.join(DRIVER.lookup(tables).where(keep), "driverId")
+    kept = DRIVER.lookup(tables).where(keep)
+    facts = tables["raceResultsFact"]
+    if few:
+        facts = facts.join(kept.select("driverId"), "driverId", "left_semi")
+    named = facts.groupBy("driverId").agg(*_partials(measures)).join(kept, "driverId")
     result = named.groupBy(*DRIVER.labels).agg(*_finals(measures))
     return _sorted(result, ordered, *_asc(*DRIVER.labels))
 
@@ -213,7 +217,7 @@ def career_excluding(tables: Tables, driver: str, ordered: bool = True) -> DataF
 
 def career_only(tables: Tables, driver: str, ordered: bool = True) -> DataFrame:
     """Career averages of one driver."""
-    return _career(tables, F.col("driver_reference") == driver, ordered)
+    return _career(tables, F.col("driver_reference") == driver, ordered, few=True)
 
 
 def season_record(tables: Tables, measure: str, excluding: str | None = None) -> DataFrame:

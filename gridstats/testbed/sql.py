@@ -142,30 +142,35 @@ def _record(measure: str, label: str, where: str = "") -> str:
     )
 
 
-def _streaks(dim: str, key: str, reference: str, extra: str, labels: str) -> str:
-    """Gaps and islands, one row per entity with its longest podium and winning runs."""
+def _runs(dim: str, key: str, reference: str, extra: str) -> str:
+    """Lengths of unbroken podium (3) and winning (1) runs, both flags in one pass.
+
+    Results that break a run are counted along a history; the count names the run.
+    """
     names = f"{reference}, {extra}"
+    return f"""flagged AS (
+  SELECT {names}, date, resultId, best,
+         coalesce(CASE best WHEN 1 THEN positionOrder = 1 ELSE positionOrder <= 3 END, FALSE) AS good
+  FROM {dim} JOIN result USING ({key}) JOIN race USING (raceId), (VALUES (1), (3)) AS flags(best)),
+numbered AS (
+  SELECT {names}, best, good, sum(CASE WHEN good THEN 0 ELSE 1 END) OVER (
+         PARTITION BY {reference}, best ORDER BY date, resultId
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS breaks FROM flagged),
+lengths AS (SELECT {names}, best, count(*) AS n FROM numbered WHERE good GROUP BY {names}, best, breaks)"""
 
-    def island(test: str) -> str:
-        return (
-            f"row_number() OVER (PARTITION BY {reference} ORDER BY date, resultId)"
-            f" - row_number() OVER (PARTITION BY {reference}, {test} ORDER BY date, resultId)"
-        )
 
-    return f"""ranked AS (
-  SELECT {names}, positionOrder, {island("positionOrder <= 3")} AS podium_run,
-         {island("positionOrder = 1")} AS win_run
-  FROM {dim} JOIN result USING ({key}) JOIN race USING (raceId)),
-podium_runs AS (SELECT {names}, count(*) AS n FROM ranked WHERE positionOrder <= 3 GROUP BY {names}, podium_run),
-win_runs AS (SELECT {names}, count(*) AS n FROM ranked WHERE positionOrder = 1 GROUP BY {names}, win_run),
-longest AS (SELECT {names}, max(n) AS podium FROM podium_runs GROUP BY {names}),
-longest_win AS (SELECT {names}, max(n) AS win FROM win_runs GROUP BY {names})
-SELECT {labels}, l.podium AS longest_podium_streak, coalesce(w.win, 0) AS longest_winning_streak
-FROM longest l LEFT JOIN longest_win w
-  ON {" AND ".join(f"l.{n.strip()} = w.{n.strip()}" for n in names.split(","))}"""
+def _streaks(dim: str, key: str, reference: str, extra: str, labels: str) -> str:
+    """One row per entity with a podium; a winning run needs all names, as equal names match it."""
+    names = f"{reference}, {extra}"
+    named = " AND ".join(f"{n.strip()} IS NOT NULL" for n in names.split(","))
+    return f"""{_runs(dim, key, reference, extra)}
+SELECT {labels}, max(n) FILTER (WHERE best = 3) AS longest_podium_streak,
+       CASE WHEN {named} THEN coalesce(max(n) FILTER (WHERE best = 1), 0) ELSE 0 END
+         AS longest_winning_streak
+FROM lengths GROUP BY {names} HAVING bool_or(best = 3)"""
 
 
-def _view_statements(driver: str, driver_year: int, team_year: int) -> dict[str, str]:
+def view_statements(driver: str, driver_year: int, team_year: int) -> dict[str, str]:
     def wins(names: str, dim: str, key: str, standing: str, standing_id: str, column: str, year: int, out: str) -> str:
         ref = names.split(",")[0]
         return f"""SELECT {out}, best AS wins_in_year FROM (
@@ -239,28 +244,24 @@ ORDER BY wins_in_a_row DESC, driver_reference NULLS LAST, driver_forename, drive
     }
     drivers = _streaks(
         "driver", "driverId", "driverRef", "forename, surname",
-        "l.driverRef AS driver_reference, l.forename AS driver_forename, l.surname AS driver_surname",
+        _D,
     )
     teams = _streaks(
         "team", "constructorId", "constructorRef", "name",
-        "l.constructorRef AS constructor_reference, l.name AS constructor_name",
+        _C,
     )
-    longest_wins = drivers[: drivers.index("SELECT l.driverRef")]
     statements = {k: f"{ROLES}{v}" for k, v in plain.items()}
     statements["driver_streaks"] = f"{ROLES.rstrip()}, {drivers}"
     statements["constructor_streaks"] = f"{ROLES.rstrip()}, {teams}"
     statements["most_wins_in_row_true"] = (
-        f"{ROLES.rstrip()}, {longest_wins}"
-        f"SELECT {_D}, win AS wins_in_a_row FROM longest_win"
-        " ORDER BY win DESC, driverRef NULLS LAST, forename, surname LIMIT 1"
+        f"{ROLES.rstrip()}, {_runs('driver', 'driverId', 'driverRef', 'forename, surname')}"
+        f" SELECT {_D}, max(n) AS wins_in_a_row FROM lengths WHERE best = 1"
+        " GROUP BY driverRef, forename, surname"
+        " ORDER BY wins_in_a_row DESC, driverRef NULLS LAST, forename, surname LIMIT 1"
     )
     return statements
 
 
-def view_statements(driver: str, driver_year: int, team_year: int) -> dict[str, str]:
-    return _view_statements(driver, driver_year, team_year)
-
-
 # -- sources, cleaning and the star split -----------------------------------------------------
 
 # The wide file, typed: one row per order line, with the drifting and unreadable values.
@@ -647,10 +648,19 @@ def profile_statements() -> dict[str, str]:
     return {key: f"{ROLES}{body}" for key, body in bodies.items()}
 
 
+# Queries that reach the rows of another one by another way.
+SAME_ROWS = {
+    "stream_then_batch": "stream_merge_driver",
+    "stream_merge_pit_records": "merge_pit_stops",
+    "stream_merge_status_records": "merge_status",
+    "stream_merge_results_records": "merge_results",
+}
+
+
 def all_statements() -> dict[str, str]:
     from .queries import DRIVER, DRIVER_YEAR, TEAM_YEAR
 
-    return {
+    statements = {
         **view_statements(DRIVER, DRIVER_YEAR, TEAM_YEAR),
         **source_statements(),
         **star_statements(),
@@ -658,3 +668,4 @@ def all_statements() -> dict[str, str]:
         **merge_statements(),
         **profile_statements(),
     }
+    return statements | {name: statements[twin] for name, twin in SAME_ROWS.items()}
