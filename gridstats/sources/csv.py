@@ -6,27 +6,36 @@ from collections.abc import Callable, Iterable, Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.parsing import null_if_token, to_day, to_number, to_whole
-from ..schemas import COERCED_COLUMNS, DROPPED_COLUMNS, wide_text_schema, wide_types
+from ..schemas import COERCED_COLUMNS, DROPPED_COLUMNS, ORDER_COLUMN, wide_text_schema, wide_types
 
 
 def read_wide_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """The file as text columns; the nameless first column is the row index ``_ord``.
+    """The file as text columns, by the names in its header and in the order of ``schema``.
 
-    Columns are taken by position, so ``schema`` must list the file's columns in file order.
+    The file may hold its columns in any order, and others besides. One that ``schema`` asks for
+    and the file lacks fails by its name. The row index ``_ord`` is the column of that name, or the
+    nameless first one; a file without either is numbered in reading order.
     """
-    return (
-        spark.read.schema(schema or wide_text_schema())
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("nullValue", "\\N")
-        .option("escape", '"')
-        .csv(path)
-    )
+    wanted = (schema or wide_text_schema()).fieldNames()
+    reader = spark.read.options(header=True, nullValue="\\N", escape='"')
+    header = reader.csv(path).columns  # reads the first line
+    nameless = ORDER_COLUMN not in header and header[:1] == ["_c0"]
+    names = [ORDER_COLUMN, *header[1:]] if nameless else header
+    missing = [c for c in wanted if c not in names and c != ORDER_COLUMN]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    text = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
+    # several files may differ in column order: then their headers fail against the first one's
+    rows = reader.schema(text).option("enforceSchema", nameless).csv(path)
+    if ORDER_COLUMN in wanted and ORDER_COLUMN not in names:
+        rows = rows.withColumn(ORDER_COLUMN, F.monotonically_increasing_id().cast("string"))
+    return rows.select(*[f"`{c}`" for c in wanted])
 
 
 def write_csv(df: DataFrame, path: str) -> None:

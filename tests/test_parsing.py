@@ -2,6 +2,7 @@ from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridstats.functions.parsing import null_if_token, to_day, to_number, to_whole
 from gridstats.functions.times import lap_millis, millis_interval, pit_seconds, seconds_of_day
@@ -100,3 +101,16 @@ def test_wide_file_round_trip(spark):
         (1, None, None, 12.5, "None"),
         (2, 3, None, None, "None"),
     ]
+
+
+def test_wide_columns_are_found_by_name(spark):
+    path = scratch_path(spark, "csv")
+    wanted = T.StructType([T.StructField(c, T.StringType()) for c in ("_ord", "forename", "surname")])
+    swapped = spark.createDataFrame([("Max", "x", "One", "7")], "surname string, extra string, forename string, _ord string")
+    csv.write_csv(swapped, path)
+    assert [tuple(r) for r in csv.read_wide_csv(spark, path, wanted).collect()] == [("7", "One", "Max")]
+    with pytest.raises(ValueError, match="no column dob"):
+        csv.read_wide_csv(spark, path, T.StructType([*wanted, T.StructField("dob", T.StringType())]))
+    nameless = scratch_path(spark, "csv")
+    spark.createDataFrame([(",forename,surname",), ("3,One,Max",)], "value string").coalesce(1).write.text(nameless)
+    assert [tuple(r) for r in csv.read_wide_csv(spark, nameless, wanted).collect()] == [("3", "One", "Max")]
