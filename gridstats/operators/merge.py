@@ -156,9 +156,13 @@ def insert_ignore(rows: DataFrame, target: DataFrame, key: str, order_by: list[s
 def upsert_by_key(
     target: DataFrame, updates: DataFrame, key: list[str], order_by: str
 ) -> DataFrame:
-    """The target with every updated key replaced by its last update, and new keys added."""
-    latest = updates.select(*target.columns, F.col(order_by).alias("_seq"))
-    both = target.withColumn("_new", F.lit(0)).withColumn("_seq", F.lit(None).cast("long"))
+    """The target with every updated key replaced by its last update, and new keys added.
+
+    ``order_by`` may have any type that can be ordered, such as an arrival place.
+    """
+    latest = updates.select(*target.columns, F.col(order_by).alias("_last"))
+    kind = latest.schema["_last"].dataType
+    both = target.withColumn("_new", F.lit(0)).withColumn("_last", F.lit(None).cast(kind))
     both = both.unionByName(latest.withColumn("_new", F.lit(1)))
-    ranked = both.withColumn("_age", -F.col("_new")).withColumn("_back", -F.col("_seq"))
-    return first_per_key(ranked, key, ["_age", "_back"]).select(*target.columns)
+    order = [F.desc("_new"), F.col("_last").desc_nulls_last()]
+    return first_per_key(both, key, order).select(*target.columns)

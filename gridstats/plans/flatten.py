@@ -20,6 +20,14 @@ LISTS = {
     "races": "MRData.RaceTable.Races",
     "status": "MRData.StatusTable.Status",
 }
+# And of the kinds whose documents nest it in races or standings.
+PATHS = {
+    **LISTS,
+    **dict.fromkeys(("results", "laps", "pit_stops"), "MRData.RaceTable.Races"),
+    **dict.fromkeys(
+        ("driver_standings", "constructor_standings"), "MRData.StandingsTable.StandingsLists"
+    ),
+}
 _RACES = "doc.MRData.RaceTable.Races"
 _STANDINGS = "doc.MRData.StandingsTable.StandingsLists"
 

@@ -7,16 +7,31 @@ records into rows named like the target; ``merge_new`` does the rest.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import is_minute_text, lap_millis
-from ..operators.merge import REASON, Lookup, MergeSpec, merge_audit, merge_new, merge_rejects
+from ..operators.merge import (
+    REASON,
+    Lookup,
+    MergeSpec,
+    attach_parents,
+    merge_audit,
+    merge_new,
+    merge_rejects,
+)
 from ..schemas import TABLES
-from ..sources.documents import SEQ, parse_documents
-from ..sources.tables import StarTables
+from ..sources.documents import (
+    SEQ,
+    document_faults,
+    parse_documents,
+    parse_records,
+    validate_documents,
+)
+from ..sources.tables import ONE_OFF, StarTables, path_exists
 from . import flatten
 
 
@@ -387,8 +402,31 @@ LOADS: dict[str, Load] = {
 }
 
 
-def as_records(source: str, docs: DataFrame, mode: str = "reference") -> DataFrame:
-    """Documents in the form their load reads: pit stops, statuses and results are records."""
+# Sources that also come as flat topic records, their kind and required keys.
+RECORDS = {
+    "pit_stops": (
+        "pit_stop",
+        ("season", "round", "driverId", "stop", "lap_pitstops", "time_pitstops", "duration"),
+    ),
+    "status": ("status", ("status",)),
+    "results": ("result", ("round",)),
+}
+
+
+def as_records(
+    source: str, docs: DataFrame, mode: str = "reference", form: str = "document"
+) -> DataFrame:
+    """Input in the form its load reads: pit stops, statuses and results are records.
+
+    With ``form="record"`` the input holds flat topic records already, one per row; one without a
+    required key is kept with the reason ``missing_keys``.
+    """
+    if form == "record":
+        if source not in RECORDS:
+            raise ValueError(f"{source} comes as documents only, not as records")
+        kind, required = RECORDS[source]
+        places = {"_pos": F.lit(0), "_pos2": F.lit(0)}
+        return parse_records(docs, kind, required).withColumns(places)
     flattened = {
         "pit_stops": lambda d: flatten.flatten_pit_stops(d, mode),
         "status": flatten.flatten_status,
@@ -397,18 +435,129 @@ def as_records(source: str, docs: DataFrame, mode: str = "reference") -> DataFra
     return flattened[source](docs) if source in flattened else docs
 
 
+def _faults(load: Load, docs: DataFrame, form: str) -> DataFrame:
+    """Documents that give no rows because they are malformed or lack their list."""
+    if form == "record":  # a record that cannot be read is a rejected row
+        return docs.select("value", F.lit("").alias(REASON)).limit(0)
+    return document_faults(docs, flatten.PATHS[load.source]).select("value", REASON)
+
+
+def merge_batch(
+    load: Load,
+    docs: DataFrame,
+    tables: StarTables,
+    batch: int,
+    writer: str = ONE_OFF,
+    mode: str = "reference",
+    form: str = "document",
+    strict: bool = False,
+    waiting: DataFrame | None = None,
+) -> None:
+    """Merge one batch of input into its table, and keep what could not be loaded.
+
+    Beside the table, under the same writer and number, lie its rejected rows (``_rejects``), its
+    documents that gave no rows (``_faults``) and its row counts by outcome (``_audit``). All of
+    them depend only on the batch and on what was there before it, and replace what an earlier
+    attempt left. ``strict`` fails at the first faulty document instead.
+    """
+    table = load.spec.table
+    before = tables.as_of(table, batch, writer)
+    if strict and form == "document":
+        # the filter keeps the check in the plan
+        checked = validate_documents(docs, flatten.PATHS[load.source], strict=True)
+        docs = checked.where(F.col(REASON).isNull()).drop(REASON)
+    incoming = load.incoming(as_records(load.source, docs, mode, form), mode)
+    if REASON not in incoming.columns:
+        incoming = incoming.withColumn(REASON, F.lit(None).cast("string"))
+    if waiting is not None:
+        again = waiting.withColumn(REASON, F.lit(None).cast("string"))
+        incoming = incoming.unionByName(again.select(*incoming.columns))
+    # parents are looked up once, for the rows, the rejects and the counts
+    found = attach_parents(incoming, load.spec, before).persist()
+    alone = replace(load.spec, lookups=())
+    try:
+        tables.write_batch(table, merge_new(found, before[table], alone), batch, writer)
+        misses = found.where(F.col(REASON).isNotNull()).select(*incoming.columns)
+        misses.write.mode("overwrite").parquet(tables.place(f"_rejects/{table}", batch, writer))
+        faults = _faults(load, docs, form)
+        faults.write.mode("overwrite").parquet(tables.place(f"_faults/{table}", batch, writer))
+        counts = merge_audit(found, before[table], alone)
+        lost = faults.groupBy(F.col(REASON).alias("outcome")).agg(
+            F.count(F.lit(1)).alias("row_count")
+        )
+        lost = lost.select(F.lit(table).alias("table_name"), "outcome", "row_count")
+        counts.unionByName(lost).coalesce(1).write.mode("overwrite").parquet(
+            tables.place(f"_audit/{table}", batch, writer)
+        )
+    finally:
+        found.unpersist()
+
+
+def audit_of(tables: StarTables) -> DataFrame:
+    """Row counts of all stored batches as (table_name, outcome, row_count)."""
+    spark = tables.spark
+    schema = "table_name string, outcome string, row_count long"
+    parts = [
+        spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+        for path in (f"{tables.root}/_audit/{t}" for t in TABLES)
+        if path_exists(spark, path)
+    ]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.groupBy("table_name", "outcome").agg(F.sum("row_count").alias("row_count"))
+
+
+def retry_rejects(
+    load: Load, tables: StarTables, batch: int, writer: str = ONE_OFF, mode: str = "reference"
+) -> None:
+    """Try a batch's rows again that missed a parent, without waiting for new input.
+
+    They are merged as the writer's next batch, and what still misses a parent is rejected there.
+    """
+    waiting = waiting_rejects(load, tables, batch, writer)
+    if waiting is None:
+        return
+    empty = tables.spark.createDataFrame([], f"value string, {SEQ} {_seq_type(waiting)}")
+    form = "record" if load.source in RECORDS else "document"
+    merge_batch(load, empty, tables, batch + 1, writer, mode, form, waiting=waiting)
+
+
+def _seq_type(rows: DataFrame) -> str:
+    return rows.schema[SEQ].dataType.simpleString()
+
+
+def waiting_rejects(
+    load: Load, tables: StarTables, batch: int, writer: str
+) -> DataFrame | None:
+    """The rejected rows of a batch that a later parent could still let in."""
+    path = tables.place(f"_rejects/{load.spec.table}", batch, writer)
+    if not path_exists(tables.spark, path):
+        return None
+    reasons = [lookup.reason for lookup in load.spec.lookups]
+    return tables.spark.read.parquet(path).where(F.col(REASON).isin(*reasons))
+
+
 def merge_all(
-    documents: Mapping[str, DataFrame], tables: StarTables, mode: str = "reference"
+    documents: Mapping[str, DataFrame],
+    tables: StarTables,
+    mode: str = "reference",
+    forms: Mapping[str, str] | None = None,
+    batch: int | None = None,
+    strict: bool = False,
 ) -> dict[str, int]:
     """Merge documents of every kind into the stored star, in load order.
 
-    Returns the batch number each table was written under. Each table is stored before the next
-    load looks things up in it.
+    Returns the batch number each table was written under; ``batch`` states it, so that a repeated
+    run replaces its rows. ``forms`` names the sources that come as topic records. Each table is
+    stored before the next load looks things up in it; rejects and counts are kept (``audit_of``).
     """
     batches = {}
     for table, load in LOADS.items():
         if load.source not in documents:
             continue
-        docs = as_records(load.source, documents[load.source], mode)
-        batches[table] = tables.append(table, load.new_rows(docs, tables, mode))
+        number = tables.last_batch(table) + 1 if batch is None else batch
+        form = (forms or {}).get(load.source, "document")
+        merge_batch(load, documents[load.source], tables, number, mode=mode, form=form, strict=strict)
+        batches[table] = number
     return batches

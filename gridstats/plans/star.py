@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.dedupe import distinct_project, first_per_key
-from ..schemas import ORDER_COLUMN, TABLES
+from ..operators.merge import REASON
+from ..schemas import ORDER_COLUMN, PRIMARY_KEYS, TABLES
 from ..session import stage
 from ..sources.tables import StarTables
 
@@ -59,14 +61,34 @@ def split_all(wide: DataFrame) -> dict[str, DataFrame]:
 
 
 def load_star(
-    wide: DataFrame, tables: StarTables, on_loaded: Callable[[str, int], None] | None = None
+    wide: DataFrame,
+    tables: StarTables,
+    on_loaded: Callable[[str, int], None] | None = None,
+    batch: int | None = None,
 ) -> None:
     """Split the cleaned file and append it to the stored star, parents first.
 
-    Keyed tables take only rows whose id is new, so a repeated load adds nothing to them.
+    Keyed tables take only rows whose id is new; of several rows with one id the first of the file
+    stays, and the others are kept as rejects. ``batch`` numbers the load: a repeated load with the
+    same number replaces its rows, in every table.
     """
-    for table, rows in split_all(wide).items():
+    staged = stage(wide, "wide")
+    for table in LOAD_ORDER:
         columns = [f.name for f in TABLES[table]]
-        batch = tables.append_new(table, rows, columns)
+        number = tables.last_batch(table) + 1 if batch is None else batch
+        if table in PRIMARY_KEYS:
+            key = PRIMARY_KEYS[table]
+            # distinct rows, each with its first place in the file
+            rows = staged.groupBy(*columns).agg(F.min(ORDER_COLUMN).alias(ORDER_COLUMN))
+            tables.append_new(table, rows, [ORDER_COLUMN], number)
+            kept = tables[table].select(*columns)
+            known = tables.before(table, number).select(F.col(key).alias("_known"))
+            fresh = rows.join(known, F.col(key) == F.col("_known"), "left_anti")
+            drifting = fresh.select(*columns).exceptAll(kept)
+            drifting.withColumn(REASON, F.lit("repeated_id")).write.mode("overwrite").parquet(
+                tables.place(f"_rejects/{table}", number)
+            )
+        else:
+            tables.append(table, split_table(staged, table), number)
         if on_loaded:
-            on_loaded(table, batch)
+            on_loaded(table, number)

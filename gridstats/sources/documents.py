@@ -97,6 +97,13 @@ def has_path(path: str) -> Column:
     return F.get_json_object("value", f"$.{path}").isNotNull()
 
 
+def document_faults(docs: DataFrame, path: str) -> DataFrame:
+    """The documents that cannot be exploded, with the reason: malformed, or without ``path``."""
+    broken = F.json_object_keys("value").isNull()
+    reason = F.when(broken, F.lit("malformed")).when(~has_path(path), F.lit("missing_path"))
+    return docs.withColumn(REASON, reason).where(F.col(REASON).isNotNull())
+
+
 def validate_documents(docs: DataFrame, path: str, strict: bool = False) -> DataFrame:
     """Documents with ``_reason`` set where ``path`` is absent.
 

@@ -93,3 +93,21 @@ def test_star_split_keeps_the_first_name_of_an_id_and_all_drifting_teams(spark):
     assert tables["constructorDim"].count() == 1 and tables["driverDim"].count() == 1
     load_star(wide, tables)
     assert tables["driverDim"].count() == 1
+
+
+def test_star_load_keeps_the_first_of_the_file_and_can_be_repeated(spark):
+    columns = list(wide_types())
+
+    def row(ord_, name, lap):
+        values = {ORDER_COLUMN: str(ord_), "constructorId": "4", "name": name, "raceId": "1", "lap": lap, "driverId": "1"}
+        return tuple(values.get(c) for c in columns)
+
+    rows = [row(9, "Alpha", "2"), row(1, "Zeta", "1"), row(3, "Zeta", "1")]
+    wide = clean_wide(spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in columns)))
+    tables = StarTables(spark, scratch_path(spark, "star"))
+    for _ in range(2):
+        load_star(wide, tables, batch=0)
+        assert [r.name for r in tables["constructorDim"].collect()] == ["Zeta"]
+        assert tables["lapsDim"].count() == 2
+        kept = spark.read.parquet(tables.place("_rejects/constructorDim", 0)).collect()
+        assert [(r.name, r._reason) for r in kept] == [("Alpha", "repeated_id")]

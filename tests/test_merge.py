@@ -6,7 +6,15 @@ from pyspark.sql import functions as F
 from gridstats.operators.ids import allocate_ids
 from gridstats.operators.merge import upsert_by_key
 from gridstats.plans import flatten
-from gridstats.plans.loads import LOADS, as_records, merge_all, results_load
+from gridstats.plans.loads import (
+    LOADS,
+    as_records,
+    audit_of,
+    merge_all,
+    merge_batch,
+    results_load,
+    retry_rejects,
+)
 from gridstats.session import scratch_path
 from gridstats.sources import documents
 from gridstats.sources.tables import StarTables
@@ -238,7 +246,7 @@ def test_stream_equals_batch_and_survives_a_replay(spark, star, files):
     whole = star["driverDim"].unionByName(expected).collect()
     assert {r.driverRef for r in whole} == {ref for _, ref in state()}
     assert [i for i, _ in state()] == [3, 7, 8, 9, 10]
-    # the same batches again, as after a lost checkpoint: every batch rewrites its own folder
+    # the same batches again from a new checkpoint: a writer of its own, and no key is new
     merge_stream(source, LOADS["driverDim"], tables, scratch_path(spark, "offsets")).awaitTermination()
     assert [i for i, _ in state()] == [3, 7, 8, 9, 10]
 
@@ -273,3 +281,81 @@ def test_records_of_documents(spark):
     records = as_records("status", docs(spark, status))
     text = documents.to_records(records).first().value
     assert json.loads(text) == {"statusId": 1, "status": "Finished"}
+
+
+def drivers_named(tables):
+    return sorted(r.driverRef for r in tables["driverDim"].collect())
+
+
+def test_writers_do_not_replace_each_other(spark):
+    tables = StarTables(spark, scratch_path(spark, "star"))
+    load = LOADS["driverDim"]
+
+    def stream(name, checkpoint):
+        landing = scratch_path(spark, "landing")
+        documents.write_documents(docs(spark, drivers(name)), landing)
+        source = stream_folder(spark, landing)
+        merge_stream(source, load, tables, checkpoint).awaitTermination()
+
+    stream("s0", scratch_path(spark, "offsets"))
+    merge_all({"drivers": docs(spark, drivers("batch_a"))}, tables)
+    merge_all({"drivers": docs(spark, drivers("batch_b"))}, tables)
+    stream("s1", scratch_path(spark, "offsets"))
+    assert drivers_named(tables) == ["batch_a", "batch_b", "s0", "s1"]
+    merge_all({"drivers": docs(spark, drivers("batch_c"))}, tables, batch=1)
+    assert drivers_named(tables) == ["batch_a", "batch_c", "s0", "s1"]
+    tables.compact("driverDim")
+    assert drivers_named(tables) == ["batch_a", "batch_c", "s0", "s1"]
+    assert tables.last_batch("driverDim") == 1
+
+
+def test_faulty_documents_are_kept_and_counted(spark):
+    tables = StarTables(spark, scratch_path(spark, "star"))
+    broken = spark.createDataFrame([("{oops",)], "value string")
+    rows = docs(spark, drivers("a"), {"MRData": {}})
+    rows = rows.unionByName(broken.withColumn("_seq", F.lit(9).cast(rows.schema["_seq"].dataType)))
+    merge_all({"drivers": rows}, tables)
+    counts = {(r.outcome, r.row_count) for r in audit_of(tables).collect()}
+    assert counts == {("inserted", 1), ("malformed", 1), ("missing_path", 1)}
+    with pytest.raises(Exception, match="no MRData"):
+        merge_all({"drivers": rows}, tables, strict=True)
+
+
+def test_topic_records_are_merged(spark):
+    tables = StarTables(spark, scratch_path(spark, "star"))
+    texts = [{"statusId": 1, "status": "Finished"}, {"statusId": 2}, {"statusId": 3, "status": "Engine"}]
+    merge_all({"status": docs(spark, *texts)}, tables, forms={"status": "record"})
+    assert {r.status for r in tables["raceStatusDim"].collect()} == {"Finished", "Engine"}
+    outcomes = {(r.outcome, r.row_count) for r in audit_of(tables).collect()}
+    assert outcomes == {("inserted", 2), ("missing_keys", 1)}
+    with pytest.raises(ValueError, match="documents only"):
+        as_records("laps", docs(spark, {}), form="record")
+
+
+def test_every_reject_is_kept_and_parents_may_come_late(spark):
+    from datetime import date
+
+    tables = StarTables(spark, scratch_path(spark, "star"))
+    load = LOADS["lapsDim"]
+    days = spark.createDataFrame([(11, date(2024, 3, 3))], "raceId long, date date")
+    columns = [F.lit(None).alias(f.name) for f in tables["raceDim"].schema if f.name not in days.columns]
+    tables.append("raceDim", days.select("*", *columns))
+    laps = lap_race(("late", "1", "1:30.0"), ("late", "2", "x:y:z"))
+    merge_batch(load, docs(spark, laps), tables, 0)
+    kept = spark.read.parquet(tables.place("_rejects/lapsDim", 0))
+    assert {r._reason for r in kept.collect()} == {"missing_driver", "bad_time"}
+    one = spark.createDataFrame([(1, "late")], "driverId long, driverRef string")
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in tables["driverDim"].schema if f.name not in one.columns]
+    tables.append("driverDim", one.select("*", *columns))
+    retry_rejects(load, tables, 0)
+    assert tables["lapsDim"].count() == 1
+
+
+def test_upsert_orders_by_any_type(spark):
+    target = spark.createDataFrame([(1, "old"), (2, "keep")], "id long, name string")
+    updates = spark.createDataFrame(
+        [(1, "late", (0, 9)), (1, "early", (0, 2)), (3, "new", (1, 0))],
+        "id long, name string, seq struct<p:int,o:int>",
+    )
+    found = upsert_by_key(target, updates, ["id"], "seq").collect()
+    assert sorted(map(tuple, found)) == [(1, "late"), (2, "keep"), (3, "new")]
