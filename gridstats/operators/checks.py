@@ -33,8 +33,56 @@ def key_violations(df: DataFrame, key: str) -> DataFrame:
 
 
 def check_references(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Per declared reference: child rows and distinct child values without a parent."""
-    return reduce(DataFrame.unionByName, (orphan_report(tables, *r) for r in REFERENCES))
+    """Per declared reference: child rows and distinct child values without a parent.
+
+    A child table is read once: its reference columns are stacked and counted per value.
+    """
+    children: dict[str, list[tuple[str, str, str]]] = {}
+    for child, column, parent, parent_column in REFERENCES:
+        children.setdefault(child, []).append((column, parent, parent_column))
+    return reduce(
+        DataFrame.unionByName, (_child_report(tables, c, refs) for c, refs in children.items())
+    )
+
+
+def _child_report(
+    tables: Mapping[str, DataFrame], child: str, refs: list[tuple[str, str, str]]
+) -> DataFrame:
+    cells = [
+        F.struct(F.lit(i).alias("ref"), F.col(column).cast("string").alias("value"))
+        for i, (column, _, _) in enumerate(refs)
+    ]
+    values = (
+        tables[child]
+        .select(F.inline(F.array(*cells)))
+        .where(F.col("value").isNotNull())
+        .groupBy("ref", "value")
+        .agg(F.count(F.lit(1)).alias("row_count"))
+    )
+    known = reduce(
+        DataFrame.unionByName,
+        (
+            tables[parent]
+            .select(F.lit(i).alias("ref"), F.col(column).cast("string").alias("value"))
+            .distinct()
+            for i, (_, parent, column) in enumerate(refs)
+        ),
+    )
+    lost = values.join(known, ["ref", "value"], "left_anti").groupBy("ref").agg(
+        F.sum("row_count").alias("rows"), F.count(F.lit(1)).alias("values")
+    )
+    spark = values.sparkSession
+    names = spark.createDataFrame(
+        [(i, column, parent) for i, (column, parent, _) in enumerate(refs)],
+        "ref int, child_column string, parent_table string",
+    )
+    return names.join(lost, "ref", "left").select(
+        F.lit(child).alias("child_table"),
+        "child_column",
+        "parent_table",
+        F.coalesce("rows", F.lit(0)).cast("long").alias("orphan_rows"),
+        F.coalesce("values", F.lit(0)).cast("long").alias("orphan_values"),
+    )
 
 
 def orphans(

@@ -12,8 +12,12 @@ from pyspark.sql import types as T
 def sample_rows(
     df: DataFrame, key: Sequence[str], n: int = 10, seed: int = 1, columns: Sequence[str] = ()
 ) -> DataFrame:
-    """``n`` rows picked by a seeded hash of the key: repeatable whatever the partitioning."""
-    picked = df.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(n)
+    """``n`` rows picked by a seeded hash of the key: repeatable whatever the partitioning.
+
+    The hash is the MD5 of the seed and the key as text, joined by colons.
+    """
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])
+    picked = df.orderBy(F.md5(text), *key).limit(n)
     return picked.select(*columns) if columns else picked
 
 

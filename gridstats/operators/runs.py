@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_FIRST = -(1 << 62)  # before every part
+
 
 def longest_runs(
     rows: DataFrame,
@@ -14,20 +16,26 @@ def longest_runs(
     member: str,
     order_by: Sequence[str],
     flags: Mapping[str, Column],
+    part: Column | None = None,
 ) -> DataFrame:
     """Per member, the most of its rows in one unbroken run of flagged rows, for every flag.
 
     Rows are ordered within their history; a row whose flag is false or null ends the run. Several
     members may share a history: a run then spans them all, and each counts its own rows in it.
 
-    A history may be too long for one task. The rows are therefore range-partitioned by history
-    and order, which cuts a long history into stretches. Within a stretch, runs that touch neither
+    A history may be too long for one task, so it is cut into stretches. ``part`` is a whole number
+    that never falls along the order and names them: then one shuffle brings a stretch together.
+    Without it the rows are range-partitioned by history and order first. Within a stretch, runs that touch neither
     end are finished; only the counts at its two ends travel on, at most one row per stretch,
     member and flag, and are added up across the seams.
     """
     marks = [F.coalesce(test, F.lit(False)).alias(flag) for flag, test in flags.items()]
-    rows = rows.select(history, member, *order_by, *marks)
-    parts = rows.repartitionByRange(history, *order_by).withColumn("_part", F.spark_partition_id())
+    if part is None:
+        rows = rows.select(history, member, *order_by, *marks)
+        cut = rows.repartitionByRange(history, *order_by)
+        parts = cut.withColumn("_part", F.spark_partition_id().cast("long"))
+    else:
+        parts = rows.select(history, member, *order_by, *marks, part.cast("long").alias("_part"))
 
     stretch = Window.partitionBy("_part", history).orderBy(*order_by)
     so_far = stretch.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -59,15 +67,20 @@ def longest_runs(
     )
 
     # A seam is named by the last broken stretch before it. The head of a stretch continues the
-    # seam before it, the tail opens the seam the stretch itself names.
+    # seam before it, the tail opens the seam the stretch itself names. Whether a stretch is broken
+    # is the same for all its members, so the window sees one row per stretch and flag.
     earlier = (
         Window.partitionBy(history, "_flag")
         .orderBy("_part")
         .rangeBetween(Window.unboundedPreceding, -1)
     )
-    seam = F.coalesce(F.max(F.when(F.col("_broken"), F.col("_part"))).over(earlier), F.lit(-1))
+    seam = F.coalesce(F.max(F.when(F.col("_broken"), F.col("_part"))).over(earlier), F.lit(_FIRST))
+    place = ["_part", history, "_flag"]
+    stretches = ends.groupBy(*place).agg(F.max("_broken").alias("_broken"))
+    seams = stretches.select(*[F.col(c).alias(f"_at_{c}") for c in place], seam.alias("_before"))
+    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in place]
     joined = (
-        ends.withColumn("_before", seam)
+        ends.join(seams, same)
         .select(
             member,
             "_flag",

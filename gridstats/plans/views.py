@@ -470,7 +470,9 @@ def streaks(tables: Tables, entity: Entity) -> DataFrame:
         "longest_podium_streak": F.col("positionOrder") <= 3,
         "longest_winning_streak": F.col("positionOrder") == 1,
     }
-    runs = longest_runs(rows, "_history", "_member", ["date", "resultId"], flags)
+    # a history has few results on one date, and few dates
+    day = F.coalesce(F.unix_date("date"), F.lit(-(1 << 30)))
+    runs = longest_runs(rows, "_history", "_member", ["date", "resultId"], flags, day)
     labelled = names.withColumnRenamed(entity.id_column, "_member")
     return runs.join(labelled, "_member").select(*entity.labels, *flags)
 

@@ -643,6 +643,9 @@ def profile_statements() -> dict[str, str]:
             " FROM result"
         ),
         "check_pk": keys,
+        "profile_sample": (
+            "SELECT * FROM result ORDER BY md5('1:' || resultId), resultId LIMIT 10"
+        ),
         "check_fk": orphans,
     }
     return {key: f"{ROLES}{body}" for key, body in bodies.items()}

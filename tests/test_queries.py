@@ -45,5 +45,5 @@ def test_entry_has_rows(spark):
 
 def test_every_statement_has_its_query():
     assert set(oracle_sql()) <= set(queries())
-    assert set(all_queries()) - set(oracle_sql()) == {"merge_all_counts", "profile_sample"}
+    assert set(all_queries()) - set(oracle_sql()) == {"merge_all_counts"}
     assert set(STAR_KEYS.values()) == set(STAR)
