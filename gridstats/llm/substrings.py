@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,8 @@ from .suffixes import Pieces, equal_windows
 SIZE = 50
 GRAM = 20
 HOT = 4096
-BLOCK_BYTES = 4 << 20
-BLOCKS_A_BUCKET = 4
+BLOCK_BYTES = 8 << 20
+BLOCKS_A_BUCKET = 1
 MOST_BUCKETS = 20_000
 NOBODY = np.iinfo(np.int64).max
 _REACH = SIZE - GRAM + 1  # anchors of one string
@@ -65,18 +66,24 @@ def _slide(least, x: np.ndarray, width: int) -> np.ndarray:
     return least(x[: len(x) - (width - done)], x[width - done :]) if done < width else x
 
 
+@lru_cache
+def _powers(which: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse, for a segment with its margins."""
+    made = []
+    for base in (_BASE[which], _BACK[which]):
+        power = np.full(_SEGMENT + 2 * _MARGIN + 1, base, np.uint64)
+        power[0] = 1
+        made.append(np.cumprod(power))
+    return tuple(made)
+
+
 class Runs:
     """Hashes of any run of a text from prefix sums, modulo 2**64."""
 
     def __init__(self, data: np.ndarray, which: int = 0):
-        power = np.full(len(data) + 1, _BASE[which], np.uint64)
-        power[0] = 1
-        np.cumprod(power, out=power)
+        power, self.back = _powers(which)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_VALUE[which][data] * power[:-1], out=self.sums[1:])
-        back = np.full(len(data) + 1, _BACK[which], np.uint64)
-        back[0] = 1
-        self.back = np.cumprod(back)
+        np.cumsum(_VALUE[which][data] * power[: len(data)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
@@ -104,9 +111,6 @@ class Segment:
         self.low = low = max(0, first - _MARGIN)
         self.data = data = texts.data[low : last + _MARGIN]
         n = len(data)
-        at = np.arange(n)
-        document = np.searchsorted(texts.end, at + low, side="right")
-        stop = texts.end[document] - low
         empty = np.zeros(0, np.int64)
         self.place = self.document = self.begin = self.stop = empty
         self.anchor = self.context = empty.astype(np.uint64)
@@ -120,14 +124,17 @@ class Segment:
             gram = _mix(gram + words[step : n + step] * _BASE[1])
         gram |= np.uint64(1)  # zero is kept for strings that cross documents
         smallest = _slide(np.minimum, gram[: n - GRAM + 1], _REACH)
-        smallest[at[: len(smallest)] + SIZE > stop[: len(smallest)]] = 0
+        inside = slice(*np.searchsorted(texts.end, [low, low + n + SIZE]))
+        for end in (texts.end[inside] - low).tolist():
+            smallest[max(0, end - SIZE + 1) : max(0, end)] = 0
         edge = np.zeros(_REACH - 1, np.uint64)
         chosen = _slide(np.maximum, np.concatenate([edge, smallest, edge]), _REACH)
         place = np.nonzero(chosen == gram[: len(chosen)])[0]
         place = place[(place + low >= first) & (place + low < last)]
-        self.place, self.document = place, document[place]
+        self.place = place
+        self.document = np.searchsorted(texts.end, place + low, side="right")
         begin = np.maximum(texts.start[self.document] - low, place - (_REACH - 1))
-        self.begin, self.stop = begin, np.minimum(stop[place], place + SIZE)
+        self.begin, self.stop = begin, np.minimum(texts.end[self.document] - low, place + SIZE)
         self.anchor = gram[place] >> np.uint64(16)
         self.runs = Runs(data)
         inside = (place - begin).astype(np.uint64)
@@ -155,12 +162,15 @@ def _from_six(raw: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _first_of(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by the keys (the first one first), and where a new combination starts in it."""
+def _first_of(*keys: np.ndarray, also: tuple = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Order by the keys (the first one first), and where a new combination starts in it.
+
+    ``also`` are columns that the last key stands for: they part rows but do not order them.
+    """
     order = np.lexsort(keys[::-1])
     change = np.ones(len(order), bool)
     change[1:] = False
-    for key in keys:
+    for key in (*keys, *also):
         sorted_key = key[order]
         change[1:] |= sorted_key[1:] != sorted_key[:-1]
     return order, np.nonzero(change)[0]
@@ -202,12 +212,13 @@ def _claims(buckets: int):
             )
             block, ids = blocks[document], texts.ids[document]
             bucket = (anchor % np.uint64(buckets)).astype(np.int64)
-            order, start = _first_of(bucket * (int(blocks.max(initial=0)) + 1) + block, anchor, context)
+            goal = bucket * (int(blocks.max(initial=0)) + 1) + block
+            order, start = _first_of(goal, _key(anchor, context), also=(anchor, context))
             least = np.minimum.reduceat(ids[order], start) if len(start) else ids[:0]
             most = np.maximum.reduceat(ids[order], start) if len(start) else ids[:0]
             own = order[start]
             out = {k: [] for k in _arrow(_CLAIMS).names}
-            for _, part in _cut_by(bucket[own] * (int(blocks.max(initial=0)) + 1) + block[own]):
+            for _, part in _cut_by(goal[own]):
                 mine = own[part]
                 out["bucket"].append(int(bucket[mine[0]]))
                 out["block"].append(int(block[mine[0]]))
@@ -242,6 +253,13 @@ def _judge(table: pa.Table) -> pa.Table:
     sizes = [len(x) // 6 for x in _column(table, "anchors")]
     block = np.repeat(np.array(_column(table, "block"), np.int64), sizes)
     out = {n: [] for n in _arrow(_REPLIES).names}
+    if len(anchor):
+        # most anchors stand once: they go before anything else is sorted
+        by = np.argsort(anchor)
+        own = anchor[by]
+        change = np.append(True, own[1:] != own[:-1])
+        twice = by[~(change & np.append(change[1:], True)) | (many[by] > 0)]
+        anchor, context, ids, many, block = (x[twice] for x in (anchor, context, ids, many, block))
     if len(anchor):
         order, start = _first_of(anchor, context)
         pair = _spread(start, len(order))
