@@ -24,6 +24,7 @@ from ..operators.merge import (
     merge_rejects,
 )
 from ..schemas import TABLES
+from ..session import temporary_stages
 from ..sources.documents import (
     SEQ,
     document_faults,
@@ -476,11 +477,14 @@ def merge_batch(
     found = attach_parents(incoming, load.spec, before).persist()
     alone = replace(load.spec, lookups=())
     try:
-        tables.write_batch(table, merge_new(found, before[table], alone), batch, writer)
+        with temporary_stages(tables.spark):
+            rows = merge_new(found, before[table], alone)
+            tables.write_batch(table, rows, batch, writer)
         misses = found.where(F.col(REASON).isNotNull()).select(*incoming.columns)
         misses.write.mode("overwrite").parquet(tables.place(f"_rejects/{table}", batch, writer))
         faults = _faults(load, docs, form)
         faults.write.mode("overwrite").parquet(tables.place(f"_faults/{table}", batch, writer))
+        # the counts see the table as it was before the batch
         counts = merge_audit(found, before[table], alone)
         lost = faults.groupBy(F.col(REASON).alias("outcome")).agg(
             F.count(F.lit(1)).alias("row_count")

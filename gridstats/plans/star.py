@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.dedupe import distinct_project, first_per_key
 from ..operators.merge import REASON
 from ..schemas import ORDER_COLUMN, PRIMARY_KEYS, TABLES
-from ..session import stage
+from ..session import stage, temporary_stages
 from ..sources.tables import StarTables
 
 # Tables that keep the first row of each id, in file order; all others keep distinct rows.
@@ -72,23 +72,24 @@ def load_star(
     stays, and the others are kept as rejects. ``batch`` numbers the load: a repeated load with the
     same number replaces its rows, in every table.
     """
-    staged = stage(wide, "wide")
-    for table in LOAD_ORDER:
-        columns = [f.name for f in TABLES[table]]
-        number = tables.last_batch(table) + 1 if batch is None else batch
-        if table in PRIMARY_KEYS:
-            key = PRIMARY_KEYS[table]
-            # distinct rows, each with its first place in the file
-            rows = staged.groupBy(*columns).agg(F.min(ORDER_COLUMN).alias(ORDER_COLUMN))
-            tables.append_new(table, rows, [ORDER_COLUMN], number)
-            kept = tables[table].select(*columns)
-            known = tables.before(table, number).select(F.col(key).alias("_known"))
-            fresh = rows.join(known, F.col(key) == F.col("_known"), "left_anti")
-            drifting = fresh.select(*columns).exceptAll(kept)
-            drifting.withColumn(REASON, F.lit("repeated_id")).write.mode("overwrite").parquet(
-                tables.place(f"_rejects/{table}", number)
-            )
-        else:
-            tables.append(table, split_table(staged, table), number)
-        if on_loaded:
-            on_loaded(table, number)
+    with temporary_stages(tables.spark):
+        staged = stage(wide, "wide")
+        for table in LOAD_ORDER:
+            columns = [f.name for f in TABLES[table]]
+            number = tables.last_batch(table) + 1 if batch is None else batch
+            if table in PRIMARY_KEYS:
+                key = PRIMARY_KEYS[table]
+                # distinct rows, each with its first place in the file
+                rows = staged.groupBy(*columns).agg(F.min(ORDER_COLUMN).alias(ORDER_COLUMN))
+                tables.append_new(table, rows, [ORDER_COLUMN], number)
+                kept = tables[table].select(*columns)
+                known = tables.before(table, number).select(F.col(key).alias("_known"))
+                fresh = rows.join(known, F.col(key) == F.col("_known"), "left_anti")
+                drifting = fresh.select(*columns).exceptAll(kept)
+                drifting.withColumn(REASON, F.lit("repeated_id")).write.mode("overwrite").parquet(
+                    tables.place(f"_rejects/{table}", number)
+                )
+            else:
+                tables.append(table, split_table(staged, table), number)
+            if on_loaded:
+                on_loaded(table, number)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,13 +54,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_OPEN = threading.local()
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside when the block ends; its results must be written by then."""
+    outer = getattr(_OPEN, "paths", None)
+    _OPEN.paths = paths = []
+    try:
+        yield
+    finally:
+        _OPEN.paths = outer
+        for path in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the scratch folder and read it back.
 
     This cuts the lineage: what follows sees fixed rows however often tasks are retried, and
-    the optimizer sees the true size.
+    the optimizer sees the true size. The copy stays until the scratch folder goes, or until the
+    enclosing ``temporary_stages`` block ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if getattr(_OPEN, "paths", None) is not None:
+        _OPEN.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -351,6 +351,21 @@ def test_every_reject_is_kept_and_parents_may_come_late(spark):
     assert tables["lapsDim"].count() == 1
 
 
+def test_micro_batches_leave_no_staged_copies(spark):
+    import os
+
+    from gridstats.session import scratch_dir
+
+    def staged():
+        return [n for n in os.listdir(scratch_dir(spark)) if n.startswith("ids-")]
+
+    tables = StarTables(spark, scratch_path(spark, "star"))
+    known = set(staged())
+    for number in range(3):
+        merge_batch(LOADS["driverDim"], docs(spark, drivers(f"d{number}")), tables, number, "stream-x")
+    assert drivers_named(tables) == ["d0", "d1", "d2"] and set(staged()) == known
+
+
 def test_upsert_orders_by_any_type(spark):
     target = spark.createDataFrame([(1, "old"), (2, "keep")], "id long, name string")
     updates = spark.createDataFrame(
