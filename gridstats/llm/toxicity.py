@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,7 +45,8 @@ ALIKE = 0.5
 TRAIN_ROWS = 3000
 _WIDTHS = (6, 9, 12, 16, WIDTH)  # words of like length are taken together
 _HEADS = range(9, 4, -1)  # bytes of a beginning, with the mark
-_SEEN = 400_000  # words a task remembers
+_TOGETHER = 256  # texts whose words are held at once
+_SEEN = 300_000  # words a task remembers
 
 _LEET = dict(zip(b"013457", b"oieast", strict=True))
 _FOLD = bytes(
@@ -221,12 +222,16 @@ class Model:
             old = self.seen[word]
             self.seen[word] = found[k] if old is None else np.maximum(old, found[k])
 
-    def similarities(self, texts: Iterable[str | None]) -> np.ndarray:
+    def similarities(self, texts: Sequence[str | None]) -> np.ndarray:
         """Best similarity of each text's words to each landmark, then the second best."""
+        parts = [self._similarities(texts[i : i + _TOGETHER]) for i in range(0, len(texts), _TOGETHER)]
+        return np.concatenate(parts) if parts else np.zeros((0, 2 * len(self.landmarks)), np.float32)
+
+    def _similarities(self, texts: Sequence[str | None]) -> np.ndarray:
         bags = [words_of(t) for t in texts]
         if len(self.seen) > _SEEN:
             self.seen.clear()
-        fresh = set().union(*bags) - self.seen.keys() if bags else set()
+        fresh = set().union(*bags) - self.seen.keys()
         self._learn_words(list(fresh))
         out = np.zeros((len(bags), 2, len(self.landmarks)), np.float32)
         for k, bag in enumerate(bags):
@@ -236,7 +241,7 @@ class Model:
                 out[k, : len(two)] = two
         return out.reshape(len(bags), -1)
 
-    def scores(self, texts: Iterable[str | None]) -> np.ndarray:
+    def scores(self, texts: Sequence[str | None]) -> np.ndarray:
         margin = self.similarities(texts) @ self.weights + self.bias
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
@@ -375,8 +380,7 @@ def score_toxicity(
         own = Model(*parts)
         for batch in batches:
             texts = batch["_text"].to_pylist()
-            scores = [own.scores(texts[i : i + 256]) for i in range(0, len(texts), 256)]
-            column = pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())
+            column = pa.array(own.scores(texts), pa.float64())
             carried = [batch[c].cast(arrow.field(c).type) for c in kept]
             yield pa.RecordBatch.from_arrays([*carried, column], schema=arrow)
 
