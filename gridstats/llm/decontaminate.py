@@ -12,7 +12,6 @@ staged between the passes.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -230,8 +229,3 @@ def decontaminate(
         F.col("_items").alias("item_ids"),
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
-
-
-def items_digest(items: Sequence[str]) -> str:
-    """As the query writes it; for tests."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

@@ -46,6 +46,8 @@ MARKS = frozenset(
     " copyright disclaimer".split()
 )
 _ATTRIBUTES = ("class", "id", "role")
+_ROOTS = ("#root", "html", "body")
+_PLAIN = ("p", "h1", "h2", "h3", "h4", "h5", "h6")
 _PIECE = re.compile(r"[A-Za-z]+")
 
 
@@ -165,32 +167,27 @@ def measure(root: Node) -> None:
 
 
 def article_of(root: Node) -> Node:
-    """The node of the largest density sum, or the one above it that the threshold lets in."""
+    """The subtree with the largest density sum, widened as far as the threshold allows.
+
+    The threshold is the smallest density on the path from the body to that subtree. The choice
+    climbs the path while everything beside it is text rather than links and notes: denser than the
+    threshold, or not mostly links. The body itself is taken if only paragraphs lie beside.
+    """
     best = max(reversed(_post_order(root)), key=lambda n: n.total)
-    path, node = [], best
-    while node is not None and node.name != "#root":
-        path.append(node)
-        if node.name == "body":
-            break
-        node = node.parent
-    threshold = min((n.density for n in path), default=0.0)
-    # siblings that are as dense as the path belong to the article: go up while all text is in such
-    while best.parent is not None and best.parent.name not in ("#root", "html", "body"):
-        others = [
-            c
-            for c in best.parent.children
-            if c is not best and (isinstance(c, Node) and c.chars or isinstance(c, str) and c.strip())
-        ]
-        if any(isinstance(c, Node) and c.density < threshold and c.link_chars * 2 > c.chars for c in others):
-            break
-        best = best.parent
-    if best.name in ("#root", "html", "body"):
+    if best.name in _ROOTS:
         return best
-    around = best.parent
-    if around is not None and around.name == "body":
-        rest = [c for c in around.children if isinstance(c, Node) and c is not best and c.chars]
-        if rest and all(c.density >= threshold and c.name in ("p", *(f"h{i}" for i in range(1, 7))) for c in rest):
-            return around
+    path = [best]
+    while path[-1].parent is not None and path[-1].parent.name != "#root":
+        path.append(path[-1].parent)
+    threshold = min(n.density for n in path)
+    for node in path[1:]:
+        beside = [c for c in node.children if isinstance(c, Node) and c is not best and c.chars]
+        if node.name in _ROOTS:
+            plain = beside and all(c.name in _PLAIN and c.density >= threshold for c in beside)
+            return node if plain and node.name == "body" else best
+        if any(c.density < threshold and 2 * c.link_chars > c.chars for c in beside):
+            return best
+        best = node
     return best
 
 

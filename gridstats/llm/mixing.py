@@ -290,7 +290,3 @@ def fill_targets(sizes: dict[str | None, int], weights: Sequence[float] = WEIGHT
             out[s] = float(most * sizes[s])
             open_.remove(s)
     return out
-
-
-def words_column(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(WORD)).cast("long")

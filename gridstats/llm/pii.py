@@ -20,7 +20,6 @@ in its map tasks first.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -337,8 +336,3 @@ def _rewritten(text: Column, spans: Column) -> Column:
     )
     tail = F.substring(text, (folded["at"] + 1).cast("int"), F.length(text))
     return F.concat(folded["out"], tail)
-
-
-def information(chance: float) -> float:
-    """Bits of an event; for tests."""
-    return -math.log2(chance)
