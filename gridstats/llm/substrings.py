@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,7 @@ NOBODY = np.iinfo(np.int64).max
 _REACH = SIZE - GRAM + 1  # anchors of one string
 _SEGMENT = 2 << 20  # bytes looked at together
 _MARGIN = 2 * SIZE
+_TOGETHER = 8 << 20  # bytes of a batch whose anchors are held at once
 _CHUNK = 4000  # contexts in one suffix order
 _LOW48 = np.uint64((1 << 48) - 1)
 
@@ -92,12 +94,29 @@ class Runs:
 class Texts:
     """Documents of a block, end to end, seen in segments."""
 
-    def __init__(self, ids: np.ndarray, texts: list[bytes]):
+    def __init__(self, ids: np.ndarray, texts: pa.Array | pa.ChunkedArray):
         self.ids = ids
-        self.data = np.frombuffer(b"".join(texts), np.uint8)
-        self.length = np.array([len(t) for t in texts], np.int64)
-        self.end = np.cumsum(self.length)
-        self.start = self.end - self.length
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        # the column's own bytes, without a copy
+        raw = texts.cast(pa.large_string()) if len(texts) else pa.array([], pa.large_string())
+        _, offsets, data = raw.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[raw.offset : raw.offset + len(raw) + 1]
+        if not len(raw):
+            bounds = np.zeros(1, np.int64)
+        whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        self.data = whole[bounds[0] : bounds[-1]]
+        self.end = bounds[1:] - bounds[0]
+        self.start = bounds[:-1] - bounds[0]
+
+    @staticmethod
+    def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """A batch in slices of about ``_TOGETHER`` bytes of text."""
+        size = np.cumsum(pc.binary_length(batch["text"]).to_numpy().astype(np.int64))
+        cuts = np.unique(np.searchsorted(size, np.arange(_TOGETHER, int(size[-1:].sum()) + 1, _TOGETHER)))
+        for a, b in zip([0, *(cuts + 1)], [*(cuts + 1), len(batch)], strict=True):
+            if b > a:
+                yield batch.slice(a, b - a)
 
     def segments(self) -> Iterator[Segment]:
         for first in range(0, len(self.data), _SEGMENT):
@@ -201,9 +220,9 @@ def _claims(buckets: int):
     """Anchors of a batch of documents: the smallest id per (block, anchor, context)."""
 
     def scan(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in Texts.parts(whole)):
             blocks = batch["block"].to_numpy()
-            texts = Texts(batch["id"].to_numpy(), [x.encode() for x in batch["text"].to_pylist()])
+            texts = Texts(batch["id"].to_numpy(), batch["text"])
             parts = [(s.anchor, s.context, s.document) for s in texts.segments()]
             anchor, context, document = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (
                 np.zeros(0, np.uint64),
@@ -346,7 +365,7 @@ def _ask(buckets: int):
 
 
 def _texts(docs: pa.Table) -> Texts:
-    return Texts(docs.column("id").to_numpy(), [x.encode() for x in _column(docs, "text")])
+    return Texts(docs.column("id").to_numpy(), docs.column("text"))
 
 
 def _rows_of(table: pa.Table, *kinds: int) -> pa.Table:

@@ -99,7 +99,7 @@ def test_repeats_across_segments(spark, monkeypatch):
     substrings._powers.cache_clear()
     rows = repeat_rows()
     texts = substrings.Texts(
-        substrings.np.arange(len(rows)), [(t or "").encode() for _, t in rows]
+        substrings.np.arange(len(rows)), substrings.pa.array([t or "" for _, t in rows])
     )
     parts = [(s.place + s.low, s.anchor, s.context) for s in texts.segments()]
     cut = [substrings.np.concatenate(x) for x in zip(*parts, strict=True)]
