@@ -293,6 +293,11 @@ def _judge(table: pa.Table) -> pa.Table:
         kept = np.nonzero(shared[group])[0]
         again, once = _first_of(block[order][kept], kind[group[kept]], pair[kept])
         mine = kept[again[once]]
+        # a block whose one document of the anchor is the smallest holder has nothing to remove
+        largest = np.maximum.reduceat(ids[order][kept][again], once) if len(once) else ids[:0]
+        more = np.maximum.reduceat(many[order][kept][again], once) if len(once) else many[:0]
+        own_only = (kind[group[mine]] == SAME) & (largest == least[group[mine]]) & (more == 0)
+        mine = mine[~own_only]
         for _, part in _cut_by(block[order][mine] * 4 + kind[group[mine]]):
             rows = mine[part]
             out["block"].append(int(block[order][rows[0]]))
@@ -310,7 +315,10 @@ def _key(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return _mix(one * _BASE[1] + two)
 
 
-_ASKED = "bucket int, block int, kind int, ones binary, twos binary, ids binary, sizes binary, texts binary"
+_ASKED = (
+    "bucket int, block int, kind int, ones binary, twos binary, ids binary, many binary, sizes binary,"
+    " texts binary"
+)
 
 
 def _ask(buckets: int):
@@ -347,6 +355,7 @@ def _ask(buckets: int):
                 bucket = (one % np.uint64(buckets)).astype(np.int64)
                 order, start = _first_of(bucket, one, two)
                 least = np.minimum.reduceat(ids[order], start)
+                most = np.maximum.reduceat(ids[order], start)
                 own = order[start]
                 for number, part in _cut_by(bucket[own]):
                     mine = own[part]
@@ -356,6 +365,7 @@ def _ask(buckets: int):
                     out["ones"].append(_six(one[mine]))
                     out["twos"].append(_six(two[mine]))
                     out["ids"].append(least[part].astype("<i8").tobytes())
+                    out["many"].append((most[part] != least[part]).astype(np.uint8).tobytes())
                     out["sizes"].append(size[mine].astype(np.uint8).tobytes())
                     raw = [texts.data[a : a + n].tobytes() for a, n in zip(begin[mine], size[mine], strict=True)]
                     out["texts"].append(b"".join(raw) if kind == MIXED else b"")
@@ -394,6 +404,7 @@ def _answer(table: pa.Table) -> pa.Table:
             continue
         one, two = map(_from_six, _joined(rows, "ones", "twos"))
         ids = np.frombuffer(_joined(rows, "ids")[0], "<i8")
+        many = np.frombuffer(_joined(rows, "many")[0], np.uint8)
         counts = [len(x) // 6 for x in _column(rows, "ones")]
         block = np.repeat(np.array(_column(rows, "block"), np.int64), counts)
         order, start = _first_of(one, two)
@@ -404,6 +415,9 @@ def _answer(table: pa.Table) -> pa.Table:
         runs = np.searchsorted(piece, holder, side="right") - (begin := np.searchsorted(piece, holder))
         entry = np.repeat(np.arange(len(order)), runs)
         run = np.repeat(begin, runs) + np.arange(len(entry)) - np.repeat(np.cumsum(runs) - runs, runs)
+        # a run whose smallest id is the block's one holder of the piece removes nothing there
+        useful = (smallest[run] < ids[order][entry]) | (many[order][entry] > 0)
+        entry, run = entry[useful], run[useful]
         to = block[order][entry]
         again = np.argsort(to, kind="stable")
         entry, run, to = entry[again], run[again], to[again]
@@ -570,7 +584,8 @@ def remove_repeats(
     placed = plain.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     path = scratch_path(spark, "blocks")
     name = "blocks_" + path.rsplit("-", 1)[1]
-    placed.write.bucketBy(buckets, "block").option("path", path).saveAsTable(name)
+    stored_as = placed.write.bucketBy(buckets, "block").option("compression", "zstd")
+    stored_as.option("path", path).saveAsTable(name)
     stored = spark.table(name)
 
     claims = stored.mapInArrow(_claims(buckets), _CLAIMS)
