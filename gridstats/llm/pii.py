@@ -4,17 +4,21 @@ Patterns find the protected entities (mail and network addresses, card and phone
 other terms reveal an entity is estimated from the corpus: a term discloses an entity if seeing the
 term makes the entity so likely that ``share`` of the entity's information is gone,
 ``pmi(term, entity) >= share * information(entity)``. Co-occurrence is counted over distinct
-contexts (copies of a passage are one), and a term needs ``support`` of them. Terms over the
+contexts (copies of a passage are one), and a term needs ``support`` of them; a term's other uses
+count once per distinct words around them. Terms over the
 threshold become spans as well; sanitising generalises entities to their kind and removes terms.
 
 1. One pass finds entities and the words around them (``around`` on either side).
 2. Pairs of term and entity with enough support, from partial counts.
 3. One pass counts these terms over the whole corpus. A bitmap of fixed size (``_SLOTS`` longs,
    however many terms there are) keeps other words out of that shuffle; what passes by accident is
-   dropped by the join that follows.
-4. The pairs' contexts come back to their texts by a join on narrow keys.
+   dropped by the join that follows. Every occurrence counts here, so what passes is settled.
+4. Terms that do not pass may owe their count to copies. One more pass counts their distinct
+   contexts; of a term far too frequent only a slice of the hashes is counted, which bounds the
+   count from below. Terms whose slice does not settle them are counted whole.
+5. The pairs' contexts come back to their texts by a join on narrow keys.
 
-Nothing but the fixed bitmap and two totals reaches the driver; a frequent entity or term is summed
+Nothing but bitmaps of fixed size and totals reaches the driver; a frequent entity or term is summed
 in its map tasks first.
 """
 
@@ -38,6 +42,10 @@ SHARE = 0.6
 SUPPORT = 3
 AROUND = 6
 _SLOTS = 1 << 14  # of 64 bits
+_LEVELS = 40  # a slice halves the hashes so often at most
+_NONE = 255
+_HELD = 1 << 16  # contexts a task holds at once, beside those of one text
+_SLICE = 8  # contexts looked at for each that a passing term may have
 _SMALL_ROWS = 50_000  # a side of so many narrow rows may be broadcast
 
 # The base patterns. Possessive runs and the looks behind only forbid starts that
@@ -194,6 +202,86 @@ def _term_counts(docs: DataFrame, text_column: str, bitmap: dict[int, int]) -> D
     return counted.groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def _slices(terms: DataFrame) -> bytes:
+    """The least level asked for in each of ``64 * _SLOTS`` places, ``_NONE`` where no term is."""
+
+    def mark(batches):
+        for batch in batches:
+            held: dict[int, int] = {}
+            for term, level in zip(batch["term"].to_pylist(), batch["level"].to_pylist(), strict=True):
+                slot, bit = _slot(term)
+                at = slot << 6 | bit
+                held[at] = min(level, held.get(at, level))
+            # a row per 64 slots and level, as bits
+            bits: Counter = Counter()
+            for at, level in held.items():
+                bits[at >> 6, level] |= 1 << (at & 63)
+            rows = [(s, v, b - (1 << 64) if b >> 63 else b) for (s, v), b in bits.items()]
+            columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["slot", "level", "bits"])
+
+    marked = terms.select("term", "level").mapInArrow(mark, "slot int, level int, bits long")
+    out = bytearray([_NONE]) * (64 * _SLOTS)
+    for r in marked.groupBy("slot", "level").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
+        for bit in range(64):
+            if r["bits"] >> bit & 1:
+                at = r["slot"] << 6 | bit
+                out[at] = min(r["level"], out[at])
+    return bytes(out)
+
+
+def _context_counts(docs: DataFrame, terms: DataFrame, text_column: str, around: int) -> DataFrame:
+    """(term, seen): the distinct contexts of each term in its slice (level 0 takes all of them).
+
+    Beside an entity the context is the entity with the words around it, as pairs are counted;
+    elsewhere it is the words around the term.
+    """
+    slices = _slices(terms)
+
+    def rows_of(held):
+        rows = list(held)
+        columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int32()))]
+        return pa.RecordBatch.from_arrays(columns, ["term", "key", "depth"])
+
+    def count(batches):
+        for batch in batches:
+            held: set = set()
+            levels: dict[str, int] = {}
+            for text in batch["text"].to_pylist():
+                words = [w.lower() for w in _WORD.findall(text)]
+                for w in words:
+                    if w not in levels:
+                        slot, bit = _slot(w)
+                        levels[w] = slices[slot << 6 | bit]
+                chosen = [i for i, w in enumerate(words) if levels[w] != _NONE]
+                if not chosen:
+                    continue
+                near: dict[int, list[str]] = {}
+                found = entities(text)
+                for entity, mark, beside in contexts(text, found, around):
+                    for _, start, _ in beside:
+                        near.setdefault(start, []).append(f"{entity}\0{mark}")
+                starts = [m.start() for m in _WORD.finditer(text)] if near else None
+                for i in chosen:
+                    beside = near.get(starts[i]) if near else None
+                    context = sorted(beside) if beside else words[max(0, i - around) : i + around + 1]
+                    key = xxhash.xxh64_intdigest("\0".join(context)) >> 1
+                    level = min(_LEVELS, (key & -key).bit_length() - 1) if key else _LEVELS
+                    if level >= levels[words[i]]:
+                        held.add((words[i], key, level))
+                if len(held) > _HELD:
+                    yield rows_of(held)
+                    held.clear()
+            yield rows_of(held)
+
+    found = docs.select(whole_text(text_column).alias("text")).mapInArrow(count, "term string, key long, depth int")
+    # at most a row per level and term is left before the join
+    by_depth = found.distinct().groupBy("term", "depth").agg(F.count(F.lit(1)).alias("m"))
+    inside = F.when(F.col("depth") >= F.col("level"), F.col("m"))
+    joined = terms.select("term", "level").join(by_depth, "term", "left")
+    return joined.groupBy("term").agg(F.coalesce(F.sum(inside), F.lit(0)).alias("seen"))
+
+
 def disclosing_pairs(
     docs: DataFrame, marked: DataFrame, text_column: str, share: float, support: int, around: int
 ) -> DataFrame:
@@ -213,11 +301,30 @@ def disclosing_pairs(
     per_entity = (
         words.select("entity", "mark").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("alone"))
     )
-    joined = pairs.join(per_entity, "entity").join(counts, "term")
     chance = F.least(F.lit(1.0), F.col("alone") / F.lit(units))
-    given = F.least(F.lit(1.0), F.col("both") / F.greatest("n", "both"))
-    pmi = F.log2(given / chance)
-    return joined.where((chance < 1) & (pmi >= share * -F.log2(chance))).select("entity", "term")
+    joined = pairs.join(per_entity, "entity").join(counts, "term").withColumn("chance", chance).where("chance < 1")
+    weighed = stage(joined.select("entity", "term", "both", "n", "chance"), "weighed")
+
+    def told(n: Column) -> Column:
+        given = F.least(F.lit(1.0), F.col("both") / F.greatest(n, F.col("both")))
+        return F.log2(given / F.col("chance")) >= share * -F.log2("chance")
+
+    # the most contexts a term may have, over its pairs that copies may keep from passing
+    most = F.floor(F.max(F.col("both") * F.pow("chance", F.lit(share - 1)))) + 1
+    open_ = weighed.where(~told(F.col("n"))).groupBy("term").agg(F.max("n").alias("n"), most.alias("most"))
+    excess = F.floor(F.log2(F.greatest(F.lit(1.0), F.col("n") / (_SLICE * F.col("most")))))
+    level = F.least(F.lit(_LEVELS), excess).cast("int")
+    open_ = stage(open_.select("term", "most", level.alias("level")), "open")
+    if open_.isEmpty():
+        return weighed.where(told(F.col("n"))).select("entity", "term")
+    seen = stage(open_.join(_context_counts(docs, open_, text_column, around), "term"), "seen")
+    unsettled = (F.col("level") > 0) & (F.col("seen") <= F.col("most"))
+    rest = stage(seen.where(unsettled).select("term", F.lit(0).alias("level")), "rest")
+    settled = seen.where(~unsettled).select("term", "seen")
+    if not rest.isEmpty():
+        settled = settled.union(_context_counts(docs, rest, text_column, around).select("term", "seen"))
+    right = weighed.join(settled, "term", "left").where(told(F.coalesce("seen", "n")))
+    return right.select("entity", "term")
 
 
 def find_personal_data(

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from gridstats.llm import simhash
+from gridstats.llm import pii, simhash
 from gridstats.llm.graph import connected_components
 from gridstats.llm.mixing import fill_targets, mix, mix_blocks, mix_rows, split_quotas
 from gridstats.llm.neighbours import chi_square_cdf, chi_square_point, nearest
@@ -338,3 +338,25 @@ def test_sanitise_equals_plain_form(spark):
     assert sanitise(docs).columns == docs.columns
     assert find_personal_data(docs).select(listed(F.col("spans"))).first()[0].startswith("email:2:")
     assert sanitise(docs.limit(0)).collect() == [] and find_personal_data(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("slice_", [8, 0.001])
+def test_copies_do_not_hide_terms(spark, monkeypatch, slice_):
+    monkeypatch.setattr(pii, "_SLICE", slice_)
+    rnd = random.Random(8)
+    word = ["".join(rnd.choices("abcdefghij", k=rnd.randint(3, 7))) for _ in range(200)]
+    say = lambda n: " ".join(rnd.choices(word, k=n))
+    beside = [f"{say(9)} zorblax joe@mail.example.com writes {say(9)} zorblax {say(9)}" for _ in range(3)]
+    # a whole text and a passage of one in other texts, copied often
+    texts = beside + beside[:1] * 800 + [f"{say(5)} {beside[1]} {say(5)}" for _ in range(400)]
+    # the window of an entity and nothing more of the passage
+    own = [f"{say(5)} quux ann@mail.example.com {say(6)}" for _ in range(3)]
+    texts += own + [f"{say(9)} {own[0]} {say(9)}" for _ in range(300)]
+    # one wording around many entities: its words give none of them away
+    texts += [f"please kindly mail to u{i % 150}@mail.example.com {say(6)}" for i in range(600)]
+    texts += [f"please kindly mail to u{i}@mail.example.com or leave word here today" for i in range(200)]
+    texts += [say(60) for _ in range(1500)]
+    docs = docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    found = {texts[int(r["id"])][s["start"] : s["end"]] for r in find_personal_data(docs).collect() for s in r["terms"]}
+    assert {"zorblax", "writes", "quux"} <= found
+    assert not found & {"please", "kindly", "mail"}
