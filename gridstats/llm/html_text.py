@@ -36,6 +36,10 @@ CUT = frozenset(
     "head script style noscript template nav header footer aside form button select option textarea"
     " input iframe object svg canvas menu dialog audio video title".split()
 )
+# What can stand in a head, whose end tag may be left out.
+HEAD = frozenset(
+    "base basefont bgsound head html link meta noframes noscript script style template title".split()
+)
 # Words in a class, id or role that mark what is not the article.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion popup"
@@ -70,6 +74,8 @@ class _Tree(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if self.cut and self.cut[0] == "p" and tag in BLOCKS:
             self.cut.clear()  # a block ends an open paragraph, a cut one as well
+        if self.cut == ["head"] and tag not in HEAD or tag == "body" and self._in_head():
+            self.cut.clear()  # what cannot stand in a head ends it
         if self.cut:
             if tag not in EMPTY:
                 self.cut.append(tag)
@@ -92,6 +98,8 @@ class _Tree(HTMLParser):
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
+        if tag in ("body", "html") and self._in_head():
+            self.cut.clear()
         if self.cut:
             if tag in self.cut:
                 while self.cut.pop() != tag:
@@ -105,9 +113,14 @@ class _Tree(HTMLParser):
             self.at = node.parent
 
     def handle_data(self, data):
+        if self.cut == ["head"] and not data.isspace():
+            self.cut.clear()
         if not self.cut and data:
             self.at.children.append(data)
 
+    def _in_head(self) -> bool:
+        return bool(self.cut) and self.cut[0] == "head" and "template" not in self.cut
+
     @staticmethod
     def _marked(tag, attrs) -> bool:
         if tag in ("html", "body", "article", "main"):

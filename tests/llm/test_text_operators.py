@@ -137,6 +137,13 @@ def test_article_in_plain_elements():
     assert "cookies" not in main_text(page) and "One" not in main_text(page)
 
 
+@pytest.mark.parametrize(
+    "rest", ["<body><p>text</body>", "<p>text", "text", "<noscript><b>x</b></noscript><meta><div>text</div></body>"]
+)
+def test_head_without_end_tag(rest):
+    assert main_text(f"<html><head><title>x</title><style>y</style>\n{rest}</html>") == "text"
+
+
 @pytest.mark.parametrize("html", [None, "", "<html></html>", "<nav>only</nav>", "<script>x", "<p", "&amp", "</p></div>"])
 def test_odd_pages(html):
     assert main_text(html) in ("", "&", "<p")
