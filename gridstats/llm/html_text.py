@@ -1,8 +1,11 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree (a forgiving parser: a new paragraph closes an open one, stray end tags are
-ignored). Elements that by their name, role or class hold menus, headers, footers, sidebars,
-notices, adverts, forms, comments or code are cut. Every node left gets its link-adjusted
+ignored). Elements that by their name hold menus, headers, footers, forms or code are cut. So are
+those with a class, id or role for menus, sidebars, notices, adverts or comments: a whole token of
+such words ("ad", "site-footer"; not "no-sidebar" or "article-header"). But a marked element with
+most of the page's text outside links stays, unless it holds comments or an article lies outside
+marked elements; densities decide about it. Every node left gets its link-adjusted
 characters per tag; a node's sum is that of its children. Along the path from the body to the node
 with the largest sum, the smallest density is the threshold: the topmost node of the path that
 reaches it on its own sum is the article, whose blocks are returned.
@@ -49,17 +52,27 @@ MARKS = frozenset(
     " commentlist reply replies respond disqus discussion search contentinfo complementary form"
     " copyright disclaimer".split()
 )
+# Words that say where in a page something is, or how much, beside a mark.
+PLACES = frozenset(
+    "site page global main primary secondary top bottom left right upper lower mobile desktop list"
+    " area box bar block section container wrapper wrap inner outer item items link links button"
+    " buttons icons unit slot side".split()
+)
+# Marks of what readers wrote.
+TALK = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
 _ATTRIBUTES = ("class", "id", "role")
+_MAIN = ("html", "body", "article", "main")
 _ROOTS = ("#root", "html", "body")
 _PLAIN = ("p", "h1", "h2", "h3", "h4", "h5", "h6")
 _PIECE = re.compile(r"[A-Za-z]+")
 
 
 class Node:
-    __slots__ = ("name", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "parent")
+    __slots__ = ("name", "marks", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "parent")
 
     def __init__(self, name: str, parent: Node | None):
         self.name, self.parent = name, parent
+        self.marks: frozenset | set = frozenset()
         self.children: list[Node | str] = []
 
 
@@ -70,6 +83,7 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", None)
         self.cut: list[str] = []  # open elements from the outermost cut one down
+        self.marked: list[Node] = []
 
     def handle_starttag(self, tag, attrs):
         if self.cut and self.cut[0] == "p" and tag in BLOCKS:
@@ -82,11 +96,14 @@ class _Tree(HTMLParser):
             return
         if tag in BLOCKS:
             self._close_paragraph()
-        if tag in CUT or self._marked(tag, attrs):
+        if tag in CUT or tag not in _MAIN and any(k == "hidden" for k, _ in attrs):
             if tag not in EMPTY:
                 self.cut.append(tag)
             return
         node = Node(tag, self.at)
+        node.marks = self._marks(tag, attrs)
+        if node.marks:
+            self.marked.append(node)
         self.at.children.append(node)
         if tag not in EMPTY:
             self.at = node
@@ -122,13 +139,16 @@ class _Tree(HTMLParser):
         return bool(self.cut) and self.cut[0] == "head" and "template" not in self.cut
 
     @staticmethod
-    def _marked(tag, attrs) -> bool:
-        if tag in ("html", "body", "article", "main"):
-            return False
-        words = [v for k, v in attrs if k in _ATTRIBUTES and v]
-        if any(k == "hidden" for k, _ in attrs):
-            return True
-        return any(w.lower() in MARKS for v in words for w in _PIECE.findall(v))
+    def _marks(tag, attrs) -> set:
+        """The marks among the whole tokens of class, id and role."""
+        if tag in _MAIN:
+            return set()
+        found = set()
+        for token in " ".join(v for k, v in attrs if k in _ATTRIBUTES and v).split():
+            pieces = {w.lower() for w in _PIECE.findall(token) if len(w) > 1}
+            if pieces <= MARKS | PLACES:
+                found |= pieces & MARKS
+        return found
 
     def _open(self, tag) -> Node | None:
         node = self.at
@@ -153,6 +173,28 @@ def _post_order(root: Node) -> list[Node]:
     return order[::-1]
 
 
+def cut_marked(root: Node, marked: list[Node]) -> None:
+    """Take out marked elements, but for those that hold most of the text outside links."""
+    order = _post_order(root)
+    plain: dict[Node, int] = {}
+    for node in order:
+        inner = [c for c in node.children if isinstance(c, Node)]
+        text = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        plain[node] = 0 if node.name == "a" else text + sum(plain[c] for c in inner)
+    total, inside = plain[root], set()
+    for node in reversed(order):  # parents come first
+        if node.marks or node.parent in inside:
+            inside.add(node)
+    article = any(n.name in ("article", "main") and plain[n] and n not in inside for n in order)
+    gone = set()
+    for node in marked:
+        least = total if article or node.marks & TALK else total // 2 + 1
+        if plain[node] < least or not total:
+            gone.add(node)
+    for parent in {n.parent for n in gone}:
+        parent.children = [c for c in parent.children if c not in gone]
+
+
 def measure(root: Node) -> None:
     """Characters, tags, link characters and link tags of every node, then densities and sums."""
     order = _post_order(root)
@@ -231,6 +273,8 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(html or "")
     tree.close()
+    if tree.marked:
+        cut_marked(tree.root, tree.marked)
     measure(tree.root)
     if not tree.root.chars:
         return ""

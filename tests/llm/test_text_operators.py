@@ -144,6 +144,27 @@ def test_head_without_end_tag(rest):
     assert main_text(f"<html><head><title>x</title><style>y</style>\n{rest}</html>") == "text"
 
 
+STORY = "<h2>Head</h2><p>A long first paragraph of the story.</p><p>And a second one, long as well.</p>"
+
+
+@pytest.mark.parametrize(
+    "name", ["no-sidebar", "has-sidebar", "with-nav x", "search-result", "article-header", "page sidebar", "widget"]
+)
+def test_marks_do_not_lose_the_article(name):
+    page = f"""<body><div id="top-menu"><a href="1">One</a> <a href="2">Two</a></div>
+      <div class="{name}">{STORY}</div><div class="site-footer">All rights</div></body>"""
+    assert main_text(page) == "Head\nA long first paragraph of the story.\nAnd a second one, long as well."
+
+
+def test_marked_heading_and_long_comments():
+    talk = "<p>I disagree with this and say so at some length.</p>" * 9
+    for mark in ('class="comments"', 'id="comment-list"'):
+        page = f'<body><div><div class="article-header"><h1>Top</h1></div>{STORY}</div><div {mark}>{talk}</div></body>'
+        assert main_text(page).startswith("Top\nHead\nA long") and "disagree" not in main_text(page)
+    aside = f'<body><article>{STORY}</article><div class="sidebar">{talk}</div></body>'
+    assert main_text(aside).startswith("Head") and "disagree" not in main_text(aside)
+
+
 @pytest.mark.parametrize("html", [None, "", "<html></html>", "<nav>only</nav>", "<script>x", "<p", "&amp", "</p></div>"])
 def test_odd_pages(html):
     assert main_text(html) in ("", "&", "<p")
