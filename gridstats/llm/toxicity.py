@@ -13,8 +13,11 @@ is trained on the labelled texts and calibrated to probabilities.
 
 Training runs on a bounded sample of the labelled rows (``TRAIN_ROWS`` of either label, smallest
 hashes first), gathered on the driver. Scoring reads every whole text in one pass without a
-shuffle. A cheap necessary condition (shared pairs of characters at most three apart) keeps most
-words away from the kernel; similarities below ``FLOOR`` count as none.
+shuffle. Similarities below ``FLOOR`` count as none. By Cauchy and Schwarz a similarity is at most
+the root of the share of a landmark's squared weights that lies on subsequences the word has too;
+such a subsequence brings its three ordered pairs of characters, so a third of the weights summed
+over a word's pairs bounds that share from above. Only words whose bound is below ``FLOOR`` squared
+skip the kernel.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import re
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -161,36 +165,40 @@ class Model:
     def __post_init__(self):
         self.seen: dict[bytes, np.ndarray | None] = {}
         self.own = [_self_kernel(_padded([w]))[0] for w in self.landmarks]
-        pairs = [self._pairs(w) for w in self.landmarks]
-        codes = sorted(set().union(*pairs)) if pairs else []
-        place = {code: divmod(i, 64) for i, code in enumerate(codes)}
-        # bit of each pair of characters, and the bits each landmark asks for
-        self.tables = np.zeros((len(codes) // 64 + 1, 1 << 16), np.uint64)
-        self.asks = np.zeros((len(self.tables), len(pairs)), np.uint64)
-        for code, (table, bit) in place.items():
-            self.tables[table, code] = np.uint64(1) << np.uint64(bit)
-        for j, own in enumerate(pairs):
-            for table, bit in map(place.get, own):
-                self.asks[table, j] |= np.uint64(1) << np.uint64(bit)
-        self.least = [max(2, math.ceil(len(own) * 0.6)) for own in pairs]
+        shares = [self._shares(w) for w in self.landmarks]
+        codes = sorted(set().union(*shares))
+        # row of each ordered pair of characters (0: in no landmark), and its share by landmark
+        self.rows = np.zeros(1 << 16, np.int32)
+        self.rows[codes] = np.arange(1, len(codes) + 1)
+        self.shares = np.zeros((len(codes) + 1, len(self.landmarks)), np.float32)
+        for j, own in enumerate(shares):
+            for code, share in own.items():
+                self.shares[self.rows[code], j] = share
 
     @staticmethod
-    def _pairs(word: bytes) -> set[int]:
-        return {word[i] << 8 | word[i + 1] for i in range(len(word) - 1)}
+    def _shares(word: bytes) -> dict[int, float]:
+        """A third of the share of squared weights on subsequences with each ordered pair."""
+        weights: dict[tuple, float] = {}
+        for at in combinations(range(len(word)), ORDER):
+            key = tuple(word[i] for i in at)
+            weights[key] = weights.get(key, 0.0) + DECAY ** (at[-1] - at[0] + 1)
+        total = sum(x * x for x in weights.values())
+        shares: dict[int, float] = {}
+        for (a, b, c), x in weights.items():
+            for code in (a << 8 | b, a << 8 | c, b << 8 | c):
+                shares[code] = shares.get(code, 0.0) + x * x / total / 3
+        return shares
 
     def _near(self, rows: np.ndarray) -> np.ndarray:
-        """(word, landmark): whether enough of the landmark's neighbouring pairs appear in order."""
-        wide = np.ascontiguousarray(rows.T).astype(np.intp)
-        counts = np.zeros((len(self.landmarks), len(rows)), np.uint8)
-        for table, asks in zip(self.tables, self.asks, strict=True):
-            held = np.zeros(len(rows), np.uint64)
-            for gap in (1, 2, 3):
-                for i in range(len(wide) - gap):
-                    held |= table[wide[i] << 8 | wide[i + gap]]
-            for j, ask in enumerate(asks):
-                if ask:
-                    counts[j] += np.bitwise_count(held & ask)
-        return (counts >= np.array(self.least, np.uint8)[:, None]).T
+        """(word, landmark): whether the similarity may reach ``FLOOR``."""
+        wide = np.ascontiguousarray(rows.T).astype(np.int32)
+        bound = np.zeros((len(rows), len(self.landmarks)), np.float32)
+        for i in range(len(wide)):
+            for k in range(i + 1, len(wide)):
+                at = self.rows[wide[i] << 8 | wide[k]]
+                some = np.nonzero(at)[0]
+                bound[some] += self.shares[at[some]]
+        return bound >= 0.999 * FLOOR * FLOOR
 
     def _learn_words(self, words: list[bytes]) -> None:
         """Remember the similarities of new words; ``None`` stands for none at all."""

@@ -13,7 +13,18 @@ from gridstats.llm.mixing import fill_targets, mix, mix_blocks, mix_rows, split_
 from gridstats.llm.neighbours import chi_square_cdf, chi_square_point, nearest
 from gridstats.llm.pii import entities, find_personal_data, listed, luhn, sanitise, sanitised
 from gridstats.llm.simhash import forest, keep_first, near_duplicates
-from gridstats.llm.toxicity import held_out, kernel, score_toxicity, train, train_on, words_of
+from gridstats.llm.toxicity import (
+    FLOOR,
+    POWER,
+    Model,
+    _padded,
+    held_out,
+    kernel,
+    score_toxicity,
+    train,
+    train_on,
+    words_of,
+)
 
 DOCS = "doc_id long, text string, source string, size string, taken string, label string"
 
@@ -219,6 +230,28 @@ def test_held_out_accuracy(spark):
     assert score_toxicity(docs.limit(0), model).collect() == []
 
 
+def test_no_word_loses_the_kernel():
+    landmarks = [b"^scum", b"^block", b"^numb", b"^blok", b"^idiot", b"^anna", b"^worthlessness"]
+    rnd = random.Random(9)
+    words = [b"^scumbag", b"^blockhead", b"^numbskull", b"^scm", b"^idt", b"^aaaa", b"^"]
+    for _ in range(1500):
+        mixed = bytearray(rnd.choice(landmarks)[1:])
+        for _ in range(rnd.randint(0, 5)):
+            at = rnd.randrange(len(mixed) + 1)
+            mixed[at : at + rnd.randint(0, 1)] = bytes(rnd.choices(b"abcdeiklmnostuw", k=rnd.randint(0, 2)))
+        words.append(b"^" + bytes(mixed)[:20])
+    words = sorted({w for w in words if len(w) > 3})
+    model = Model(landmarks, np.zeros(2 * len(landmarks)), 0.0, 1.0, 0.0)
+    right = kernel(words, landmarks)
+    near = np.concatenate([model._near(_padded([w])) for w in words])
+    assert near[right >= FLOOR].all() and not near.all()
+    model._learn_words(words)
+    for word in (b"^scumbag", b"^blockhead", b"^numbskull"):
+        got = np.zeros(len(landmarks)) if model.seen[word] is None else model.seen[word]
+        alone = right[words.index(word)]
+        assert (got >= np.where(alone >= FLOOR, alone, 0) ** POWER - 1e-3).all() and got.any()
+
+
 def test_training_on_nothing(spark):
     model = train([], [])
     assert ((model.scores([None, "x"]) >= 0) & (model.scores([None, "x"]) < 0.5)).all()
