@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path, stage
 from .common import table
+from .conversations import audit_conversations, conversation_digests, damage, repaired_turns
 from .decontaminate import decontaminate
 from .html_text import extract_text
 from .mixing import mix
@@ -17,8 +19,10 @@ from .pii import listed as listed_personal
 from .secret_scan import BASE_RULES, listed, scan_secrets
 from .simhash import near_duplicates
 from .substrings import remove_repeats
+from .token_ids import read_token_files, write_token_files
 from .toxicity import held_out, score_toxicity, train_on
 from .url_filter import filter_urls
+from .whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +101,29 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = damage(table(spark, folder, "conversations"))
+    audits = stage(audit_conversations(rows, copies="copies"), "audits")
+    digests = conversation_digests(repaired_turns(rows, audits, copies="copies"))
+    digests = digests.withColumnRenamed("conv_id", "_conv")
+    found = audits.join(digests, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
+    return found.withColumn("repaired_sha256", F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)))
+
+
+def whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
+def token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    docs = table(spark, folder, "documents")
+    write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    written = read_token_files(spark, path)
+    return written.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": substring_dedup,
@@ -109,4 +136,7 @@ def all_queries() -> dict[str, Query]:
         "op8_toxicity": toxicity,
         "op9_neighbours": neighbours,
         "op10_personal_data": personal_data,
+        "op11_conversation_repair": conversation_repair,
+        "op12_whitening": whitening,
+        "op13_token_ids": token_ids,
     }
