@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,10 +18,15 @@ def highest_id(target: DataFrame, id_column: str) -> int:
 
 
 def allocate_ids(
-    rows: DataFrame, id_column: str, order_by: Sequence[str], start: int = 0
+    rows: DataFrame,
+    id_column: str,
+    order_by: Sequence[str],
+    start: int | Callable[[int], int] = 0,
 ) -> DataFrame:
     """Add ``id_column`` = ``start`` + position of the row in ``order_by`` order, from 1.
 
+    ``start`` may be a function of the number of rows, such as one that leases as many ids.
+
     One range shuffle puts the rows in order over all tasks. Each row's task and place in it are
     staged, so the boundaries are drawn once. The only step on one task is the running sum over
     the per-task counts, one row per shuffle partition.
@@ -32,6 +37,8 @@ def allocate_ids(
         .withColumn("_place", F.monotonically_increasing_id())
     )
     staged = stage(ordered, "ids").withColumn("_slot", F.shiftright("_place", _ROW_BITS))
+    if callable(start):
+        start = start(staged.count())  # the row counts of the staged files
     before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         staged.groupBy("_slot")

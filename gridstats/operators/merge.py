@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dedupe import first_per_key
@@ -73,12 +74,14 @@ def merge_new(
     target: DataFrame,
     spec: MergeSpec,
     parents: Mapping[str, DataFrame] | None = None,
+    start: Callable[[int], int] | None = None,
 ) -> DataFrame:
     """The rows to append to ``target``.
 
     Incoming rows that miss a parent drop out; of several with one natural key the first stays;
     those whose key the target holds drop out; the rest get the next ids in arrival order. A key
-    with a null part equals no other key.
+    with a null part equals no other key. ``start`` gives the id before the first for a number of
+    rows; without it that is the target's highest id.
     """
     rows = attach_parents(incoming, spec, parents or {}).where(F.col(REASON).isNull())
     if spec.key:
@@ -89,12 +92,55 @@ def merge_new(
             rows.drop(spec.id_column),
             spec.id_column,
             spec.order_by,
-            highest_id(target, spec.id_column),
+            start or highest_id(target, spec.id_column),
         )
     kinds = dict(target.dtypes)
     return rows.selectExpr(*[f"CAST(`{c}` AS {kinds[c]}) AS `{c}`" for c in spec.columns])
 
 
+def merge_upsert(
+    incoming: DataFrame,
+    target: DataFrame,
+    spec: MergeSpec,
+    start: Callable[[int], int] | None = None,
+) -> DataFrame:
+    """What ``target`` becomes: known keys take the values of their last incoming row, new ones are added.
+
+    A known row keeps its id; new rows get the next ids in order of their key's first arrival. Rows
+    with a null part in their key are always new. ``incoming`` has its parents attached.
+    """
+    valid = incoming.where(F.col(REASON).isNull())
+    place = F.struct(*[F.col(c) for c in spec.order_by])
+    whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in spec.key])
+    each = Window.partitionBy(*spec.key, F.when(~whole, place))
+    ranked = valid.withColumns(
+        {
+            "_came": F.min(place).over(each),
+            "_last": F.row_number().over(each.orderBy(*[F.desc_nulls_last(c) for c in spec.order_by])),
+        }
+    ).where("_last = 1")
+    kinds = dict(target.dtypes)
+    values = [c for c in spec.columns if c not in spec.key and c != spec.id_column]
+    updates = ranked.select(
+        *[F.col(c).cast(kinds[c]).alias(f"_new_{c}") for c in (*spec.key, *values)], F.lit(True).alias("_hit")
+    )
+    match = [F.col(k) == F.col(f"_new_{k}") for k in spec.key]
+    kept = target.join(updates, match, "left").select(
+        *[
+            F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+            for c in spec.columns
+        ]
+    )
+    new = ranked.join(target.select(*spec.key), list(spec.key), "left_anti")
+    if spec.id_column:
+        new = new.drop(spec.id_column)
+        new = allocate_ids(
+            new, spec.id_column, ["_came"], start or highest_id(target, spec.id_column)
+        )
+    added = new.selectExpr(*[f"CAST(`{c}` AS {kinds[c]}) AS `{c}`" for c in spec.columns])
+    return kept.unionByName(added)
+
+
 def merge_rejects(
     incoming: DataFrame, spec: MergeSpec, parents: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:

@@ -6,7 +6,7 @@ records into rows named like the target; ``merge_new`` does the rest.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Container, Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -22,6 +22,7 @@ from ..operators.merge import (
     merge_audit,
     merge_new,
     merge_rejects,
+    merge_upsert,
 )
 from ..schemas import TABLES
 from ..session import temporary_stages
@@ -453,16 +454,23 @@ def merge_batch(
     form: str = "document",
     strict: bool = False,
     waiting: DataFrame | None = None,
+    upsert: bool = False,
 ) -> None:
     """Merge one batch of input into its table, and keep what could not be loaded.
 
+    Of the table only the buckets are read that the batch's keys fall in, and new ids are leased
+    from its manifest, so neither grows with what is stored, and two loads may run at once. With
+    ``upsert`` known keys take the new values and keep their ids: the buckets they lie in are
+    written anew.
+
     Beside the table, under the same writer and number, lie its rejected rows (``_rejects``), its
     documents that gave no rows (``_faults``) and its row counts by outcome (``_audit``). All of
     them depend only on the batch and on what was there before it, and replace what an earlier
     attempt left. ``strict`` fails at the first faulty document instead.
     """
-    table = load.spec.table
-    before = tables.as_of(table, batch, writer)
+    table, spec = load.spec.table, load.spec
+    if upsert and not spec.key:
+        raise ValueError(f"{table} has no natural key to update by")
     if strict and form == "document":
         # the filter keeps the check in the plan
         checked = validate_documents(docs, flatten.PATHS[load.source], strict=True)
@@ -474,18 +482,32 @@ def merge_batch(
         again = waiting.withColumn(REASON, F.lit(None).cast("string"))
         incoming = incoming.unionByName(again.select(*incoming.columns))
     # parents are looked up once, for the rows, the rejects and the counts
-    found = attach_parents(incoming, load.spec, before).persist()
-    alone = replace(load.spec, lookups=())
+    found = attach_parents(incoming, spec, tables).persist()
+    alone = replace(spec, lookups=())
+    keys = found.where(F.col(REASON).isNull()).select(*spec.key) if spec.key else None
+    before = tables.before(table, batch, writer, keys)
+
+    def lease(count: int) -> int:
+        return tables.manifest(table).lease_ids(writer, batch, count)
+
     try:
         with temporary_stages(tables.spark):
-            rows = merge_new(found, before[table], alone)
-            tables.write_batch(table, rows, batch, writer)
+            if upsert:
+                tables.rewrite(
+                    table, spec.key, keys, lambda t: merge_upsert(found, t, alone, lease), batch, writer
+                )
+            else:
+                rows = merge_new(found, before, alone, start=lease)
+                tables.write_batch(table, rows, batch, writer, spec.key)
         misses = found.where(F.col(REASON).isNotNull()).select(*incoming.columns)
         misses.write.mode("overwrite").parquet(tables.place(f"_rejects/{table}", batch, writer))
         faults = _faults(load, docs, form)
         faults.write.mode("overwrite").parquet(tables.place(f"_faults/{table}", batch, writer))
         # the counts see the table as it was before the batch
-        counts = merge_audit(found, before[table], alone)
+        counts = merge_audit(found, before, alone)
+        if upsert:
+            known = F.when(F.col("outcome") == "exists", "updated").otherwise(F.col("outcome"))
+            counts = counts.withColumn("outcome", known)
         lost = faults.groupBy(F.col(REASON).alias("outcome")).agg(
             F.count(F.lit(1)).alias("row_count")
         )
@@ -493,6 +515,7 @@ def merge_batch(
         counts.unionByName(lost).coalesce(1).write.mode("overwrite").parquet(
             tables.place(f"_audit/{table}", batch, writer)
         )
+        tables.settle(table, writer, batch)
     finally:
         found.unpersist()
 
@@ -549,10 +572,11 @@ def merge_all(
     forms: Mapping[str, str] | None = None,
     batch: int | None = None,
     strict: bool = False,
+    upsert: Container[str] = (),
 ) -> dict[str, int]:
     """Merge documents of every kind into the stored star, in load order.
 
-    Returns the batch number each table was written under; ``batch`` states it, so that a repeated
+    ``upsert`` names the tables whose known rows are updated. Returns the batch number each table was written under; ``batch`` states it, so that a repeated
     run replaces its rows. ``forms`` names the sources that come as topic records. Each table is
     stored before the next load looks things up in it; rejects and counts are kept (``audit_of``).
     """
@@ -562,6 +586,15 @@ def merge_all(
             continue
         number = tables.last_batch(table) + 1 if batch is None else batch
         form = (forms or {}).get(load.source, "document")
-        merge_batch(load, documents[load.source], tables, number, mode=mode, form=form, strict=strict)
+        merge_batch(
+            load,
+            documents[load.source],
+            tables,
+            number,
+            mode=mode,
+            form=form,
+            strict=strict,
+            upsert=table in upsert,
+        )
         batches[table] = number
     return batches

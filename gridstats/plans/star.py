@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import distinct_project, first_per_key
@@ -81,11 +81,13 @@ def load_star(
                 key = PRIMARY_KEYS[table]
                 # distinct rows, each with its first place in the file
                 rows = staged.groupBy(*columns).agg(F.min(ORDER_COLUMN).alias(ORDER_COLUMN))
-                tables.append_new(table, rows, [ORDER_COLUMN], number)
-                kept = tables[table].select(*columns)
                 known = tables.before(table, number).select(F.col(key).alias("_known"))
                 fresh = rows.join(known, F.col(key) == F.col("_known"), "left_anti")
-                drifting = fresh.select(*columns).exceptAll(kept)
+                per_id = Window.partitionBy(key, F.when(F.col(key).isNull(), F.col(ORDER_COLUMN)))
+                place = F.row_number().over(per_id.orderBy(ORDER_COLUMN))
+                placed = stage(fresh.withColumn("_place", place), "placed")
+                tables.append(table, placed.where("_place = 1"), number)
+                drifting = placed.where("_place > 1").select(*columns)
                 drifting.withColumn(REASON, F.lit("repeated_id")).write.mode("overwrite").parquet(
                     tables.place(f"_rejects/{table}", number)
                 )
