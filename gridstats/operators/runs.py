@@ -8,6 +8,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _FIRST = -(1 << 62)  # before every part
+STRETCH_ROWS = 100_000  # rows of a history that one task may put in order
+
+
+def add_stretches(
+    rows: DataFrame, history: str, date: str, budget: int = STRETCH_ROWS
+) -> DataFrame:
+    """Add ``_part``, which cuts histories of over ``budget`` rows into stretches.
+
+    Most histories are one stretch. A longer one is cut by year, and its years that are still over
+    the budget by day. The counts behind this are one row per history and year, added up before they
+    are shuffled, and only those of long histories meet the rows again.
+    """
+    year = F.coalesce(F.year(date), F.lit(0)).alias("_year")
+    counts = rows.groupBy(F.col(history).alias("_of"), year).agg(F.count(F.lit(1)).alias("_n"))
+    whole = F.sum("_n").over(Window.partitionBy("_of"))
+    long = counts.withColumn("_all", whole).where(F.col("_all") > budget)
+    long = long.select("_of", F.col("_year").alias("_in"), (F.col("_n") > budget).alias("_daily"))
+    met = rows.withColumn("_year", year).join(
+        long, F.col(history).eqNullSafe(F.col("_of")) & (F.col("_year") == F.col("_in")), "left"
+    )
+    day = F.when(F.col("_daily"), F.col(date)).otherwise(F.trunc(date, "year"))
+    part = F.when(F.col("_daily").isNull(), 0).otherwise(F.coalesce(F.unix_date(day), F.lit(-(1 << 30))))
+    return met.withColumn("_part", part.cast("long")).drop("_of", "_in", "_year", "_daily")
 
 
 def longest_runs(

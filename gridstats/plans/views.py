@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import as_interval, seconds_of_day
-from ..operators.runs import longest_runs
+from ..operators.runs import add_stretches, longest_runs
 
 Tables = Mapping[str, DataFrame]
 
@@ -470,9 +470,9 @@ def streaks(tables: Tables, entity: Entity) -> DataFrame:
         "longest_podium_streak": F.col("positionOrder") <= 3,
         "longest_winning_streak": F.col("positionOrder") == 1,
     }
-    # a history has few results on one date, and few dates
-    day = F.coalesce(F.unix_date("date"), F.lit(-(1 << 30)))
-    runs = longest_runs(rows, "_history", "_member", ["date", "resultId"], flags, day)
+    cut = add_stretches(rows, "_history", "date")
+    order = ["date", "resultId"]
+    runs = longest_runs(cut, "_history", "_member", order, flags, F.col("_part"))
     labelled = names.withColumnRenamed(entity.id_column, "_member")
     return runs.join(labelled, "_member").select(*entity.labels, *flags)
 

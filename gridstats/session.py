@@ -84,3 +84,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
         _OPEN.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_by(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Like ``stage``, in buckets of ``keys``: what groups or joins by them needs no shuffle.
+
+    One task writes one bucket, so there are as many files as shuffle partitions. The catalog entry
+    is only needed to plan the read and is dropped at once; the files are the scratch folder's.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    if getattr(_OPEN, "paths", None) is not None:
+        _OPEN.paths.append(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    entry = f"staged_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
+    dealt.option("path", path).format("parquet").saveAsTable(entry)
+    found = spark.table(entry)
+    spark.sql(f"DROP TABLE {entry}")
+    return found

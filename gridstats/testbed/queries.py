@@ -6,7 +6,7 @@ from collections import ChainMap
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parsing import to_day
@@ -22,8 +22,8 @@ from ..plans.star import split_all, split_table
 from ..session import scratch_path
 from ..sources import csv, documents
 from ..sources.tables import StarTables, count_rows
-from ..sources.topics import stream_folder
-from ..streaming.merge_stream import append_stream, merge_stream
+from ..sources.topics import stream_folder, stream_messages, write_messages
+from ..streaming.merge_stream import append_stream, merge_all_stream, merge_stream
 from . import documents as docs
 from .roles import Roles
 
@@ -104,19 +104,11 @@ def register_views(spark: SparkSession, folder: str) -> DataFrame:
 
 # -- sources and cleaning ---------------------------------------------------------------------
 
-_CSV_COLUMNS = (
-    "_ord driverId surname number dob constructorRef location lat alt date year sprint_date"
-    " quali_time quali_date stop duration lap milliseconds_laptimes wins position_driverstandings"
-    " points_constructorstandings resultId positionOrder points fastestLapTime fastestLapSpeed"
-    " fastestLap time position milliseconds"
-).split()
-
-
 def scan_csv_clean(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "wide-csv")
     wide = Roles(spark, folder).wide_text()
     csv.write_csv(wide.select(*sorted(wide.columns, key=lambda c: c[::-1])), path)
-    return csv.clean_wide(csv.read_wide_csv(spark, path)).select(*_CSV_COLUMNS)
+    return csv.clean_wide(csv.read_wide_csv(spark, path))
 
 
 def scan_json_docs(spark: SparkSession, folder: str) -> DataFrame:
@@ -131,7 +123,7 @@ def sink_json_records(spark: SparkSession, folder: str) -> DataFrame:
     documents.write_records(_unplaced(flatten.flatten_results(docs.results_documents(roles))), path)
     required = ["round", "date", "driverId", "fastestLap"]
     records = documents.parse_records(documents.read_documents(spark, path), "result", required)
-    return _unplaced(records.where("_reason is null"))
+    return _unplaced(records)
 
 
 def load_append(spark: SparkSession, folder: str) -> DataFrame:
@@ -152,15 +144,12 @@ def load_insert_ignore(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def null_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    wide = Roles(spark, folder).wide_text()
-    chosen = ["_ord", "driverRef", "duration", "sprint_time", "fastestLapTime", "wins", "alt"]
-    return csv.replace_null_tokens(wide.select(*chosen))
+    return csv.replace_null_tokens(Roles(spark, folder).wide_text())
 
 
 def coerce_numeric(spark: SparkSession, folder: str) -> DataFrame:
     wide = Roles(spark, folder).wide_text()
-    numbers = [c for c in csv.COERCED_COLUMNS if c != "milliseconds_pitstops"]
-    return csv.coerce_numeric(wide.select("_ord", *numbers), numbers)
+    return csv.coerce_numeric(wide.select("_ord", *csv.COERCED_COLUMNS))
 
 
 def drop_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,6 +199,27 @@ def source_queries() -> dict[str, Query]:
     }
 
 
+def digest_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Row count and an order-free digest of the rows of every table."""
+
+    def text(name: str, kind: str) -> Column:
+        value = F.floor(F.col(name) * 1000 + 0.5) if kind == "double" else F.col(name)
+        return F.coalesce(value.cast("string"), F.lit("~"))
+
+    parts = []
+    for name, rows in tables.items():
+        row = F.md5(F.concat_ws("|", *[text(c, kind) for c, kind in rows.dtypes]))
+        number = F.conv(F.substring(row, 1, 8), 16, 10).cast("long")
+        parts.append(
+            rows.agg(
+                F.lit(name).alias("table_name"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.sum(number).alias("digest"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 # -- star split -------------------------------------------------------------------------------
 
 STAR_KEYS = {
@@ -236,7 +246,7 @@ def star_queries() -> dict[str, Query]:
         )
 
     def counts(spark: SparkSession, folder: str) -> DataFrame:
-        return count_rows(split_all(csv.clean_wide(Roles(spark, folder).wide_text())))
+        return digest_rows(split_all(csv.clean_wide(Roles(spark, folder).wide_text())))
 
     return {**{key: one(table) for key, table in STAR_KEYS.items()}, "star_all_counts": counts}
 
@@ -400,6 +410,16 @@ def merge_all_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_rows({name: tables[name] for name in LOADS})
 
 
+def merge_constructor_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Teams under an old name are updated and keep their ids; unknown ones are added."""
+    roles = Roles(spark, folder)
+    tables = StarTables(spark, scratch_path(spark, "star"))
+    before = loaded_before(roles)["constructorDim"]
+    tables.append("constructorDim", before.withColumn("name", F.lit("Old name")))
+    merge_all({"constructors": docs.ALL["constructors"](roles)}, tables, upsert=["constructorDim"])
+    return tables["constructorDim"]
+
+
 def merge_queries() -> dict[str, Query]:
     return {
         "merge_driver": _merge("driverDim"),
@@ -418,6 +438,7 @@ def merge_queries() -> dict[str, Query]:
         "upsert_by_key": upsert_drivers,
         "allocate_ids": allocate,
         "merge_all_counts": merge_all_counts,
+        "merge_constructor_upsert": merge_constructor_upsert,
     }
 
 
@@ -490,6 +511,18 @@ def stream_then_batch(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_merge_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Every kind of document in one stream of mixed files, children as early as their parents."""
+    roles = Roles(spark, folder)
+    tables = _stored(spark, roles, list(LOADS))
+    landing = scratch_path(spark, "landing")
+    for kind, build in docs.ALL.items():
+        write_messages(build(roles).coalesce(2), kind, landing)
+    stream = stream_messages(spark, landing, files_per_batch=12)
+    merge_all_stream(stream, tables, scratch_path(spark, "offsets")).awaitTermination()
+    return count_rows({name: tables[name] for name in LOADS})
+
+
 def _record_stream(table: str, known: list[str]) -> Query:
     """New rows of a table out of its topic records, streamed."""
 
@@ -524,6 +557,7 @@ def stream_queries() -> dict[str, Query]:
         "stream_drain": stream_drain,
         "stream_merge_driver": stream_merge_driver,
         "stream_merge_laps": stream_merge_laps,
+        "stream_merge_all": stream_merge_all,
         "stream_then_batch": stream_then_batch,
         "stream_merge_pit_records": _record_stream("pitStopsDim", ["raceId", "driverId", "stop"]),
         "stream_merge_status_records": _record_stream("raceStatusDim", ["status"]),

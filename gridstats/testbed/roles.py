@@ -298,7 +298,9 @@ class Roles(Mapping[str, DataFrame]):
             "_key": "o_orderkey",
         }
         per_line = {"_key": "l_orderkey", "l_orderkey": "l_orderkey", **_STOP, **_LAP}
-        lines = self.read("lineitem").selectExpr(*_as(per_line))
+        # the given file is one row group, hence one task; what follows is the work of many
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        lines = self.read("lineitem").selectExpr(*_as(per_line)).repartition(tasks, "_key")
         orders = self.orders().selectExpr(*_as(per_order))
         rows = (
             lines.join(orders, "_key")

@@ -307,7 +307,8 @@ wide AS (
 
 
 def source_statements() -> dict[str, str]:
-    from .queries import _CSV_COLUMNS, DRIVER, SPLIT_RACE
+    from ..schemas import DROPPED_COLUMNS, wide_types
+    from .queries import DRIVER, SPLIT_RACE
 
     flat = (
         "CAST(round AS VARCHAR) AS round, CAST(date AS VARCHAR) AS date, constructorRef AS constructorId,"
@@ -319,15 +320,32 @@ def source_statements() -> dict[str, str]:
 JOIN team USING (constructorId) JOIN driver USING (driverId)"""
     numbers = (
         "position, CAST(fastestLap AS DOUBLE) AS fastestLap, fastestLapSpeed, alt, duration,"
-        " milliseconds_laptimes, milliseconds, CAST(circuitId AS DOUBLE) AS circuitId"
+        " milliseconds_laptimes, milliseconds, CAST(circuitId AS DOUBLE) AS circuitId,"
+        " CAST(NULL AS DOUBLE) AS milliseconds_pitstops"
     )
+    kept = [c for c in wide_types() if c not in DROPPED_COLUMNS]
+    special = {
+        **{c: "'x'" for c in DROPPED_COLUMNS},
+        "duration": "CASE WHEN stop = 6 THEN '1:02.3' WHEN stop <> 7 THEN CAST(duration AS VARCHAR) END",
+        "alt": (
+            "CASE circuitId % 5 WHEN 0 THEN NULL WHEN 1 THEN 'abc' WHEN 2 THEN '1d'"
+            " ELSE CAST(alt AS VARCHAR) END"
+        ),
+        **{
+            c: f"CAST(CAST({c} AS BIGINT) AS VARCHAR)"
+            for c in (
+                "position", "points", "points_driverstandings", "points_constructorstandings", "fastestLapSpeed",
+            )
+        },
+    }
+    texts = ", ".join(f"{special.get(c, f'CAST({c} AS VARCHAR)')} AS {c}" for c in wide_types())
     trends = _driver_season(_TRENDS)
     career = (
         "SELECT driverRef, surname FROM driver JOIN result USING (driverId)"
         f" WHERE driverRef <> '{DRIVER}' GROUP BY driverRef, forename, surname HAVING {_WINS} > 0"
     )
     return {
-        "scan_csv_clean": f"{WIDE}SELECT {', '.join(_CSV_COLUMNS)} FROM wide",
+        "scan_csv_clean": f"{WIDE}SELECT {', '.join(kept)} FROM wide",
         "scan_json_docs": results,
         "sink_json_records": results,
         "flatten_results": results,
@@ -336,11 +354,7 @@ JOIN team USING (constructorId) JOIN driver USING (driverId)"""
             f"{ROLES}SELECT * REPLACE (CAST(CASE WHEN raceId <= {SPLIT_RACE} THEN grid ELSE 0 END AS INTEGER) AS grid)"
             " FROM result"
         ),
-        "null_tokens": f"""{WIDE}SELECT CAST(_ord AS VARCHAR) AS _ord, driverRef,
-  CASE WHEN stop = 6 THEN '1:02.3' WHEN stop <> 7 THEN CAST(duration AS VARCHAR) END AS duration,
-  sprint_time, fastestLapTime, CAST(wins AS VARCHAR) AS wins,
-  CASE circuitId % 5 WHEN 0 THEN NULL WHEN 1 THEN 'abc' WHEN 2 THEN '1d' ELSE CAST(alt AS VARCHAR) END AS alt
-FROM wide""",
+        "null_tokens": f"{WIDE}SELECT {texts} FROM wide",
         "coerce_numeric": f"{WIDE}SELECT CAST(_ord AS VARCHAR) AS _ord, {numbers} FROM wide",
         "drop_columns": f"{ROLES}SELECT * EXCLUDE (grid, laps, time) FROM result",
         "parse_date": (
@@ -362,6 +376,18 @@ GROUP BY t.season_year""",
     }
 
 
+def _row_number(table: str) -> str:
+    """A number from the digest of a row."""
+    from ..schemas import TABLES
+
+    texts = []
+    for field in TABLES[table]:
+        double = field.dataType.simpleString() == "double"
+        value = f"CAST(floor({field.name} * 1000 + 0.5) AS BIGINT)" if double else field.name
+        texts.append(f"coalesce(CAST({value} AS VARCHAR), '~')")
+    return f"CAST('0x' || substr(md5({' || chr(124) || '.join(texts)}), 1, 8) AS BIGINT)"
+
+
 def star_statements() -> dict[str, str]:
     from ..schemas import TABLES
     from .queries import STAR_KEYS
@@ -379,7 +405,8 @@ def star_statements() -> dict[str, str]:
             bodies[key] = f"SELECT DISTINCT {columns} FROM wide"
     statements = {key: f"{WIDE}{body}" for key, body in bodies.items()}
     statements["star_all_counts"] = WIDE + " UNION ALL ".join(
-        f"SELECT '{STAR_KEYS[key]}' AS table_name, count(*) AS row_count FROM ({body})"
+        f"SELECT '{STAR_KEYS[key]}' AS table_name, count(*) AS row_count,"
+        f" CAST(sum({_row_number(STAR_KEYS[key])}) AS BIGINT) AS digest FROM ({body})"
         for key, body in bodies.items()
     )
     return statements
@@ -526,12 +553,80 @@ FROM candidate c WHERE rn = 1 AND NOT EXISTS (
     def simple(body: str) -> str:
         return f"{ROLES}{body}"
 
+    # all merges in a row: every lookup sees the ids that the merges before it gave
+    fresh_race = f"""SELECT r.raceId AS arrival, r.* EXCLUDE (raceId) FROM race r JOIN circuit c ON c.circuitId = r.circuitId
+  WHERE r.raceId > {SPLIT_RACE} AND c.circuitRef IN (SELECT circuitRef FROM all_circuit)"""
+
+    def both(table: str, key: str, base: str, rows: str) -> str:
+        return (
+            f"SELECT {columns(table)} FROM ({base}) UNION ALL SELECT {columns(table)}"
+            f" FROM ({numbered(table, key, 'arrival', base, rows)})"
+        )
+
+    all_merged = f"""{ROLES.rstrip()}, {pit_all},
+all_driver AS ({both("driverDim", "driverId", base_driver, new_driver)}),
+all_team AS ({both("constructorDim", "constructorId", base_team, new_team)}),
+all_circuit AS ({both("circuitDim", "circuitId", base_circuit, new_circuit)}),
+all_race AS ({both("raceDim", "raceId", base_race, fresh_race)}),
+ref_driver AS (SELECT d.driverId AS old, min(a.driverId) AS new FROM driver d JOIN all_driver a USING (driverRef) GROUP BY 1),
+ref_team AS (SELECT t.constructorId AS old, min(a.constructorId) AS new FROM team t JOIN all_team a USING (constructorRef) GROUP BY 1),
+ref_race AS (SELECT r.raceId AS old, min(a.raceId) AS new FROM race r JOIN all_race a USING (date) GROUP BY 1),
+base_driver_standing AS ({base_standing}),
+new_driver_standing AS (
+  SELECT d.new AS driverId FROM driver_standing s JOIN ref_driver d ON d.old = s.driverId
+  WHERE (s.driverStandingsId // 50) % 11 <> 10),
+base_team_standing AS ({base_team_standing}),
+new_team_standing AS (
+  SELECT DISTINCT t.new AS constructorId, position_constructorstandings AS p, points_constructorstandings AS o,
+         coalesce(wins_constructorstandings, 0) AS w
+  FROM team_standing s JOIN ref_team t ON t.old = s.constructorId
+  WHERE (s.constructorStandingsId // 50) % 11 <> 10
+    AND NOT EXISTS (SELECT 1 FROM base_team_standing b WHERE b.constructorId = t.new
+      AND b.position_constructorstandings = s.position_constructorstandings
+      AND b.points_constructorstandings = s.points_constructorstandings
+      AND b.wins_constructorstandings = coalesce(s.wins_constructorstandings, 0)))"""
+
+    def keyed(source: str, last: str) -> str:
+        """Rows of a table by race, driver and number: those from before, and new keys."""
+        return f"""(SELECT count(*) FROM {source} WHERE raceId <= {SPLIT_RACE}) + (SELECT count(*) FROM (
+  SELECT DISTINCT r.new AS race, d.new AS driver, {last} AS n FROM {source} s
+  JOIN ref_race r ON r.old = s.raceId JOIN ref_driver d ON d.old = s.driverId) k
+  WHERE NOT EXISTS (SELECT 1 FROM {source} b WHERE b.raceId <= {SPLIT_RACE}
+    AND b.raceId = k.race AND b.driverId = k.driver AND b.{last} = k.n))"""
+
+    totals = {
+        "driverDim": "(SELECT count(*) FROM all_driver)",
+        "constructorDim": "(SELECT count(*) FROM all_team)",
+        "circuitDim": "(SELECT count(*) FROM all_circuit)",
+        "raceStatusDim": "(SELECT count(*) FROM status)",
+        "raceDim": "(SELECT count(*) FROM all_race)",
+        "freePracticeDim": f"""(SELECT count(*) FROM practice WHERE raceId <= {SPLIT_RACE}) + (
+  SELECT count(DISTINCT new) FROM ref_race WHERE new NOT IN (SELECT raceId FROM practice WHERE raceId <= {SPLIT_RACE}))""",
+        "lapsDim": keyed("lap", "lap"),
+        "pitStopsDim": keyed("pit_all", "stop"),
+        "driverStandingsDim": "(SELECT count(*) FROM base_driver_standing) + (SELECT count(*) FROM new_driver_standing)",
+        "constructorStandingsDim": "(SELECT count(*) FROM base_team_standing) + (SELECT count(*) FROM new_team_standing)",
+        "raceResultsFact": f"""(SELECT count(*) FROM ({base_result})) + (SELECT count(*) FROM result s
+  JOIN ref_race r ON r.old = s.raceId JOIN ref_driver d ON d.old = s.driverId JOIN ref_team t ON t.old = s.constructorId
+  WHERE d.new IN (SELECT driverId FROM base_driver_standing UNION SELECT driverId FROM new_driver_standing)
+    AND t.new IN (SELECT constructorId FROM base_team_standing UNION SELECT constructorId FROM new_team_standing))""",
+    }
+    merge_all = all_merged + " UNION ALL ".join(
+        f"\nSELECT '{table}' AS table_name, CAST({total} AS BIGINT) AS row_count" for table, total in totals.items()
+    )
+
     return {
+        "merge_all_counts": merge_all,
+        "stream_merge_all": merge_all,
         "merge_driver": simple(numbered("driverDim", "driverId", "arrival", base_driver, new_driver)),
         "merge_circuit": simple(numbered("circuitDim", "circuitId", "arrival", base_circuit, new_circuit)),
         "merge_constructor": simple(
             numbered("constructorDim", "constructorId", "arrival", base_team, new_team)
         ),
+        "merge_constructor_upsert": simple(
+            f"SELECT {columns('constructorDim')} FROM ({base_team}) UNION ALL SELECT {columns('constructorDim')}"
+            f" FROM ({numbered('constructorDim', 'constructorId', 'arrival', base_team, new_team)})"
+        ),
         "merge_race": simple(numbered("raceDim", "raceId", "arrival", base_race, new_race)),
         "merge_practice": simple(f"SELECT * FROM practice WHERE raceId > {SPLIT_RACE}"),
         "merge_laps": f"{ROLES.rstrip()}, {laps}",
