@@ -6,9 +6,14 @@ those with a class, id or role for menus, sidebars, notices, adverts or comments
 such words ("ad", "site-footer"; not "no-sidebar" or "article-header"). But a marked element with
 most of the page's text outside links stays, unless it holds comments or an article lies outside
 marked elements; densities decide about it. Every node left gets its link-adjusted
-characters per tag; a node's sum is that of its children. Along the path from the body to the node
-with the largest sum, the smallest density is the threshold: the topmost node of the path that
-reaches it on its own sum is the article, whose blocks are returned.
+characters per tag; a node's sum is that of its children. The node with the largest sum is the heart
+of the article, and the smallest density on the path from the body to it is the threshold. The choice
+climbs from the heart towards the body, past siblings that are text; it stops at one that is mostly
+links and below the threshold. Below the body each sibling is judged alone: one that is mostly links
+stays out; headings, paragraphs, lists, quotes, tables and the like come in; other elements come in
+if they hold such elements and reach ``BESIDE`` of the threshold, or are bare text with as
+large a share of the chosen subtree's characters per tag.
+An article or main element on the path is taken as the whole.
 
 Pages are independent: nothing is shuffled, and a task holds one batch of pages at a time.
 """
@@ -17,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -63,7 +69,10 @@ TALK = frozenset("comment comments commentlist reply replies respond disqus disc
 _ATTRIBUTES = ("class", "id", "role")
 _MAIN = ("html", "body", "article", "main")
 _ROOTS = ("#root", "html", "body")
-_PLAIN = ("p", "h1", "h2", "h3", "h4", "h5", "h6")
+_CONTENT = frozenset(
+    "p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hgroup details article main".split()
+)
+BESIDE = 0.25  # share that is asked of what lies beside the chosen subtree
 _PIECE = re.compile(r"[A-Za-z]+")
 
 
@@ -84,6 +93,7 @@ class _Tree(HTMLParser):
         self.root = self.at = Node("#root", None)
         self.cut: list[str] = []  # open elements from the outermost cut one down
         self.marked: list[Node] = []
+        self.names: Counter[str] = Counter()  # of the open elements
 
     def handle_starttag(self, tag, attrs):
         if self.cut and self.cut[0] == "p" and tag in BLOCKS:
@@ -107,6 +117,7 @@ class _Tree(HTMLParser):
         self.at.children.append(node)
         if tag not in EMPTY:
             self.at = node
+            self.names[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         if tag in EMPTY:
@@ -127,7 +138,13 @@ class _Tree(HTMLParser):
             return
         node = self._open(tag)
         if node is not None:
-            self.at = node.parent
+            self._leave(node)
+
+    def _leave(self, node: Node) -> None:
+        """Close an open element, and those in it."""
+        while self.at is not node.parent:
+            self.names[self.at.name] -= 1
+            self.at = self.at.parent
 
     def handle_data(self, data):
         if self.cut == ["head"] and not data.isspace():
@@ -151,17 +168,21 @@ class _Tree(HTMLParser):
         return found
 
     def _open(self, tag) -> Node | None:
+        if not self.names[tag]:
+            return None
         node = self.at
         while node is not None and node.name != tag:
             node = node.parent
         return node
 
     def _close_paragraph(self):
+        if not self.names["p"]:
+            return
         node = self.at
         while node is not None and node.name not in BLOCKS:
             node = node.parent
         if node is not None and node.name == "p":
-            self.at = node.parent
+            self._leave(node)
 
 
 def _post_order(root: Node) -> list[Node]:
@@ -222,12 +243,7 @@ def measure(root: Node) -> None:
 
 
 def article_of(root: Node) -> Node:
-    """The subtree with the largest density sum, widened as far as the threshold allows.
-
-    The threshold is the smallest density on the path from the body to that subtree. The choice
-    climbs the path while everything beside it is text rather than links and notes: denser than the
-    threshold, or not mostly links. The body itself is taken if only paragraphs lie beside.
-    """
+    """The subtree with the largest density sum, with what belongs to it (the module says what)."""
     best = max(reversed(_post_order(root)), key=lambda n: n.total)
     if best.name in _ROOTS:
         return best
@@ -235,15 +251,42 @@ def article_of(root: Node) -> Node:
     while path[-1].parent is not None and path[-1].parent.name != "#root":
         path.append(path[-1].parent)
     threshold = min(n.density for n in path)
+    named = [n for n in path if n.name in ("article", "main")]
     for node in path[1:]:
         beside = [c for c in node.children if isinstance(c, Node) and c is not best and c.chars]
         if node.name in _ROOTS:
-            plain = beside and all(c.name in _PLAIN and c.density >= threshold for c in beside)
-            return node if plain and node.name == "body" else best
-        if any(c.density < threshold and 2 * c.link_chars > c.chars for c in beside):
+            return best if named else _with_siblings(node, best, threshold)
+        if any(c.density < threshold and _linked(c) for c in beside):
             return best
         best = node
-    return best
+    return best if named or best.parent is None else _with_siblings(best.parent, best, threshold)
+
+
+def _linked(node: Node) -> bool:
+    return 2 * node.link_chars > node.chars
+
+
+def _with_siblings(parent: Node, best: Node, threshold: float) -> Node:
+    """The chosen child of a body and the children that belong to it; the body if all do."""
+
+    def belongs(child: Node) -> bool:
+        if child is best or not child.chars:
+            return True
+        if _linked(child):
+            return False
+        if child.name in _CONTENT:
+            return True
+        if any(n.name in _CONTENT and n.chars for n in _post_order(child)):
+            return child.density >= BESIDE * threshold
+        # the density of a short text without links is high; its characters per tag are not
+        return child.chars * best.tags >= BESIDE * best.chars * max(1, child.tags)
+
+    kept = [c for c in parent.children if isinstance(c, str) or belongs(c)]
+    if len(kept) == len(parent.children):
+        return parent
+    whole = Node("#root", None)
+    whole.children = [c for c in kept if isinstance(c, Node)]
+    return whole
 
 
 def blocks_of(root: Node) -> Iterator[str]:

@@ -33,6 +33,7 @@ REGION = 4096
 LEAF = 64
 CHUNK = 8192
 SAMPLE_ROWS = 32_768
+SAMPLE_NUMBERS = 1 << 23  # components of the sample
 MOST_REGIONS = 1024
 SURE = 0.995
 
@@ -131,6 +132,7 @@ def search(
     query_points: np.ndarray,
     known: np.ndarray,
     norm: float,
+    top: float,
     k: int,
     limit: float,
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +145,6 @@ def search(
     count = len(queries)
     best = np.full((count, k), -np.inf)
     best_ids = np.full((count, k), np.iinfo(np.int64).max)
-    scale = norm / np.linalg.norm(queries, axis=1)
     for first in range(0, count, 512):
         asked = np.arange(first, min(count, first + 512))
         bounds = tree.bounds(query_points[asked])
@@ -152,14 +153,14 @@ def search(
             local = asked - first
             leaf = order[local, step]
             kth = np.maximum(best[asked, -1], known[asked])
-            # true square distance of the k-th in the lifted space
-            reach = np.maximum(0.0, 2 * norm * norm - 2 * kth * scale[asked])
+            reach = reach_of(kth, queries[asked], norm, top)
             go = bounds[local, leaf] <= limit * reach
             asked, leaf = asked[go], leaf[go]
             if not len(asked):
                 break
             rows = tree.rows[leaf]
-            scores = np.einsum("aij,aj->ai", vectors[rows], queries[asked])
+            with np.errstate(over="ignore", invalid="ignore"):
+                scores = np.einsum("aij,aj->ai", vectors[rows], queries[asked])
             found = ids[rows]
             scores[(rows < 0) | (found == query_ids[asked, None])] = -np.inf
             better = (scores >= best[asked, -1:]).any(axis=1) & (scores > -np.inf).any(axis=1)
@@ -174,6 +175,19 @@ def search(
     return best_ids, best
 
 
+def reach_of(kth: np.ndarray, queries: np.ndarray, norm: float, top: float) -> np.ndarray:
+    """True square distance of a k-th score in the lifted space of vectors over ``top``.
+
+    Products of extreme numbers may be infinite; such a score says nothing about distances.
+    """
+    most = np.abs(queries).max(axis=1)
+    units = np.linalg.norm(queries / most[:, None], axis=1)
+    with np.errstate(over="ignore", invalid="ignore"):
+        near = kth / most / top * (norm / units)
+        reach = np.maximum(0.0, 2 * norm * norm - 2 * near)
+    return np.where(np.isfinite(kth) & np.isfinite(near), reach, np.inf)
+
+
 def usable(vector: Column) -> Column:
     """Not null, not zero, every component finite."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -208,10 +222,12 @@ def nearest(
         .agg(F.min("vector").alias("vector"))
     )
     clean = stage(clean, "vectors")
-    length = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     facts = (
         clean.groupBy(F.size("vector").alias("width"))
-        .agg(F.count(F.lit(1)).alias("n"), F.max(length).alias("most"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max(F.array_max(F.transform("vector", F.abs))).alias("top"),
+        )
         .orderBy(F.desc("n"), "width")
         .limit(1)
         .collect()
@@ -219,21 +235,25 @@ def nearest(
     schema = "query_id long, rank int, vec_id long, score double"
     if not facts:
         return spark.createDataFrame([], schema)
-    width, total, norm = facts[0]["width"], facts[0]["n"], math.sqrt(facts[0]["most"])
+    # the index works on vectors over their largest component, where no square can overflow
+    width, total, top = facts[0]["width"], facts[0]["n"], facts[0]["top"]
     clean = clean.where(F.size("vector") == width)
+    length = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / top) * (x / top))
+    norm = math.sqrt(clean.agg(F.max(length)).first()[0])
     matrix = np.random.default_rng(seed).standard_normal((width + 1, PROJECTED))
 
     def project(vectors: np.ndarray, lift: bool) -> np.ndarray:
         if lift:
+            vectors = vectors / top
             more = np.sqrt(np.maximum(0.0, norm * norm - (vectors * vectors).sum(axis=1)))
             return np.hstack([vectors, more[:, None]]) @ matrix
-        scaled = vectors * (norm / np.linalg.norm(vectors, axis=1))[:, None]
-        return scaled @ matrix[:-1]
+        units = vectors / np.abs(vectors).max(axis=1)[:, None]
+        return units * (norm / np.linalg.norm(units, axis=1))[:, None] @ matrix[:-1]
 
     equal = Window.partitionBy("vector").orderBy("id")
     kept = clean.withColumn("_n", F.row_number().over(equal)).where(F.col("_n") <= k + 1).drop("_n")
     kept = stage(kept, "candidates")
-    sampled = kept.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).toPandas()
+    sampled = kept.orderBy(F.xxhash64("id"), "id").limit(max(1, min(SAMPLE_ROWS, SAMPLE_NUMBERS // width))).toPandas()
     sample = project(np.stack(sampled["vector"].to_numpy()), True)
     count = min(MOST_REGIONS, len(sample) // 16 or 1, max(1, -(-total // region)))
     regions = Regions(sample, count)
@@ -285,8 +305,7 @@ def nearest(
             vectors = stacked(batch)
             for first in range(0, len(batch), 256):
                 part = slice(first, first + 256)
-                scale = norm / np.linalg.norm(vectors[part], axis=1)
-                reach = np.maximum(0.0, 2 * norm * norm - 2 * known[part] * scale)
+                reach = reach_of(known[part], vectors[part], norm, top)
                 near = regions.distances(points[part]) <= limit * reach[:, None]
                 near[np.arange(len(near)), batch["region"].to_numpy()[part]] = False
                 row, where = np.nonzero(near)
@@ -313,6 +332,7 @@ def nearest(
             np.stack(asked["point"].to_numpy()),
             asked["known"].to_numpy(),
             norm,
+            top,
             k,
             limit,
         )

@@ -322,3 +322,40 @@ def test_url_rules_without_tokens(spark):
 def test_held_out_share_is_crc32(spark):
     rows = spark.range(50).select(F.col("id"), (F.crc32(F.col("id").cast("string")) % 5).alias("m"))
     assert all(r["m"] == zlib.crc32(str(r["id"]).encode()) % 5 for r in rows.collect())
+
+
+PARAGRAPHS = "".join(f"<p>{'A sentence of the story that goes on for a while. ' * 3}</p>" for _ in range(3))
+NAV = '<div><a href="a">One</a> <a href="b">Two</a> <a href="c">Three</a></div>'
+
+
+@pytest.mark.parametrize(
+    "more",
+    [
+        f"<div>{PARAGRAPHS}<p>A last one, much shorter.</p></div>",
+        "<h1>Head</h1>",
+        "<ul><li>first point</li><li>second point</li></ul>",
+        "<blockquote>Quoted words.</blockquote>",
+        "<pre>code here</pre>",
+        "<table><tr><td>cell</td><td>cell two</td></tr></table>",
+    ],
+)
+@pytest.mark.parametrize("first", [True, False])
+def test_siblings_of_the_chosen_subtree_come_along(more, first):
+    chosen = f"<div>{PARAGRAPHS}</div>"
+    page = f"<body>{NAV}{more if first else chosen}{chosen if first else more}{NAV}<div>(c) 2024</div></body>"
+    text = main_text(page)
+    wanted = " ".join(re.sub("<[^>]*>", " ", more + chosen).split())
+    assert sorted(text.split()) == sorted(wanted.split())
+    assert main_text(f"<body>{more}{chosen}</body>").split() == wanted.split()
+
+
+def test_stray_end_tags_take_linear_time():
+    import time
+
+    def seconds(n):
+        begun = time.perf_counter()
+        assert main_text("<div>" * n + "</section></b>" * n + "<p>text") == "text"
+        return time.perf_counter() - begun
+
+    seconds(100)
+    assert seconds(20_000) < 40 * max(seconds(2_000), 0.01)
