@@ -19,7 +19,7 @@ from gridstats.llm.conversations import (
     repaired_turns,
 )
 from gridstats.llm.token_coder import BadBlock, pack, unpack
-from gridstats.llm.token_ids import read_token_files, write_token_files
+from gridstats.llm.token_ids import _Encoder, read_token_files, write_token_files
 from gridstats.llm.whitening import pivoted_cholesky, principal, whiten
 from gridstats.session import scratch_path
 
@@ -337,6 +337,20 @@ def test_damaged_images_are_found():
         unpack(b"GSTI")
 
 
+def test_pieces_have_the_ids_of_the_whole_text():
+    tokenizers = pytest.importorskip("tokenizers")
+    vocabulary = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    encode = tokenizers.Tokenizer.from_file(vocabulary)
+    encode.encode_special_tokens = True
+    by_piece = _Encoder(vocabulary)
+    assert by_piece.by_piece
+    rnd = random.Random(6)
+    parts = [" ", "  ", "\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u200b", "a", "Zoë", "12", "½", "'s", "'", "..", "_", "🏁", "中文", "<|endoftext|>"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 25))) for _ in range(4000)]
+    whole = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encode.encode_batch(texts, add_special_tokens=False)]
+    assert by_piece(texts) == whole == by_piece(texts)
+
+
 def test_token_files_equal_the_tokenizer(spark):
     tokenizers = pytest.importorskip("tokenizers")
     vocabulary = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
