@@ -169,9 +169,9 @@ def search(
                 both = np.concatenate([best[some], scores[better]], axis=1)
                 both_ids = np.concatenate([best_ids[some], found[better]], axis=1)
                 both_ids[both == -np.inf] = np.iinfo(np.int64).max
-                top = np.lexsort((both_ids, -both), axis=1)[:, :k]
-                best[some] = np.take_along_axis(both, top, axis=1)
-                best_ids[some] = np.take_along_axis(both_ids, top, axis=1)
+                order_k = np.lexsort((both_ids, -both), axis=1)[:, :k]
+                best[some] = np.take_along_axis(both, order_k, axis=1)
+                best_ids[some] = np.take_along_axis(both_ids, order_k, axis=1)
     return best_ids, best
 
 

@@ -304,7 +304,12 @@ def test_few_and_no_vectors(spark):
     assert [tuple(r) for r in nearest(few).orderBy("rank").collect()] == [(0, 1, 2, 1.0), (0, 2, 1, 0.5)]
     assert nearest(few.limit(0)).collect() == []
     assert nearest(spark.createDataFrame([(0, [1.0]), (7, None)], schema)).collect() == []
-    far = spark.createDataFrame([(0, [1e200, 1.0]), (1, [1e-200, 0.0]), (2, [3.0, -1.0]), (20, [1e-200, 1e-200])], schema)
+    # many queries meet many leaves of one region
+    rng, doubles = np.random.default_rng(8), "vec_id long, embedding array<double>"
+    cloud = [(i, (rng.normal(size=6) * 1e-170).tolist()) for i in range(600)]
+    many = nearest(spark.createDataFrame(cloud, doubles), is_query=F.col("id") < 40, region=1000).collect()
+    assert len(many) == 800 and {r[1] for r in many} == set(range(1, 21))
+    far = spark.createDataFrame([(0, [1e200, 1.0]), (1, [1e-200, 0.0]), (2, [3.0, -1.0]), (20, [1e-200, 1e-200])], doubles)
     found = {(r[0], r[1]): (r[2], r[3]) for r in nearest(far).collect()}
     assert len(found) == 6 and found[0, 1] == (2, 3e200 - 1) and found[20, 1] == (0, 1.0)
 
