@@ -33,7 +33,12 @@ def test_query_equals_statement(spark, base, name):
 @pytest.mark.parametrize("name", sorted(set(all_queries()) - set(all_statements())))
 def test_query_has_a_row_per_input_row(spark, name):
     rows = queries()[name](spark, FOLDER)
-    if name == "op9_neighbours":
+    if name == "op11_conversation_repair":
+        talks = spark.read.parquet(f"{FOLDER}/conversations.parquet")
+        assert rows.count() == talks.select("conv_id").distinct().count()
+    elif name == "op12_whitening":
+        assert rows.count() == 4 * spark.read.parquet(f"{FOLDER}/embeddings.parquet").count()
+    elif name == "op9_neighbours":
         ids = spark.read.parquet(f"{FOLDER}/embeddings.parquet").where("vec_id % 20 = 0").count()
         assert rows.select("query_id").distinct().count() == ids
     else:
