@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,31 +13,82 @@ from ..functions.parsing import null_if_token, to_day, to_number, to_whole
 from ..schemas import COERCED_COLUMNS, DROPPED_COLUMNS, ORDER_COLUMN, wide_text_schema, wide_types
 
 
+# Holds the whole line where it does not have as many fields as the header.
+LINE = "_line"
+
+
 def read_wide_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | None = None,
+    multi_line: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """The file as text columns, by the names in its header and in the order of ``schema``.
 
     The file may hold its columns in any order, and others besides. One that ``schema`` asks for
     and the file lacks fails by its name. The row index ``_ord`` is the column of that name, or the
     nameless first one; a file without either is numbered in reading order.
+
+    A line with fewer fields than the header lacks its last values: they are null. One with more is
+    left out and found by ``wide_csv_rejects``; ``strict`` fails at it instead. ``multi_line`` reads
+    quoted values with line breaks; such a file cannot be cut into splits, so one task reads it, and
+    large inputs of this kind should come as many files.
     """
     wanted = (schema or wide_text_schema()).fieldNames()
-    reader = spark.read.options(header=True, nullValue="\\N", escape='"')
-    header = reader.csv(path).columns  # reads the first line
-    nameless = ORDER_COLUMN not in header and header[:1] == ["_c0"]
-    names = [ORDER_COLUMN, *header[1:]] if nameless else header
+    names, rows = _lines(spark, path, multi_line)
     missing = [c for c in wanted if c not in names and c != ORDER_COLUMN]
     if missing:
         raise ValueError(f"no column {', '.join(missing)} in {path}")
-    text = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
-    # several files may differ in column order: then their headers fail against the first one's
-    rows = reader.schema(text).option("enforceSchema", nameless).csv(path)
+    long = _field_count(names[0]) > len(names)
+    if strict:
+        text = F.concat(F.lit(f"more than {len(names)} fields in "), LINE)
+        rows = rows.where(F.when(long, F.raise_error(text).cast("boolean")).otherwise(True))
+    else:
+        rows = rows.where(~long)
     if ORDER_COLUMN in wanted and ORDER_COLUMN not in names:
         rows = rows.withColumn(ORDER_COLUMN, F.monotonically_increasing_id().cast("string"))
     return rows.select(*[f"`{c}`" for c in wanted])
 
 
+def wide_csv_rejects(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False
+) -> DataFrame:
+    """The lines with more fields than the header: (first_field, fields, line)."""
+    names, rows = _lines(spark, path, multi_line)
+    return rows.select(
+        F.col(f"`{names[0]}`").alias("first_field"),
+        _field_count(names[0]).cast("long").alias("fields"),
+        F.col(LINE).alias("line"),
+    ).where(F.col("fields") > len(names))
+
+
+def _lines(
+    spark: SparkSession, path: str | list[str], multi_line: bool
+) -> tuple[list[str], DataFrame]:
+    """The names in the header, and all lines as text columns with ``_line`` for uneven ones."""
+    reader = spark.read.options(header=True, nullValue="\\N", escape='"', multiLine=multi_line)
+    header = reader.csv(path).columns  # reads the first line
+    nameless = ORDER_COLUMN not in header and header[:1] == ["_c0"]
+    names = [ORDER_COLUMN, *header[1:]] if nameless else header
+    text = T.StructType([T.StructField(c, T.StringType(), True) for c in [*names, LINE]])
+    # several files may differ in column order: then their headers fail against the first one's
+    # a reader that only splits off the columns in use does not see that a line is uneven
+    options = {"enforceSchema": nameless, "columnNameOfCorruptRecord": LINE, "columnPruning": False}
+    return names, reader.schema(text).options(**options).csv(path)
+
+
+def _field_count(first: str) -> Column:
+    """Fields of an uneven line: its commas outside quoted values, and one.
+
+    The reader refuses to give ``_line`` alone, hence the empty part of the first column; and it
+    makes a null test on ``_line`` before it fills it, hence no such test.
+    """
+    line = F.coalesce(LINE, F.substring(f"`{first}`", 1, 0), F.lit(""))
+    plain = F.regexp_replace(line, r'(^|,)"[^"]*+(?:""[^"]*+)*+"', "$1")
+    return F.regexp_count(plain, F.lit(",")) + 1
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """A header and one file per partition; null is written as ``\\N``."""
     writer = df.write.option("header", True).option("nullValue", "\\N").option("emptyValue", "")

@@ -111,6 +111,29 @@ def scan_csv_clean(spark: SparkSession, folder: str) -> DataFrame:
     return csv.clean_wide(csv.read_wide_csv(spark, path))
 
 
+def scan_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with fields too many or too few, and values with line breaks, are read and told apart."""
+    wide = Roles(spark, folder).wide_text()
+    broken = F.col("lap") == "1"
+    paths = [scratch_path(spark, "wide-lines"), scratch_path(spark, "wide-broken")]
+    line = F.concat_ws(",", *[F.col(f"`{c}`") for c in wide.columns])
+    seventh = F.col("resultId").cast("long") % 7
+    planted = (
+        F.when(seventh == 3, F.concat(line, F.lit(",more")))
+        .when(seventh == 5, F.concat(line, F.lit(",,")))
+        .when(seventh == 6, F.regexp_replace(line, ",[^,]*$", ""))
+        .otherwise(line)
+    )
+    # one text column named as the header: its values are whole lines already
+    lines = wide.where(~broken).select(planted.alias(",".join(wide.columns)))
+    lines.write.options(header=True, sep="\u0001", quote="\u0000").csv(paths[0])
+    surname = F.regexp_replace("surname", " ", "\n")
+    csv.write_csv(wide.where(broken).withColumn("surname", surname), paths[1])
+    rows = csv.read_wide_csv(spark, paths, multi_line=True)
+    rejects = csv.wide_csv_rejects(spark, paths, multi_line=True)
+    return rows.unionByName(rejects, allowMissingColumns=True)
+
+
 def scan_json_docs(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "json-docs")
     documents.write_documents(docs.results_documents(Roles(spark, folder)), path)
@@ -184,6 +207,7 @@ def distinct_rows(spark: SparkSession, folder: str) -> DataFrame:
 def source_queries() -> dict[str, Query]:
     return {
         "scan_csv_clean": scan_csv_clean,
+        "scan_csv_rejects": scan_csv_rejects,
         "scan_json_docs": scan_json_docs,
         "sink_json_records": sink_json_records,
         "load_append": load_append,

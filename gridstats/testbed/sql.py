@@ -339,6 +339,22 @@ JOIN team USING (constructorId) JOIN driver USING (driverId)"""
         },
     }
     texts = ", ".join(f"{special.get(c, f'CAST({c} AS VARCHAR)')} AS {c}" for c in wide_types())
+    last = list(wide_types())[-1]
+    line = "concat_ws(',', " + ", ".join(f"coalesce({c}, '\\N')" for c in wide_types()) + ")"
+    no_text = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in wide_types())
+    rejects = f"""{WIDE.rstrip()},
+written AS (SELECT {texts} FROM wide),
+planted AS (
+  SELECT *, CASE WHEN lap = '1' THEN 0 ELSE CAST(resultId AS BIGINT) % 7 END AS fault FROM written)
+SELECT * EXCLUDE (fault) REPLACE (
+    CASE WHEN lap = '1' THEN replace(surname, ' ', chr(10)) ELSE surname END AS surname,
+    CASE WHEN fault <> 6 THEN {last} END AS {last}),
+  CAST(NULL AS VARCHAR) AS first_field, CAST(NULL AS BIGINT) AS fields, CAST(NULL AS VARCHAR) AS line
+FROM planted WHERE fault NOT IN (3, 5)
+UNION ALL
+SELECT {no_text}, _ord AS first_field, CAST({len(wide_types())} + CASE fault WHEN 3 THEN 1 ELSE 2 END AS BIGINT) AS fields,
+  {line} || CASE fault WHEN 3 THEN ',more' ELSE ',,' END AS line
+FROM planted WHERE fault IN (3, 5)"""
     trends = _driver_season(_TRENDS)
     career = (
         "SELECT driverRef, surname FROM driver JOIN result USING (driverId)"
@@ -346,6 +362,7 @@ JOIN team USING (constructorId) JOIN driver USING (driverId)"""
     )
     return {
         "scan_csv_clean": f"{WIDE}SELECT {', '.join(kept)} FROM wide",
+        "scan_csv_rejects": rejects,
         "scan_json_docs": results,
         "sink_json_records": results,
         "flatten_results": results,

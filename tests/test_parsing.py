@@ -114,3 +114,43 @@ def test_wide_columns_are_found_by_name(spark):
     nameless = scratch_path(spark, "csv")
     spark.createDataFrame([(",forename,surname",), ("3,One,Max",)], "value string").coalesce(1).write.text(nameless)
     assert [tuple(r) for r in csv.read_wide_csv(spark, nameless, wanted).collect()] == [("3", "One", "Max")]
+
+
+def test_uneven_lines_are_told_apart(spark):
+    wanted = T.StructType([T.StructField(c, T.StringType()) for c in ("_ord", "surname", "code")])
+    path = scratch_path(spark, "csv")
+    lines = [
+        "_ord,surname,code",
+        '1,"One, ""Two""",x',
+        '2,"One, Two",x,y',
+        "3,Max",
+        '4,5" disk,\\N,',
+        '5,"a,b","c,d"',
+        "6,Max,,,",
+        "7,,",
+    ]
+    spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(path)
+    rows = {tuple(r) for r in csv.read_wide_csv(spark, path, wanted).collect()}
+    assert rows == {
+        ("1", 'One, "Two"', "x"),
+        ("3", "Max", None),
+        ("5", "a,b", "c,d"),
+        ("7", None, None),
+    }
+    rejects = {tuple(r) for r in csv.wide_csv_rejects(spark, path).collect()}
+    assert rejects == {("2", 4, lines[2]), ("4", 4, lines[4]), ("6", 5, lines[6])}
+    assert csv.read_wide_csv(spark, path, wanted).count() == 4
+    with pytest.raises(Exception, match="more than 3 fields"):
+        csv.read_wide_csv(spark, path, wanted, strict=True).collect()
+
+
+def test_quoted_line_breaks(spark):
+    wanted = T.StructType([T.StructField(c, T.StringType()) for c in ("_ord", "surname")])
+    path = scratch_path(spark, "csv")
+    data = spark.createDataFrame([("1", "a\nb"), ("2", 'c,"\nd"')], wanted)
+    csv.write_csv(data, path)
+    assert {tuple(r) for r in csv.read_wide_csv(spark, path, wanted, multi_line=True).collect()} == {
+        ("1", "a\nb"),
+        ("2", 'c,"\nd"'),
+    }
+    assert csv.wide_csv_rejects(spark, path, multi_line=True).count() == 0
