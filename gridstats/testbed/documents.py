@@ -140,6 +140,19 @@ def _references(roles: Roles) -> DataFrame:
 
 def results_documents(roles: Roles) -> DataFrame:
     """One race per order; two in three seasons' documents lack some optional parts."""
+    return _race_documents(*_result_races(roles))
+
+
+def results_pages(roles: Roles) -> DataFrame:
+    """The same races as pages (season, round, value) of one round each."""
+    rows, race = _result_races(roles)
+    page = [F.year("day").alias("season"), F.dayofyear("day").alias("round"), _block("o_orderkey", ORDERS_PER_DOCUMENT)]
+    items = rows.groupBy(*page).agg(_list_of(race, "o_orderkey").alias("_items"))
+    value = _wrap(F.col("_items"), "MRData", "RaceTable", "Races")
+    return items.select("season", "round", value.alias("value"))
+
+
+def _result_races(roles: Roles) -> tuple[DataFrame, Column]:
     rows = (
         roles["raceResultsFact"]
         .join(roles["raceDim"].select("raceId", F.col("date").alias("day")), "raceId")
@@ -166,7 +179,7 @@ def results_documents(roles: Roles) -> DataFrame:
         F.when(F.col("time").isNotNull(), F.struct("time")).alias("Time"),
         F.when(F.col("fastestLapTime").isNotNull(), lap).alias("FastestLap"),
     )
-    return _race_documents(rows, F.struct(*_season_round(), F.array(result).alias("Results")))
+    return rows, F.struct(*_season_round(), F.array(result).alias("Results"))
 
 
 def _orders_with_lines(roles: Roles, item: Column, name: str) -> DataFrame:

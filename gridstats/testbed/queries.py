@@ -6,6 +6,8 @@ from collections import ChainMap
 from collections.abc import Callable, Mapping
 from functools import reduce
 
+from pyarrow.dataset import dataset, field
+from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from ..plans.loads import LOADS, as_records, merge_all
 from ..plans.star import split_all, split_table
 from ..session import scratch_path
 from ..sources import csv, documents
+from ..sources.requests import read_requests
 from ..sources.tables import StarTables, count_rows
 from ..sources.topics import stream_folder, stream_messages, write_messages
 from ..streaming.merge_stream import append_stream, merge_all_stream, merge_stream
@@ -34,6 +37,8 @@ TEAM_YEAR = 1999
 SPLIT_RACE = 1096
 SPLIT_NATION = "NATION_2"
 SPLIT_COUNTRY = "C"
+# Rounds that one folder of landed pages holds.
+ROUNDS = 61
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,6 +145,30 @@ def scan_json_docs(spark: SparkSession, folder: str) -> DataFrame:
     return _unplaced(flatten.flatten_results(documents.read_documents(spark, path)))
 
 
+def scan_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Results asked for by season and round, out of a folder that stands for the public API."""
+    path = scratch_path(spark, "pages")
+    roles = Roles(spark, folder)
+    pages = docs.results_pages(roles).withColumn("slice", F.floor(F.col("round") / ROUNDS))
+    pages.repartition("season", "slice").write.partitionBy("season", "slice").parquet(path)
+    ends = roles["raceDim"].agg(F.min("year"), F.max("year")).first()
+    seasons = range(ends[0], ends[1] + 1)
+    asked = read_requests(spark, _pages_in(path), seasons, 1, 366, rounds_per_task=ROUNDS)
+    return _unplaced(flatten.flatten_results(asked))
+
+
+def _pages_in(path: str) -> Callable[[int, int], list[str]]:
+    def fetch(season: int, number: int) -> list[str]:
+        store, root = FileSystem.from_uri(path)
+        place = f"{root}/season={season}/slice={number // ROUNDS}"
+        if store.get_file_info(place).type == FileType.NotFound:
+            return []
+        held = dataset(place, filesystem=store, format="parquet")
+        return held.to_table(["value"], filter=field("round") == number)["value"].to_pylist()
+
+    return fetch
+
+
 def sink_json_records(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "json-records")
     roles = Roles(spark, folder)
@@ -209,6 +238,7 @@ def source_queries() -> dict[str, Query]:
         "scan_csv_clean": scan_csv_clean,
         "scan_csv_rejects": scan_csv_rejects,
         "scan_json_docs": scan_json_docs,
+        "scan_requests": scan_requests,
         "sink_json_records": sink_json_records,
         "load_append": load_append,
         "load_insert_ignore": load_insert_ignore,

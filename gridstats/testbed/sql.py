@@ -364,6 +364,7 @@ FROM planted WHERE fault IN (3, 5)"""
         "scan_csv_clean": f"{WIDE}SELECT {', '.join(kept)} FROM wide",
         "scan_csv_rejects": rejects,
         "scan_json_docs": results,
+        "scan_requests": results,
         "sink_json_records": results,
         "flatten_results": results,
         "load_append": f"{ROLES}SELECT * FROM result",

@@ -8,6 +8,7 @@ from gridstats.functions.parsing import null_if_token, to_day, to_number, to_who
 from gridstats.functions.times import lap_millis, millis_interval, pit_seconds, seconds_of_day
 from gridstats.session import scratch_path
 from gridstats.sources import csv
+from gridstats.sources.requests import RequestReader, read_requests
 
 
 def one(spark, text, column):
@@ -154,3 +155,33 @@ def test_quoted_line_breaks(spark):
         ("2", 'c,"\nd"'),
     }
     assert csv.wide_csv_rejects(spark, path, multi_line=True).count() == 0
+
+
+def test_requests_are_dealt_to_tasks(spark):
+    def fetch(season, number):
+        return [f"{season}/{number}/{page}" for page in range(number % 3)]
+
+    asked = read_requests(spark, fetch, [2023, 2024], 1, 5, rounds_per_task=2)
+    assert asked.rdd.getNumPartitions() == 6
+    found = {(r.value, *r._seq) for r in asked.collect()}
+    wanted = {(s, n, p) for s in (2023, 2024) for n in range(1, 6) for p in range(n % 3)}
+    assert found == {(f"{s}/{n}/{p}", s, n, p) for s, n, p in wanted}
+    assert read_requests(spark, fetch, [], 1, 5).count() == 0
+    with pytest.raises(ValueError, match="at least 1"):
+        read_requests(spark, fetch, [2023], 1, 5, attempts=0)
+
+
+def test_a_failed_request_is_made_again_whole():
+    calls = []
+
+    def fetch(season, number):
+        calls.append(number)
+        yield "first"
+        if len(calls) < 3:
+            raise ConnectionError("no answer")
+
+    assert RequestReader(fetch, [], 3, 0.0)._documents(2024, 1) == ["first"]
+    assert len(calls) == 3
+    calls.clear()
+    with pytest.raises(ConnectionError):
+        RequestReader(fetch, [], 2, 0.0)._documents(2024, 1)

@@ -16,7 +16,7 @@ CHECKED = (
     " driver_wins_in_year star_driver star_results flatten_results flatten_pit_stops merge_driver"
     " merge_laps merge_results merge_constructor_upsert stream_merge_all stream_merge_laps check_fk"
     " driver_streaks most_wins_in_row_true profile_mismatch star_all_counts scan_csv_clean"
-    " coerce_numeric null_tokens scan_csv_rejects"
+    " coerce_numeric null_tokens scan_csv_rejects scan_json_docs scan_requests"
 ).split()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
