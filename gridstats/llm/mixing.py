@@ -1,22 +1,28 @@
 """Mix sources to target weights with a multivariate-hypergeometric splitting tree.
 
 Texts are cut into blocks of ``block_words`` words. A source's target is met by whole epochs over
-its blocks plus a permuted run of them; the last block is taken in part, so the words come out
-exact to one word. The drawn blocks of all sources are dealt to output shards: a tree splits the
-vector of block quotas in two by a multivariate hypergeometric draw, then each half again, until a
-node is one shard. Shard ``k`` takes the k-th stretch of every source's permuted run, so shards
-are disjoint and each is a fair sample of the mix; inside a shard blocks are shuffled by a keyed
-hash.
+its blocks plus a part of one more. The exact block quotas of all sources are dealt to output shards
+by a tree: a multivariate hypergeometric draw splits the vector of quotas in two, then each half
+again, until a node is one shard. The blocks that the last epoch leaves out are dealt by a tree of
+the same kind, so shard ``k`` owns a pool of its own in every source's permutation, of the blocks
+it draws and of its spare ones, and draws its quota there: shards are disjoint, and which blocks are
+taken follows from the tree. Inside a shard blocks are shuffled by a keyed hash.
+
+Blocks differ in length, so a quota of blocks is a target of words only on average. The draws of the
+shards are therefore taken in turns, first block of each shard first, until the source's words are
+met; the last block is taken in part, and if the quotas fall short the shards' spare blocks follow in
+the same order. The words come out exact to one word.
 
 Sources are handled as rows: their totals, ranks and targets are DataFrames (only scalars reach
-the driver while the excess is reshared). The tree runs on one row per source. Blocks are narrow
-rows of an id, a number and a hash; texts are not shuffled. A hot source is spread over ``buckets``
-of its permutation.
+the driver while the excess is reshared). The tree first deals groups of sources, of which there are
+``GROUPS`` however many the sources are, and then, a task per group, the sources of each: the joint
+draw is the same. Blocks are narrow rows of an id, a number and a hash; texts are not shuffled. A hot
+source is spread over buckets of its permutation, and of its order of turns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -31,6 +37,8 @@ WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 BLOCK_WORDS = 256
 SHARDS = 16
+GROUPS = 1024
+_TURNS = 4096  # buckets of a source's order of turns
 _HEX = 3  # digits of the permutation key that name a bucket: 4096 per source
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -71,20 +79,24 @@ def source_targets(
     return named.withColumn("target", target).drop("_cap")
 
 
-def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> Iterator[np.ndarray]:
-    """Block quotas of each shard in turn; shard sizes differ by one block at most."""
-    rng = np.random.default_rng(seed)
+def even_sizes(total: int, shards: int) -> np.ndarray:
+    """Shard sizes that sum up to ``total`` and differ by one at most."""
+    cuts = [total * k // shards for k in range(shards + 1)]
+    return np.diff(np.array(cuts, dtype=np.int64))
 
-    def split(held: np.ndarray, count: int) -> Iterator[np.ndarray]:
-        if count == 1:
-            yield held
-            return
-        left, total = count // 2, int(held.sum())
-        drawn = _draw(rng, held, total * left // count)
-        yield from split(drawn, left)
-        yield from split(held - drawn, count - left)
 
-    return split(quotas.astype(np.int64), shards)
+def split_quotas(quotas: np.ndarray, sizes: np.ndarray, seed: Sequence[int]) -> np.ndarray:
+    """(shards, quotas): what each shard of the given size gets of every quota."""
+    rng = np.random.default_rng(list(seed))
+
+    def split(held: np.ndarray, wanted: np.ndarray) -> list[np.ndarray]:
+        if len(wanted) == 1:
+            return [held]
+        half = len(wanted) // 2
+        drawn = _draw(rng, held, int(wanted[:half].sum()))
+        return split(drawn, wanted[:half]) + split(held - drawn, wanted[half:])
+
+    return np.stack(split(np.asarray(quotas, dtype=np.int64), np.asarray(sizes, dtype=np.int64)))
 
 
 def _draw(rng: np.random.Generator, colors: np.ndarray, size: int) -> np.ndarray:
@@ -94,14 +106,34 @@ def _draw(rng: np.random.Generator, colors: np.ndarray, size: int) -> np.ndarray
     for i, own in enumerate(colors.tolist()):
         rest -= own
         if size and own:
-            few = own + rest < 1_000_000_000  # the exact generator's range
-            got = int(rng.hypergeometric(own, rest, size)) if few and rest else min(own, size)
-            if not few:  # far beyond it the draw is its mean to within a billionth
-                got = min(own, size, max(round(size * own / (own + rest)), size - rest))
-            drawn[i], size = got, size - got
+            drawn[i] = got = _hypergeometric(rng, own, rest, size)
+            size -= got
     return drawn
 
 
+def _hypergeometric(rng: np.random.Generator, own: int, rest: int, size: int) -> int:
+    """How many of ``own`` are among ``size`` drawn from ``own + rest``, by inversion.
+
+    The weights of the outcomes come from their ratios, outwards from the mode; those further away
+    than 12 deviations weigh less than rounding. The work grows with the deviation, hence with the
+    root of the numbers, which may be of any magnitude.
+    """
+    least, most = max(0, size - rest), min(own, size)
+    total = own + rest
+    if least == most:
+        return least
+    share = own / total
+    deviation = (size * share * (1 - share) * (total - size) / max(1, total - 1)) ** 0.5
+    mode = (size + 1) * (own + 1) // (total + 2)
+    reach = int(12 * deviation) + 40
+    low, high = max(least, mode - reach), min(most, mode + reach)
+    k = np.arange(low, high, dtype=np.float64)
+    steps = np.log((own - k) * (size - k)) - np.log((k + 1) * (rest - size + k + 1))
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    sums = np.cumsum(np.exp(logs - logs.max()))
+    return low + int(np.searchsorted(sums, rng.random() * sums[-1], side="right").clip(0, high - low))
+
+
 def mix_blocks(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -131,8 +163,9 @@ def mix_blocks(
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.md5(text).alias("_hash"),
     )
-    twins = Window.partitionBy("doc_id", "source", "_hash").orderBy("size")
-    numbered = narrow.withColumn("_number", F.row_number().over(twins))
+    # equal rows become counts, and counts rows again: no task has to sort the copies of a row
+    equal = narrow.groupBy("doc_id", "source", "size", "_hash").count()
+    numbered = equal.withColumn("_number", F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))))
     named = numbered.withColumn("_row", _row_name("doc_id", "source", "_hash", "_number"))
     rows = stage(named.select("_row", "doc_id", "source", "size"), "mix-rows")
     targets = stage(source_targets(rows, weights, most), "targets").withColumn(
@@ -156,84 +189,121 @@ def mix_blocks(
     )
     blocks = stage(blocks, "mix-blocks")
     # a source's permutation is its keys in order: totals per bucket, then places inside a bucket
-    summed = blocks.groupBy("source", "_bucket").agg(
-        F.sum("words").alias("_words_in"), F.count(F.lit(1)).alias("_blocks_in")
-    )
-    earlier = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = summed.select(
-        F.col("source").alias("_source"),
-        F.col("_bucket").alias("_b"),
-        F.coalesce(F.sum("_words_in").over(earlier), F.lit(0)).alias("_words_before"),
-        F.coalesce(F.sum("_blocks_in").over(earlier), F.lit(0)).alias("_blocks_before"),
-    )
+    before = _sums_before(blocks, "_bucket", F.count(F.lit(1)))
     inside = Window.partitionBy("source", "_bucket").orderBy("_key", "_row", "block")
-    placed = blocks.withColumns(
-        {
-            "_words_at": F.sum("words").over(inside) - F.col("words"),
-            "_rank_at": F.row_number().over(inside) - 1,
-        }
-    ).join(
-        offsets,
-        F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bucket") == F.col("_b")),
-    )
-    begun = F.col("_words_before") + F.col("_words_at")
-    part = F.greatest(F.lit(0), F.least(F.col("words"), F.col("_rest") - begun))
-    drawn = stage(
-        placed.select(
-            "_row",
-            "source",
-            "block",
-            "_key",
-            "words",
-            "_epochs",
-            part.alias("_part"),
-            (F.col("_blocks_before") + F.col("_rank_at")).alias("_rank"),
-        ).where("_epochs > 0 OR _part > 0"),
-        "drawn",
+    ranked = _beside(blocks, before, "_bucket").withColumn(
+        "_rank", F.col("_before") + F.row_number().over(inside) - 1
     )
-    # the run of a source: all its blocks once per epoch, then the permuted part
-    counts = drawn.groupBy("source").agg(
+    counts = blocks.groupBy("source").agg(
         F.max("_epochs").cast("long").alias("epochs"),
+        F.max("_rest").alias("rest"),
+        F.sum("words").alias("words"),
         F.count(F.lit(1)).alias("blocks"),
-        F.count(F.when(F.col("_part") > 0, 1)).alias("more"),
     )
-    cuts = _shard_cuts(counts, shards, seed)
+    dealt = stage(_deal(counts, shards, seed), "dealt").withColumnRenamed("source", "_source")
+    owner = F.size(F.filter("pool_ends", lambda e: e <= F.col("_rank")))
+    held = ranked.join(dealt, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_shard", owner)
+    begin = F.when(F.col("_shard") > 0, F.element_at("pool_ends", F.col("_shard"))).otherwise(0)
+    turn = held.withColumn("_turn", F.col("_rank") - begin).withColumn(
+        "_spare", F.col("_turn") >= F.element_at("quotas", F.col("_shard") + 1)
+    )
+    step = F.floor(F.element_at(F.array_sort("pools"), -1) / _TURNS) + 1
+    turn = stage(
+        turn.select(
+            *["_row", "source", "block", "words", "_key", "_epochs", "_rest", "_rank", "_shard", "_turn", "_spare"],
+            F.col("blocks").alias("_blocks"),
+            "full_ends",
+            F.struct("_spare", F.floor(F.col("_turn") / step).alias("turns")).alias("_slot"),
+        ),
+        "turns",
+    )
+    earlier = _sums_before(turn, "_slot", F.sum("words"))
+    order = Window.partitionBy("source", "_slot").orderBy("_turn", "_shard")
+    begun = F.col("_before") + F.sum("words").over(order) - F.col("words")
+    part = F.greatest(F.lit(0), F.least(F.col("words"), F.col("_rest") - begun))
+    drawn = _beside(turn, earlier, "_slot").withColumn("_part", part).where("_epochs > 0 OR _part > 0")
     epoch = F.explode(F.sequence(F.lit(0), F.col("_epochs"))).alias("epoch")
+    whole_epoch = F.col("epoch") < F.col("_epochs")
     copies = drawn.select("*", epoch).withColumn(
-        "_taken", F.when(F.col("epoch") < F.col("_epochs"), F.col("words")).otherwise(F.col("_part"))
-    )
-    run = copies.where("_taken > 0").join(
-        cuts.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))
+        "_taken", F.when(whole_epoch, F.col("words")).otherwise(F.col("_part"))
     )
-    at = F.col("epoch") * F.col("blocks") + F.col("_rank")
-    shard = F.size(F.filter("ends", lambda e: e <= at))
-    out = run.select(
+    at = F.col("epoch") * F.col("_blocks") + F.col("_rank")
+    in_epoch = F.size(F.filter("full_ends", lambda e: e <= at))
+    out = copies.where("_taken > 0").select(
         "_row",
         "block",
         "epoch",
         F.col("_taken").alias("words"),
-        shard.alias("shard"),
+        F.when(whole_epoch, in_epoch).otherwise(F.col("_shard")).alias("shard"),
         F.md5(F.concat_ws("/", "_key", F.col("epoch").cast("string"))).alias("place"),
     )
     return known.drop("_epochs", "_rest"), out
 
 
-def _shard_cuts(counts: DataFrame, shards: int, seed: int) -> DataFrame:
-    """(source, blocks, ends): where each shard's stretch of a source's run ends.
+def _sums_before(rows: DataFrame, bucket: str, total: Column) -> DataFrame:
+    """(_source, _b, _before): the total of a source's earlier buckets, for each of its buckets."""
+    summed = rows.groupBy("source", bucket).agg(total.alias("_total"))
+    earlier = Window.partitionBy("source").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    return summed.select(
+        F.col("source").alias("_s"),
+        F.col(bucket).alias("_b"),
+        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"),
+    )
+
+
+def _beside(rows: DataFrame, sums: DataFrame, bucket: str) -> DataFrame:
+    met = F.col("source").eqNullSafe(F.col("_s")) & (F.col(bucket) == F.col("_b"))
+    return rows.join(sums, met).drop("_s", "_b")
+
+
+def _deal(counts: DataFrame, shards: int, seed: int) -> DataFrame:
+    """The tree: (source, blocks, full_ends, quotas, pools, pool_ends) from totals per source.
 
-    One task sees one row per source, never blocks.
+    ``full_ends``: where each shard's stretch of the whole epochs ends. ``quotas``: the blocks each
+    shard draws in the last epoch; ``pools`` and ``pool_ends``: the blocks it owns there.
     """
+    # enough blocks for the words that the last epoch has to give, on average
+    share = F.col("rest") / F.col("words")
+    more = F.least(F.col("blocks"), F.ceil(share * F.col("blocks")).cast("long"))
+    planned = counts.select(
+        "source",
+        "blocks",
+        (F.col("epochs") * F.col("blocks")).alias("full"),
+        more.alias("more"),
+        (F.col("blocks") - more).alias("spare"),
+        F.pmod(F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("")), F.col("source").isNull()), F.lit(GROUPS)).alias("group"),
+    )
+    totals = planned.groupBy("group").agg(
+        F.sum(F.col("full") + F.col("more")).alias("wanted"), F.sum("spare").alias("spare")
+    )
+
+    def groups(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("group", ignore_index=True)
+        parts = {
+            name: split_quotas(rows[name].to_numpy(), even_sizes(int(rows[name].sum()), shards), [seed, kind])
+            for kind, name in enumerate(("wanted", "spare"))
+        }
+        return pd.DataFrame(
+            {"group": rows["group"], "wanted": list(parts["wanted"].T), "spares": list(parts["spare"].T)}
+        )
 
-    def tree(rows: pd.DataFrame) -> pd.DataFrame:
+    def sources(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("source", na_position="last", ignore_index=True)
-        quotas = (rows["epochs"] * rows["blocks"] + rows["more"]).to_numpy()
-        ends = np.cumsum(np.stack(list(split_quotas(quotas, shards, seed))), axis=0)
+        group, first = int(rows["group"][0]), rows.iloc[0]
+        both = np.concatenate([rows["full"].to_numpy(), rows["more"].to_numpy()])
+        parts = split_quotas(both, np.asarray(first["wanted"]), [seed, 2, group])
+        spare = split_quotas(rows["spare"].to_numpy(), np.asarray(first["spares"]), [seed, 3, group])
+        full, more = parts[:, : len(rows)], parts[:, len(rows) :]
+        pools = more + spare
+        columns = {"full_ends": full.cumsum(axis=0), "quotas": more, "pools": pools, "pool_ends": pools.cumsum(axis=0)}
         return pd.DataFrame(
-            {"source": rows["source"], "blocks": rows["blocks"], "ends": list(ends.T)}
+            {"source": rows["source"], "blocks": rows["blocks"], **{c: list(v.T) for c, v in columns.items()}}
         )
 
-    schema = "source string, blocks long, ends array<long>"
-    return counts.withColumn("source", F.col("source").cast("string")).groupBy().applyInPandas(tree, schema)
+    split = totals.groupBy().applyInPandas(groups, "group long, wanted array<long>, spares array<long>")
+    arrays = ", ".join(f"{c} array<long>" for c in ("full_ends", "quotas", "pools", "pool_ends"))
+    text = planned.withColumn("source", F.col("source").cast("string"))
+    return text.join(split, "group").groupBy("group").applyInPandas(sources, f"source string, blocks long, {arrays}")
 
 
 def mix_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:

@@ -31,49 +31,6 @@ def html_sql() -> str:
     """
 
 
-def mixing_sql() -> str:
-    return rf"""
-        WITH sized AS (
-            SELECT doc_id, source, md5(coalesce(text, '')) AS hash,
-                   CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
-            FROM documents),
-        named AS (
-            SELECT *, coalesce(CAST(doc_id AS VARCHAR), '-') || ':'
-                   || CASE WHEN source IS NULL THEN '-' ELSE '=' || md5(source) END || ':' || hash || ':'
-                   || row_number() OVER (PARTITION BY doc_id, source, hash) AS line FROM sized),
-        totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM named GROUP BY source),
-        weighed AS (
-            SELECT *, 3.0::DOUBLE * source_size AS cap, [5.0::DOUBLE, 2.0, 1.0][CAST(1 + (row_number() OVER
-                   (ORDER BY source IS NULL, source) - 1) % 3 AS INT)] AS weight FROM totals),
-        levels AS (
-            SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER up, 0))
-                      / (sum(weight) OVER () - coalesce(sum(weight) OVER up, 0)) AS level
-            FROM weighed
-            WINDOW up AS (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-        targets AS (
-            SELECT *, least(cap, weight * (SELECT level FROM levels WHERE level <= cap / weight
-                                           ORDER BY cap / weight LIMIT 1)) AS target FROM levels),
-        known AS (
-            SELECT n.*, t.source_size, t.target,
-                   CAST(CASE WHEN t.source_size > 0 THEN CAST(round(t.target) AS BIGINT) // t.source_size
-                        ELSE 0 END AS BIGINT) AS epochs
-            FROM named n JOIN targets t ON n.source IS NOT DISTINCT FROM t.source),
-        blocks AS (
-            SELECT *, unnest(range(0, (size + 255) // 256)) AS block FROM known),
-        keyed AS (
-            SELECT *, least(256, size - block * 256) AS words, md5('7/' || line || '/' || block) AS key
-            FROM blocks),
-        run AS (
-            SELECT line, words, CAST(round(target) AS BIGINT) - epochs * source_size
-                   - (sum(words) OVER (PARTITION BY source ORDER BY key, line, block) - words) AS rest
-            FROM keyed),
-        parts AS (SELECT line, sum(greatest(0, least(words, rest))) AS part FROM run GROUP BY line)
-        SELECT doc_id, size, source_size, target,
-               CAST(epochs * size + coalesce(part, 0) AS BIGINT) AS taken
-        FROM known LEFT JOIN parts USING (line)
-    """
-
-
 def decontaminate_sql() -> str:
     words = (
         r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
@@ -184,7 +141,6 @@ def urls_sql() -> str:
 def all_statements() -> dict[str, str]:
     return {
         "op2_html_text": html_sql(),
-        "op3_mixing": mixing_sql(),
         "op5_decontaminate": decontaminate_sql(),
         "op6_secret_scan": secrets_sql(),
         "op7_url_filter": urls_sql(),

@@ -1,5 +1,7 @@
 """Mixing, SimHash, toxicity, neighbours and personal data on small inputs."""
 
+import hashlib
+import math
 import random
 
 import numpy as np
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridstats.llm import pii, simhash
 from gridstats.llm.graph import connected_components
-from gridstats.llm.mixing import fill_targets, mix, mix_blocks, mix_rows, split_quotas
+from gridstats.llm.mixing import _hypergeometric, even_sizes, fill_targets, mix, mix_blocks, mix_rows, split_quotas
 from gridstats.llm.neighbours import chi_square_cdf, chi_square_point, nearest
 from gridstats.llm.pii import entities, find_personal_data, listed, luhn, sanitise, sanitised
 from gridstats.llm.simhash import forest, keep_first, near_duplicates
@@ -70,14 +72,81 @@ def test_shards_are_disjoint_and_even(spark):
     rows = blocks.collect()
     assert len({(r["_row"], r["block"], r["epoch"]) for r in rows}) == len(rows)
     per_shard = [sum(r["shard"] == k for r in rows) for k in range(4)]
-    assert max(per_shard) - min(per_shard) <= 2
+    assert max(per_shard) - min(per_shard) <= 8
 
 
 def test_splitting_tree_keeps_quotas():
     quotas = np.array([100, 0, 7, 3000])
-    parts = list(split_quotas(quotas, 7, 1))
-    assert len(parts) == 7 and (sum(parts) == quotas).all()
-    assert max(p.sum() for p in parts) - min(p.sum() for p in parts) <= 2
+    parts = split_quotas(quotas, even_sizes(int(quotas.sum()), 7), [1])
+    assert len(parts) == 7 and (parts.sum(axis=0) == quotas).all() and (parts >= 0).all()
+    assert max(p.sum() for p in parts) - min(p.sum() for p in parts) <= 1
+
+
+def test_hypergeometric_draws():
+    rng = np.random.default_rng(3)
+    drawn = np.bincount([_hypergeometric(rng, 5, 7, 4) for _ in range(20_000)], minlength=5) / 20_000
+    exact = [math.comb(5, k) * math.comb(7, 4 - k) / math.comb(12, 4) for k in range(5)]
+    assert np.abs(drawn - exact).max() < 0.015
+    # far beyond numpy's own range: mean and deviation of the draw
+    own, rest, size = 3 * 10**10, 7 * 10**10, 10**10
+    many = np.array([_hypergeometric(rng, own, rest, size) for _ in range(300)], dtype=float)
+    deviation = (size * 0.3 * 0.7 * 0.9) ** 0.5
+    assert abs(many.mean() - 3 * 10**9) < 4 * deviation / 300**0.5
+    assert 0.8 < many.std() / deviation < 1.2
+    assert _hypergeometric(rng, 4, 0, 3) == 3 and _hypergeometric(rng, 1, 10**12, 1) in (0, 1)
+
+
+def test_mix_replays_the_tree(spark):
+    """``taken`` of every row, from a replay of permutation, tree and turns on plain lists."""
+    rows, shards, seed, length = mixing_rows(), 4, 11, 16
+    frame = docs_of(spark, rows)
+    mixed, blocks = mix_blocks(frame, shards=shards, seed=seed, block_words=length)
+    known = mixed.collect()
+    drawn = {(r["_row"], r["block"], r["epoch"]): (r["words"], r["shard"]) for r in blocks.collect()}
+    by_source = {}
+    for r in known:
+        for n in range(-(-r["size"] // length)):
+            key = hashlib.md5(f"{seed}/{r['_row']}/{n}".encode()).hexdigest()
+            by_source.setdefault(r["source"], []).append((key, r["_row"], n, min(length, r["size"] - n * length)))
+    plan = []
+    for source, held in by_source.items():
+        held.sort()
+        size = sum(w for *_, w in held)
+        words = round(next(r["target"] for r in known if r["source"] == source))
+        epochs, rest = divmod(words, size)
+        more = min(len(held), math.ceil(rest / size * len(held)))
+        tag = spark.sql("SELECT pmod(xxhash64(coalesce(:s, ''), :s IS NULL), 1024) AS g", args={"s": source}).first()["g"]
+        plan.append((tag, source is None, source or "", source, held, epochs, rest, more))
+    plan.sort(key=lambda p: p[:3])
+    tags = sorted({p[0] for p in plan})
+    wanted = [sum(p[5] * len(p[4]) + p[7] for p in plan if p[0] == t) for t in tags]
+    spare = [sum(len(p[4]) - p[7] for p in plan if p[0] == t) for t in tags]
+    top = split_quotas(wanted, even_sizes(sum(wanted), shards), [seed, 0])
+    rests = split_quotas(spare, even_sizes(sum(spare), shards), [seed, 1])
+    expected = {}
+    for i, tag in enumerate(tags):
+        own = [p for p in plan if p[0] == tag]
+        both = split_quotas([p[5] * len(p[4]) for p in own] + [p[7] for p in own], top[:, i], [seed, 2, tag])
+        left = split_quotas([len(p[4]) - p[7] for p in own], rests[:, i], [seed, 3, tag])
+        for j, (*_, held, epochs, rest, _) in enumerate(own):
+            full = [k for k in range(shards) for _ in range(both[k, j])]
+            for at, k in enumerate(full):
+                _, row, n, words = held[at % len(held)]
+                expected[row, n, at // len(held)] = (words, k)
+            turns, place = [], 0
+            for k in range(shards):
+                quota = both[k, len(own) + j]
+                for t in range(quota + left[k, j]):
+                    turns.append((t >= quota, t, k, held[place]))
+                    place += 1
+            assert place == len(held)
+            for _, _, k, (_, row, n, words) in sorted(turns):
+                if rest > 0:
+                    expected[row, n, epochs] = (min(words, rest), k)
+                rest -= words
+    assert drawn == expected
+    other = mix_blocks(frame, shards=9, seed=seed, block_words=length)[1]
+    assert {(r["_row"], r["block"], r["epoch"]) for r in other.collect()} != set(drawn)
 
 
 def test_mix_rows_and_empty(spark):
