@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from ..session import stage
-from .common import whole_text
+from .common import put_back, set_aside, whole_text
 
 WINDOW = 13
 MOST_PATTERN_BYTES = 16 << 20
@@ -196,6 +196,8 @@ def decontaminate(
     """
     made = ("n_words", "n_hit", "n_items", "item_ids", "contaminated")
     kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    docs, names = set_aside(docs)
+    kept, text_column = [names.get(c, c) for c in kept], names.get(text_column, text_column)
     carried = [F.col(c) for c in kept]
     rows = docs.select(
         *carried,
@@ -221,7 +223,7 @@ def decontaminate(
         lambda total, s: total + s["_ends"] - s["_starts"],
     ).cast("long")
     counted = rows.withColumns({"n_words": F.col("_words").cast("long"), "n_hit": hit})
-    return counted.select(
+    judged = counted.select(
         *carried,
         "n_words",
         "n_hit",
@@ -229,3 +231,4 @@ def decontaminate(
         F.col("_items").alias("item_ids"),
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
+    return put_back(judged, names)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import whole_text
+from .common import put_back, set_aside, whole_text
 
 # Element names.
 BLOCKS = frozenset(
@@ -333,6 +333,8 @@ def extract_text(pages: DataFrame, html_column: str = "html", keep: list[str] |
     a result are replaced. Whole pages are read; nothing is capped.
     """
     kept = [c for c in (pages.columns if keep is None else keep) if c not in ("text", "n_chars")]
+    pages, names = set_aside(pages)
+    kept, html_column = [names.get(c, c) for c in kept], names.get(html_column, html_column)
     rows = pages.select(*[F.col(c) for c in kept], whole_text(html_column).alias("_html"))
     schema = StructType([rows.schema[c] for c in kept] + [StructField("text", StringType())])
     arrow = to_arrow_schema(schema)
@@ -343,4 +345,5 @@ def extract_text(pages: DataFrame, html_column: str = "html", keep: list[str] |
             own = [batch[c].cast(arrow.field(c).type) for c in kept]
             yield pa.RecordBatch.from_arrays([*own, texts], schema=arrow)
 
-    return rows.mapInArrow(scan, schema).withColumn("n_chars", F.length("text").cast("long"))
+    read = rows.mapInArrow(scan, schema).withColumn("n_chars", F.length("text").cast("long"))
+    return put_back(read, names)

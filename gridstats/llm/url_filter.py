@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, whole_text
+from .common import ascii_lower, put_back, set_aside, whole_text
 
 
 @dataclass(frozen=True)
@@ -109,6 +109,8 @@ def filter_urls(
     unless a pattern fits. Rows are independent: repeated rows repeat their result, an empty table
     gives an empty table, and columns with the names of the results are replaced.
     """
+    pages, names = set_aside(pages)
+    url_column = names.get(url_column, url_column)
     parsed = pages.withColumns(
         {"host": host_of(F.col(url_column)), "path": path_of(F.col(url_column))}
     ).withColumn("_tokens", tokens_of(F.col("host"), F.col("path")))
@@ -142,11 +144,11 @@ def filter_urls(
     else:
         candidates = everywhere
     best = F.array_max(F.filter(candidates, lambda c: F.regexp_like(target, c["regex"])))
-    judged = parsed.withColumn("_best", best)
-    return judged.withColumns(
+    judged = parsed.withColumn("_best", best).withColumns(
         {
             "rule": F.when(F.col("_best.base"), F.col("_best.name")),
             "verdict": F.coalesce(F.col("_best.verdict"), F.lit(default)),
             "pattern": F.when(~F.col("_best.base"), F.col("_best.name")),
         }
-    ).drop("_tokens", "_best")
+    )
+    return put_back(judged.drop("_tokens", "_best"), names)
