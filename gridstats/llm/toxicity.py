@@ -11,8 +11,8 @@ lack, no two of them alike. The
 Nyström map turns similarities into coordinates of the kernel space; a hinge-loss machine on them
 is trained on the labelled texts and calibrated to probabilities.
 
-Training runs on a bounded sample of the labelled rows (``TRAIN_ROWS`` of either label, smallest
-hashes first), gathered on the driver. Scoring reads every whole text in one pass without a
+Training runs on a bounded sample of the labelled rows (``TRAIN_ROWS`` and ``TRAIN_BYTES`` of either
+label, smallest hashes first), gathered on the driver. Scoring reads every whole text in one pass without a
 shuffle. Similarities below ``FLOOR`` count as none. By Cauchy and Schwarz a similarity is at most
 the root of the share of a landmark's squared weights that lies on subsequences the word has too;
 such a subsequence brings its three ordered pairs of characters, so a third of the weights summed
@@ -31,12 +31,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import whole_text
+from ..session import stage
+from .common import put_back, set_aside, whole_text
 
 DECAY = 0.6
 ORDER = 3
@@ -47,6 +48,7 @@ FLOOR = 0.3
 POWER = 3  # of the kernel, itself a kernel: sets words that are alike apart from half-alike ones
 ALIKE = 0.5
 TRAIN_ROWS = 3000
+TRAIN_BYTES = 1 << 27
 _WIDTHS = (6, 9, 12, 16, WIDTH)  # words of like length are taken together
 _HEADS = range(9, 4, -1)  # bytes of a beginning, with the mark
 _TOGETHER = 256  # texts whose words are held at once
@@ -348,11 +350,13 @@ def train_on(
     text_column: str = "text",
     label_column: str = "toxic",
     rows: int = TRAIN_ROWS,
+    most_bytes: int = TRAIN_BYTES,
 ) -> Model:
     """Train on at most ``rows`` labelled texts of either label, outside the held-out fifth.
 
     Labels other than 0 and 1, and rows without an id, are left out; an id with several labels
-    counts as toxic if one of them is.
+    counts as toxic if one of them is, and one with several texts is known by the least of them.
+    The texts of a label have at most ``most_bytes`` together, and none has over a sixteenth of that.
     """
     marked = (
         labels.where(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull() & ~held_out(id_column))
@@ -365,7 +369,14 @@ def train_on(
     chosen = sampled[0].union(sampled[1])
     texts = docs.select(F.col(id_column).alias("_id"), whole_text(text_column).alias("_text"))
     # at most 2 * rows narrow rows, so this side may be broadcast
-    got = texts.join(F.broadcast(chosen), "_id").orderBy("_id", "_text").select("_text", "_label").collect()
+    found = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+    size = F.octet_length("_text").cast("long")
+    found = stage(found.withColumn("_size", size).where(F.col("_size") <= most_bytes // 16), "labelled")
+    # over ids and sizes alone, at most ``rows`` of either label
+    so_far = F.sum("_size").over(Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_id"))
+    within = found.select("_id", "_label", so_far.alias("_sum")).where(F.col("_sum") <= most_bytes)
+    within = F.broadcast(within.select("_id"))
+    got = found.join(within, "_id").orderBy("_id").select("_text", "_label").collect()
     return train([r["_text"] for r in got], [r["_label"] for r in got])
 
 
@@ -379,6 +390,8 @@ def score_toxicity(
     replaced. Only the text is read.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
+    docs, names = set_aside(docs)
+    kept, text_column = [names.get(c, c) for c in kept], names.get(text_column, text_column)
     rows = docs.select(*[F.col(c) for c in kept], whole_text(text_column).alias("_text"))
     schema = StructType([rows.schema[c] for c in kept] + [StructField("score", DoubleType())])
     arrow = to_arrow_schema(schema)
@@ -392,4 +405,5 @@ def score_toxicity(
             carried = [batch[c].cast(arrow.field(c).type) for c in kept]
             yield pa.RecordBatch.from_arrays([*carried, column], schema=arrow)
 
-    return rows.mapInArrow(scan, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = rows.mapInArrow(scan, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return put_back(scored, names)
