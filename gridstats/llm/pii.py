@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import whole_text
+from .common import put_back, set_aside, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -46,7 +46,6 @@ _LEVELS = 40  # a slice halves the hashes so often at most
 _NONE = 255
 _HELD = 1 << 16  # contexts a task holds at once, beside those of one text
 _SLICE = 8  # contexts looked at for each that a passing term may have
-_SMALL_ROWS = 50_000  # a side of so many narrow rows may be broadcast
 
 # The base patterns. Possessive runs and the looks behind only forbid starts that
 # cannot match, so long runs of one class cost their length.
@@ -358,17 +357,16 @@ def find_personal_data(
         "disclosing",
     )
     base = marked.select("id", "hash", "spans")
-    joined = _join_small(base, told)
+    joined = _with_spans(base, told)
     empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
     return joined.withColumn("terms", F.coalesce("terms", empty))
 
 
-def _join_small(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Left join on (id, hash); the right side is staged and is broadcast only if it is small."""
-    small = right.limit(_SMALL_ROWS + 1).count() <= _SMALL_ROWS
+def _with_spans(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left join on (id, hash); the right side is staged, so Spark knows its bytes."""
     same = left["id"].eqNullSafe(right["id"]) & (left["hash"] == right["hash"])
     more = [c for c in right.columns if c not in ("id", "hash")]
-    joined = left.join(F.broadcast(right) if small else right, same, "left")
+    joined = left.join(right, same, "left")
     return joined.select(*[left[c] for c in left.columns], *[right[c] for c in more])
 
 
@@ -399,6 +397,8 @@ def sanitised(text: str, spans: Sequence[tuple[int, int, int]]) -> str:
 
 def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """The same rows and columns with personal data taken out of the text (a null text stays null)."""
+    docs, names = set_aside(docs)
+    id_column, text_column = names.get(id_column, id_column), names.get(text_column, text_column)
     found = find_personal_data(docs, id_column, text_column, **options)
     spans = (
         found.where((F.size("spans") > 0) | (F.size("terms") > 0))
@@ -406,18 +406,17 @@ def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         .dropDuplicates(["id", "hash"])
     )
     keyed = docs.withColumns(
-        {"id_": F.col(id_column).cast("string"), "hash_": F.md5(whole_text(text_column))}
+        {"_id": F.col(id_column).cast("string"), "_hash": F.md5(whole_text(text_column))}
     )
     staged = stage(spans, "spans")
-    small = staged.limit(_SMALL_ROWS + 1).count() <= _SMALL_ROWS
-    side = F.broadcast(staged) if small else staged
     joined = keyed.join(
-        side, keyed["id_"].eqNullSafe(staged["id"]) & (keyed["hash_"] == staged["hash"]), "left"
+        staged, keyed["_id"].eqNullSafe(staged["id"]) & (keyed["_hash"] == staged["hash"]), "left"
     )
     clean = F.when(F.col("_spans").isNull(), F.col(text_column)).otherwise(
         _rewritten(F.col(text_column), F.col("_spans"))
     )
-    return joined.select(*[clean.alias(c) if c == text_column else keyed[c] for c in docs.columns])
+    cleaned = joined.select(*[clean.alias(c) if c == text_column else keyed[c] for c in docs.columns])
+    return put_back(cleaned, names)
 
 
 def _rewritten(text: Column, spans: Column) -> Column:
