@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ids import allocate_ids
 from ..session import stage
-from .common import whole_text
+from .common import put_back, set_aside, whole_text
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -312,18 +312,39 @@ def mix_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     Rows that are equal in id, source and text are numbered, and each gets the words of its number.
     The texts are shuffled once, to meet what is taken of them.
     """
+    docs, names = set_aside(docs)
+    id_column, text_column = names.get(id_column, id_column), names.get(text_column, text_column)
+    if "source_column" in options:
+        options["source_column"] = names.get(options["source_column"], options["source_column"])
     mixed = mix(docs, id_column=id_column, text_column=text_column, **options)
     added = ("size", "source_size", "target", "taken")
     source = options.get("source_column", "source")
     narrow = stage(mixed.select("_row", *added), "mixed")
     base = docs.drop(*added).withColumn("_hash", F.md5(whole_text(text_column)))
-    twins = Window.partitionBy(id_column, source, "_hash").orderBy("_hash")
-    repeated = (
-        base.groupBy(id_column, source, "_hash").count().where("count > 1").limit(1).count()
+    same = [id_column, source, "_hash"]
+    repeated = base.groupBy(*same).count().where("count > 1").limit(1).count()
+    base = _numbered(base, same) if repeated else base.withColumn("_number", F.lit(1))
+    named = base.withColumn("_row", _row_name(id_column, source, "_hash", "_number"))
+    return put_back(named.join(narrow, "_row").drop("_row", "_hash", "_number"), names)
+
+
+def _numbered(rows: DataFrame, same: list[str]) -> DataFrame:
+    """Number the rows that are equal in ``same`` from 1, each part of the input by itself.
+
+    So copies that are a third of all rows are many tasks' work; only the parts' counts meet.
+    """
+    rows = stage(rows.withColumn("_part", F.spark_partition_id()), "copies")
+    earlier = Window.partitionBy(*same).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*same, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    begin = counts.select(
+        *[F.col(c).alias(f"_same{i}") for i, c in enumerate(same)],
+        F.col("_part").alias("_of"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begin"),
     )
-    number = F.row_number().over(twins) if repeated else F.lit(1)
-    named = base.withColumn("_number", number).withColumn("_row", _row_name(id_column, source, "_hash", "_number"))
-    return named.join(narrow, "_row").drop("_row", "_hash", "_number")
+    own = F.row_number().over(Window.partitionBy(*same, "_part").orderBy("_part"))
+    match = [F.col(c).eqNullSafe(F.col(f"_same{i}")) for i, c in enumerate(same)]
+    numbered = rows.withColumn("_own", own).join(begin, [*match, F.col("_part") == F.col("_of")])
+    return numbered.select(*[c for c in rows.columns if c != "_part"], (F.col("_own") + F.col("_begin")).alias("_number"))
 
 
 def _row_name(id_column: str, source_column: str, text_hash: str, number: str) -> Column:
