@@ -10,7 +10,7 @@ from collections.abc import Callable, Container, Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import is_minute_text, lap_millis
@@ -466,7 +466,9 @@ def merge_batch(
     Beside the table, under the same writer and number, lie its rejected rows (``_rejects``), its
     documents that gave no rows (``_faults``) and its row counts by outcome (``_audit``). All of
     them depend only on the batch and on what was there before it, and replace what an earlier
-    attempt left. ``strict`` fails at the first faulty document instead.
+    attempt left. The counts are taken while the rows, the rejects and the faults are written; a job
+    of its own runs only for rows whose key the table knew, and for reasons where there are some.
+    ``strict`` fails at the first faulty document instead.
     """
     table, spec = load.spec.table, load.spec
     if upsert and not spec.key:
@@ -499,20 +501,21 @@ def merge_batch(
             else:
                 rows = merge_new(found, before, alone, start=lease)
                 tables.write_batch(table, rows, batch, writer, spec.key)
-        misses = found.where(F.col(REASON).isNotNull()).select(*incoming.columns)
-        misses.write.mode("overwrite").parquet(tables.place(f"_rejects/{table}", batch, writer))
-        faults = _faults(load, docs, form)
-        faults.write.mode("overwrite").parquet(tables.place(f"_faults/{table}", batch, writer))
-        # the counts see the table as it was before the batch
-        counts = merge_audit(found, before, alone)
+        seen = Observation()
+        # the filter stays above the count, and nothing is shuffled between it and the write
+        counted = found.observe(seen, F.count_if(F.col(REASON).isNull()).alias("valid"))
+        misses = counted.where(F.col(REASON).isNotNull()).select(*incoming.columns)
+        lost = _write_counted(misses, tables.place(f"_rejects/{table}", batch, writer))
+        faulty = _write_counted(_faults(load, docs, form), tables.place(f"_faults/{table}", batch, writer))
         if upsert:
-            known = F.when(F.col("outcome") == "exists", "updated").otherwise(F.col("outcome"))
-            counts = counts.withColumn("outcome", known)
-        lost = faults.groupBy(F.col(REASON).alias("outcome")).agg(
-            F.count(F.lit(1)).alias("row_count")
-        )
-        lost = lost.select(F.lit(table).alias("table_name"), "outcome", "row_count")
-        counts.unionByName(lost).coalesce(1).write.mode("overwrite").parquet(
+            audit = merge_audit(found.where(F.col(REASON).isNull()), before, alone).collect()
+            outcomes = {r["outcome"].replace("exists", "updated"): r["row_count"] for r in audit}
+        else:
+            inserted = tables.rows_in(table, batch, writer)
+            outcomes = _outcomes(found, before, spec, seen.get["valid"], inserted)
+        for reason, count in [*lost.items(), *faulty.items()]:
+            outcomes[reason] = outcomes.get(reason, 0) + count
+        _audit_rows(tables.spark, table, outcomes).write.mode("overwrite").parquet(
             tables.place(f"_audit/{table}", batch, writer)
         )
         tables.settle(table, writer, batch)
@@ -520,17 +523,48 @@ def merge_batch(
         found.unpersist()
 
 
+_AUDIT = "table_name string, outcome string, row_count long"
+
+
+def _write_counted(rows: DataFrame, path: str) -> dict[str, int]:
+    """Write rejected rows and count them by reason; without any, that takes no further job."""
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    if not seen.get["n"]:
+        return {}
+    stored = rows.sparkSession.read.parquet(path).groupBy(REASON).count()
+    return {r[REASON]: r["count"] for r in stored.collect()}
+
+
+def _outcomes(
+    found: DataFrame, before: DataFrame, spec: MergeSpec, valid: int, inserted: int
+) -> dict[str, int]:
+    """What became of the valid rows: those with a known key are looked up only if some were left out.
+
+    The same numbers as ``merge_audit`` over the batch and the table as it was before.
+    """
+    exists = 0
+    if valid > inserted:
+        keys = found.where(F.col(REASON).isNull()).select(*spec.key)
+        exists = keys.join(before.select(*spec.key), list(spec.key), "left_semi").count()
+    return {"exists": exists, "inserted": inserted, "repeated": valid - inserted - exists}
+
+
+def _audit_rows(spark: SparkSession, table: str, outcomes: Mapping[str, int]) -> DataFrame:
+    rows = [(table, outcome, count) for outcome, count in outcomes.items() if count]
+    return spark.createDataFrame(rows, _AUDIT).coalesce(1)
+
+
 def audit_of(tables: StarTables) -> DataFrame:
     """Row counts of all stored batches as (table_name, outcome, row_count)."""
     spark = tables.spark
-    schema = "table_name string, outcome string, row_count long"
     parts = [
-        spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+        spark.read.schema(_AUDIT).option("recursiveFileLookup", True).parquet(path)
         for path in (f"{tables.root}/_audit/{t}" for t in TABLES)
         if path_exists(spark, path)
     ]
     if not parts:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], _AUDIT)
     rows = reduce(DataFrame.unionByName, parts)
     return rows.groupBy("table_name", "outcome").agg(F.sum("row_count").alias("row_count"))
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridstats.operators.ids import allocate_ids
-from gridstats.operators.merge import upsert_by_key
+from gridstats.operators.merge import merge_audit, upsert_by_key
 from gridstats.plans import flatten
 from gridstats.plans.loads import (
     LOADS,
@@ -309,6 +309,36 @@ def test_writers_do_not_replace_each_other(spark):
     assert tables.last_batch("driverDim") == 1
 
 
+@pytest.mark.parametrize("upsert", [False, True])
+def test_batch_counts_equal_the_audit(spark, upsert):
+    """Counts taken while writing are those of the audit query; plain new rows take no job for them."""
+    tables, load = StarTables(spark, scratch_path(spark, "star")), LOADS["driverDim"]
+    wanted, jobs = {}, []
+    batches = [
+        docs(spark, drivers("a", "b", "c")),
+        docs(spark, drivers("d", "e")),
+        docs(spark, drivers("a", "e", "f", "f", "a", None), drivers(None)),
+        docs(spark, drivers("a")),
+        docs(spark, drivers()),
+    ]
+    for number, batch in enumerate(batches):
+        known = tables.before("driverDim", number).select("driverRef").toPandas()
+        target = spark.createDataFrame([(r,) for r in known["driverRef"]], "driverRef string")
+        for r in merge_audit(load.incoming(batch, "reference"), target, load.spec).collect():
+            wanted[r.outcome] = wanted.get(r.outcome, 0) + r.row_count
+        group = f"counted {upsert} {number}"
+        spark.sparkContext.setJobGroup(group, "one batch")
+        merge_batch(load, batch, tables, number, upsert=upsert)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+        spark.sparkContext.setJobGroup("rest", "other jobs")
+    if upsert:
+        wanted["updated"] = wanted.pop("exists")
+    lost = {r.outcome: r.row_count for r in audit_of(tables).collect()}
+    assert {k: lost[k] for k in wanted} == wanted and wanted["repeated"] >= 1
+    if not upsert:  # a batch of known or lost rows asks for them, one of new rows does not
+        assert jobs[1] < jobs[2]
+
+
 def test_faulty_documents_are_kept_and_counted(spark):
     tables = StarTables(spark, scratch_path(spark, "star"))
     broken = spark.createDataFrame([("{oops",)], "value string")
