@@ -78,6 +78,21 @@ _TEAM_STANDING = {
     "points_constructorstandings": f"{_PRICE} % 400",
 }
 
+# SQL text of columns over a customer and its nation. One id in 89 shares its names with the id
+# before it, one in 97 has no reference.
+_OWNER = "(c_custkey - if(c_custkey % 89 = 7, 1, 0))"
+_DRIVER = {
+    "driverId": "c_custkey",
+    "driverRef": f"if({_OWNER} % 97 = 50, NULL, concat('driver_', {_OWNER}))",
+    "forename": f"concat('Forename ', {_OWNER} % 13)",
+    "surname": f"concat('Surname ', {_OWNER})",
+    "dob": "date_add(DATE '1970-01-01', CAST(c_custkey % 10000 AS INT))",
+    "nationality": "n_name",
+    "code": "upper(substr(c_mktsegment, 1, 3))",
+    "number": "c_custkey % 100",
+    "url": "concat('http://drivers.test/', c_custkey)",
+}
+
 # SQL text of columns over an order line.
 PIT_CLOCK = (
     "concat('1', l_suppkey % 10, ':', lpad(l_partkey % 60, 2, '0'), ':',"
@@ -100,20 +115,25 @@ _LAP = {
     "position_laptimes": "l_suppkey % 20 + 1",
 }
 
+# Order lines of the wide file that one task joins at most, about.
+LINES_PER_TASK = 500_000
+
 
 def _as(columns: Mapping[str, str]) -> list[str]:
     return [f"{text} AS `{name}`" for name, text in columns.items()]
 
 
+def _cast(table: str, columns: Mapping[str, str]) -> dict[str, str]:
+    """The SQL text of every column of a star table, cast to its fixed type."""
+    return {
+        f.name: f"CAST({columns.get(f.name, f'`{f.name}`')} AS {f.dataType.simpleString()})"
+        for f in TABLES[table]
+    }
+
+
 def _typed(df: DataFrame, table: str, columns: Mapping[str, str]) -> DataFrame:
     """The columns of a star table, by the SQL text of each, in their fixed types."""
-    return df.selectExpr(
-        *[
-            f"CAST({columns.get(f.name, f'`{f.name}`')} AS {f.dataType.simpleString()})"
-            f" AS `{f.name}`"
-            for f in TABLES[table]
-        ]
-    )
+    return df.selectExpr(*_as(_cast(table, columns)))
 
 
 class Roles(Mapping[str, DataFrame]):
@@ -161,23 +181,10 @@ class Roles(Mapping[str, DataFrame]):
         return self.read("lineitem").join(self.orders(), F.expr("l_orderkey = o_orderkey"))
 
     def _drivers(self) -> DataFrame:
-        # one id in 89 shares its names with the id before it, one in 97 has no reference
-        owner = "(c_custkey - if(c_custkey % 89 = 7, 1, 0))"
-        columns = {
-            "driverId": "c_custkey",
-            "driverRef": f"if({owner} % 97 = 50, NULL, concat('driver_', {owner}))",
-            "forename": f"concat('Forename ', {owner} % 13)",
-            "surname": f"concat('Surname ', {owner})",
-            "dob": "date_add(DATE '1970-01-01', CAST(c_custkey % 10000 AS INT))",
-            "nationality": "n_name",
-            "code": "upper(substr(c_mktsegment, 1, 3))",
-            "number": "c_custkey % 100",
-            "url": "concat('http://drivers.test/', c_custkey)",
-        }
         customers = self.read("customer").join(
             self.read("nation"), F.expr("c_nationkey = n_nationkey")
         )
-        return _typed(customers, "driverDim", columns)
+        return _typed(customers, "driverDim", _DRIVER)
 
     def _constructors(self) -> DataFrame:
         columns = {
@@ -205,16 +212,12 @@ class Roles(Mapping[str, DataFrame]):
             "url_y": "concat('http://circuits.test/', n_nationkey)",
         }
         nations = self.read("nation").join(self.read("region"), F.expr("n_regionkey = r_regionkey"))
-        return _typed(nations, "circuitDim", columns)
+        return self._staged("circuits", lambda: _typed(nations, "circuitDim", columns))
 
     def _races(self) -> DataFrame:
-        """One race per order date, staged once per session.
+        """One race per order date."""
 
-        The calendar is tiny next to the orders it is drawn from; as a table its size is known, so
-        Spark can tell that a join with it needs no shuffle.
-        """
-        key = (scratch_dir(self.spark), self.folder)
-        if key not in _CALENDARS:
+        def calendar() -> DataFrame:
             columns = {
                 "raceId": "race_no",
                 "circuitId": "race_no % 25",
@@ -226,14 +229,38 @@ class Roles(Mapping[str, DataFrame]):
                 "url_x": "concat('http://races.test/', race_no)",
             }
             days = self.orders().select("day", "race_no").distinct()
-            _CALENDARS[key] = stage(_typed(days, "raceDim", columns), "races")
-        return _CALENDARS[key]
+            return _typed(days, "raceDim", columns)
+
+        return self._staged("races", calendar)
+
+    def _staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A small table, staged once per session.
+
+        It is tiny next to the orders it is drawn from; as a table its size is known, so Spark can
+        tell that a join with it needs no shuffle. Shuffled by such a key, the orders would land in
+        as many tasks as it has values.
+        """
+        key = (scratch_dir(self.spark), self.folder, name)
+        if key not in _STAGED:
+            _STAGED[key] = stage(build(), name)
+        return _STAGED[key]
 
     def _statuses(self) -> DataFrame:
-        columns = {"statusId": _STATUS, "status": _STATUS_TEXT}
-        return _typed(
-            self.read("orders").select("o_orderstatus").distinct(), "raceStatusDim", columns
-        )
+        def statuses() -> DataFrame:
+            columns = {"statusId": _STATUS, "status": _STATUS_TEXT}
+            found = self.read("orders").select("o_orderstatus").distinct()
+            return _typed(found, "raceStatusDim", columns)
+
+        return self._staged("statuses", statuses)
+
+    def teams_of_orders(self) -> DataFrame:
+        """The teams that orders name: few, however many there are."""
+
+        def teams() -> DataFrame:
+            named = self.read("orders").selectExpr(f"{_RESULT['constructorId']} AS constructorId")
+            return self["constructorDim"].join(named.distinct(), "constructorId", "left_semi")
+
+        return self._staged("teams", teams)
 
     def _results(self) -> DataFrame:
         return _typed(self.orders(), "raceResultsFact", _RESULT)
@@ -290,26 +317,36 @@ class Roles(Mapping[str, DataFrame]):
         Surname and circuit location change from row to row of one id, so that keeping the first
         row matters; a few numbers are unreadable on purpose.
         """
-        driver = self["driverDim"].withColumnRenamed("number", "number_driver")
-        per_order = {
+        columns = {
+            "l_orderkey": "l_orderkey",
             **_DRIVER_STANDING,
             **_TEAM_STANDING,
             **_RESULT,
-            "_key": "o_orderkey",
+            **_STOP,
+            **_LAP,
+            **{
+                {"number": "number_driver"}.get(name, name): text
+                for name, text in _cast("driverDim", _DRIVER).items()
+            },
         }
-        per_line = {"_key": "l_orderkey", "l_orderkey": "l_orderkey", **_STOP, **_LAP}
+        # only the given columns are shuffled; the texts are made of them behind the last shuffle,
+        # and what is joined there is small
+        customers = self.read("customer").drop("c_name")
+        orders = self.orders().join(customers, F.expr("o_custkey = c_custkey"))
         # the given file is one row group, hence one task; what follows is the work of many
-        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        lines = self.read("lineitem").selectExpr(*_as(per_line)).repartition(tasks, "_key")
-        orders = self.orders().selectExpr(*_as(per_order))
+        lines = self.read("lineitem")
+        least = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(least, lines.count() // LINES_PER_TASK + 1)
         rows = (
-            lines.join(orders, "_key")
+            lines.repartition(tasks, "l_orderkey")
+            .join(orders, F.expr("l_orderkey = o_orderkey"))
+            .join(self.read("nation"), F.expr("c_nationkey = n_nationkey"))
+            .selectExpr(*_as(columns))
             .join(self["raceDim"], "raceId")
             .join(self["freePracticeDim"], "raceId")
             .join(self["circuitDim"], "circuitId")
             .join(self["raceStatusDim"], "statusId")
-            .join(self["constructorDim"], "constructorId")
-            .join(driver, "driverId")
+            .join(self.teams_of_orders(), "constructorId")
         )
         changed = {
             ORDER_COLUMN: "l_orderkey * 10 + lap",
@@ -334,4 +371,4 @@ class Roles(Mapping[str, DataFrame]):
         )
 
 
-_CALENDARS: dict[tuple[str, str], DataFrame] = {}
+_STAGED: dict[tuple[str, str, str], DataFrame] = {}
