@@ -89,10 +89,13 @@ def _field_count(first: str) -> Column:
     return F.regexp_count(plain, F.lit(",")) + 1
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A header and one file per partition; null is written as ``\\N``."""
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """A header and one file per partition; null is written as ``\\N``.
+
+    A compressed file is read by one task, so a large table should come in many partitions.
+    """
     writer = df.write.option("header", True).option("nullValue", "\\N").option("emptyValue", "")
-    writer.option("escape", '"').csv(path)
+    writer.option("escape", '"').option("compression", compression).csv(path)
 
 
 def replace_null_tokens(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

@@ -112,7 +112,8 @@ def register_views(spark: SparkSession, folder: str) -> DataFrame:
 def scan_csv_clean(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "wide-csv")
     wide = Roles(spark, folder).wide_text()
-    csv.write_csv(wide.select(*sorted(wide.columns, key=lambda c: c[::-1])), path)
+    turned = wide.select(*sorted(wide.columns, key=lambda c: c[::-1]))
+    csv.write_csv(turned, path, compression="gzip")
     return csv.clean_wide(csv.read_wide_csv(spark, path))
 
 
@@ -131,9 +132,10 @@ def scan_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
     )
     # one text column named as the header: its values are whole lines already
     lines = wide.where(~broken).select(planted.alias(",".join(wide.columns)))
-    lines.write.options(header=True, sep="\u0001", quote="\u0000").csv(paths[0])
+    plain = {"header": True, "sep": "\u0001", "quote": "\u0000", "compression": "gzip"}
+    lines.write.options(**plain).csv(paths[0])
     surname = F.regexp_replace("surname", " ", "\n")
-    csv.write_csv(wide.where(broken).withColumn("surname", surname), paths[1])
+    csv.write_csv(wide.where(broken).withColumn("surname", surname), paths[1], compression="gzip")
     rows = csv.read_wide_csv(spark, paths, multi_line=True)
     rejects = csv.wide_csv_rejects(spark, paths, multi_line=True)
     return rows.unionByName(rejects, allowMissingColumns=True)
