@@ -85,8 +85,9 @@ def merge_new(
     """
     rows = attach_parents(incoming, spec, parents or {}).where(F.col(REASON).isNull())
     if spec.key:
-        rows = first_per_key(rows, spec.key, spec.order_by, null_keys_match=False)
+        # known keys go first: that join deals rows by key, and the first per key is found there
         rows = rows.join(target.select(*spec.key), list(spec.key), "left_anti")
+        rows = first_per_key(rows, spec.key, spec.order_by, null_keys_match=False)
     if spec.id_column:
         rows = allocate_ids(
             rows.drop(spec.id_column),
@@ -166,15 +167,12 @@ def merge_audit(
         complete = F.lit(True)
         for part in spec.key:
             complete = complete & F.col(part).isNotNull()
-        per_key = (
-            valid.select(*spec.key, complete.alias("_complete"))
-            .groupBy(*spec.key, "_complete")
-            .agg(F.count(F.lit(1)).alias("_n"))
-        )
+        # dealt by the key alone, as the join with the known keys is
+        per_key = valid.groupBy(*spec.key).agg(F.count(F.lit(1)).alias("_n"))
         known = target.select(*spec.key).distinct().withColumn("_known", F.lit(True))
         totals = (
             per_key.join(known, list(spec.key), "left")
-            .groupBy("_complete", F.coalesce("_known", F.lit(False)).alias("_known"))
+            .groupBy(complete.alias("_complete"), F.coalesce("_known", F.lit(False)).alias("_known"))
             .agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_keys"))
         )
         new_keys = F.when(F.col("_complete"), F.col("_keys")).otherwise(F.col("_rows"))

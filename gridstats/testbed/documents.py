@@ -157,7 +157,7 @@ def _result_races(roles: Roles) -> tuple[DataFrame, Column]:
         roles["raceResultsFact"]
         .join(roles["raceDim"].select("raceId", F.col("date").alias("day")), "raceId")
         .join(roles["raceStatusDim"], "statusId")
-        .join(roles["constructorDim"].select("constructorId", "constructorRef"), "constructorId")
+        .join(roles.teams_of_orders().select("constructorId", "constructorRef"), "constructorId")
         .join(_references(roles), "driverId")
         .withColumn("o_orderkey", F.col("resultId"))
     )
@@ -183,9 +183,14 @@ def _result_races(roles: Roles) -> tuple[DataFrame, Column]:
 
 
 def _orders_with_lines(roles: Roles, item: Column, name: str) -> DataFrame:
-    """Every order with its lines as a list; an order's lines are few."""
+    """Every order with its lines as a list; an order's lines are few.
+
+    Orders get their driver before they meet their lines, so the lines are shuffled once.
+    """
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    lines = roles.lines().join(_references(roles), F.col("o_custkey") == F.col("driverId"))
+    orders = roles.orders().select("o_orderkey", "o_custkey", "day")
+    named = orders.join(_references(roles), F.col("o_custkey") == F.col("driverId"))
+    lines = roles.read("lineitem").join(named, F.expr("l_orderkey = o_orderkey"))
     return lines.groupBy("o_orderkey", "day", "ref").agg(_list_of(item, *order).alias(name))
 
 
@@ -238,7 +243,7 @@ def driver_standings_documents(roles: Roles) -> DataFrame:
 
 def constructor_standings_documents(roles: Roles) -> DataFrame:
     """Every eleventh document has an empty standings list."""
-    refs = roles["constructorDim"].select("constructorId", "constructorRef")
+    refs = roles.teams_of_orders().select("constructorId", "constructorRef")
     rows = roles["constructorStandingsDim"].join(refs, "constructorId")
     item = F.struct(
         _text("position_constructorstandings").alias("position"),

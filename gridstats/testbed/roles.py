@@ -115,7 +115,7 @@ _LAP = {
     "position_laptimes": "l_suppkey % 20 + 1",
 }
 
-# Order lines of the wide file that one task joins at most, about.
+# Order lines that one task has at most, about.
 LINES_PER_TASK = 500_000
 
 
@@ -176,6 +176,10 @@ class Roles(Mapping[str, DataFrame]):
     def orders(self) -> DataFrame:
         return self.read("orders").selectExpr("*", f"{_DAY} AS day", f"{_RACE} AS race_no")
 
+    def tasks(self, least: int) -> int:
+        """How many tasks all order lines are dealt to; the row count is read off the file's foot."""
+        return max(least, self.read("lineitem").count() // LINES_PER_TASK + 1)
+
     def lines(self) -> DataFrame:
         """Every order line with its order."""
         return self.read("lineitem").join(self.orders(), F.expr("l_orderkey = o_orderkey"))
@@ -335,10 +339,9 @@ class Roles(Mapping[str, DataFrame]):
         orders = self.orders().join(customers, F.expr("o_custkey = c_custkey"))
         # the given file is one row group, hence one task; what follows is the work of many
         lines = self.read("lineitem")
-        least = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        tasks = max(least, lines.count() // LINES_PER_TASK + 1)
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         rows = (
-            lines.repartition(tasks, "l_orderkey")
+            lines.repartition(self.tasks(tasks), "l_orderkey")
             .join(orders, F.expr("l_orderkey = o_orderkey"))
             .join(self.read("nation"), F.expr("c_nationkey = n_nationkey"))
             .selectExpr(*_as(columns))

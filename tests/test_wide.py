@@ -3,6 +3,7 @@
 import os
 import re
 
+from gridstats.operators.merge import MergeSpec, merge_new
 from gridstats.sources import csv
 from gridstats.testbed.roles import LINES_PER_TASK, Roles
 
@@ -33,3 +34,20 @@ def test_wide_csv_is_landed_compressed_and_read_back(spark, tmp_path):
     parts = [f for f in os.listdir(path) if f.startswith("part-")]
     assert parts and all(f.endswith(".csv.gz") for f in parts)
     assert csv.read_wide_csv(spark, path).count() == wide.count()
+
+
+def test_a_merge_shuffles_incoming_rows_by_key_once(spark):
+    spec = MergeSpec("lapsDim", ("raceId", "lap"), ("_seq",), key=("raceId", "lap"))
+    rows = [(1, 1, 0), (1, 1, 1), (1, 2, 2), (2, 1, 3), (None, 1, 4), (None, 1, 5)]
+    incoming = spark.createDataFrame(rows, "raceId long, lap int, _seq int")
+    target = spark.createDataFrame([(1, 2)], "raceId long, lap int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_new(incoming, target, spec)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert sorted(map(str, map(tuple, merged.collect()))) == sorted(
+            ["(1, 1)", "(2, 1)", "(None, 1)", "(None, 1)"]
+        )
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
