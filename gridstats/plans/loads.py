@@ -25,7 +25,7 @@ from ..operators.merge import (
     merge_upsert,
 )
 from ..schemas import TABLES
-from ..session import temporary_stages
+from ..session import TEXTS, stage, temporary_stages
 from ..sources.documents import (
     SEQ,
     document_faults,
@@ -483,28 +483,29 @@ def merge_batch(
     if waiting is not None:
         again = waiting.withColumn(REASON, F.lit(None).cast("string"))
         incoming = incoming.unionByName(again.select(*incoming.columns))
-    # parents are looked up once, for the rows, the rejects and the counts
-    found = attach_parents(incoming, spec, tables).persist()
-    alone = replace(spec, lookups=())
-    keys = found.where(F.col(REASON).isNull()).select(*spec.key) if spec.key else None
-    before = tables.before(table, batch, writer, keys)
+    with temporary_stages(tables.spark):
+        # parents are looked up once, for the rows, the rejects and the counts. Staged, the arrival
+        # places, which repeat a file's name in every row, take next to no room.
+        seen = Observation()
+        counted = attach_parents(incoming, spec, tables).observe(
+            seen, F.count_if(F.col(REASON).isNull()).alias("valid")
+        )
+        found = stage(counted, "found", compression="zstd")
+        alone = replace(spec, lookups=())
+        keys = found.where(F.col(REASON).isNull()).select(*spec.key) if spec.key else None
+        before = tables.before(table, batch, writer, keys)
 
-    def lease(count: int) -> int:
-        return tables.manifest(table).lease_ids(writer, batch, count)
+        def lease(count: int) -> int:
+            return tables.manifest(table).lease_ids(writer, batch, count)
 
-    try:
-        with temporary_stages(tables.spark):
-            if upsert:
-                tables.rewrite(
-                    table, spec.key, keys, lambda t: merge_upsert(found, t, alone, lease), batch, writer
-                )
-            else:
-                rows = merge_new(found, before, alone, start=lease)
-                tables.write_batch(table, rows, batch, writer, spec.key)
-        seen = Observation()
-        # the filter stays above the count, and nothing is shuffled between it and the write
-        counted = found.observe(seen, F.count_if(F.col(REASON).isNull()).alias("valid"))
-        misses = counted.where(F.col(REASON).isNotNull()).select(*incoming.columns)
+        if upsert:
+            tables.rewrite(
+                table, spec.key, keys, lambda t: merge_upsert(found, t, alone, lease), batch, writer
+            )
+        else:
+            rows = merge_new(found, before, alone, start=lease)
+            tables.write_batch(table, rows, batch, writer, spec.key)
+        misses = found.where(F.col(REASON).isNotNull()).select(*incoming.columns)
         lost = _write_counted(misses, tables.place(f"_rejects/{table}", batch, writer))
         faulty = _write_counted(_faults(load, docs, form), tables.place(f"_faults/{table}", batch, writer))
         if upsert:
@@ -518,9 +519,7 @@ def merge_batch(
         _audit_rows(tables.spark, table, outcomes).write.mode("overwrite").parquet(
             tables.place(f"_audit/{table}", batch, writer)
         )
-        tables.settle(table, writer, batch)
-    finally:
-        found.unpersist()
+    tables.settle(table, writer, batch)
 
 
 _AUDIT = "table_name string, outcome string, row_count long"
@@ -552,7 +551,12 @@ def _outcomes(
 
 def _audit_rows(spark: SparkSession, table: str, outcomes: Mapping[str, int]) -> DataFrame:
     rows = [(table, outcome, count) for outcome, count in outcomes.items() if count]
-    return spark.createDataFrame(rows, _AUDIT).coalesce(1)
+    if not rows:
+        return spark.createDataFrame([], _AUDIT).coalesce(1)
+    # one row per outcome, made of literals: no Python worker is started for them
+    listed = F.array(*[F.struct(*[F.lit(v) for v in row]) for row in rows])
+    named = listed.cast("array<struct<table_name: string, outcome: string, row_count: bigint>>")
+    return spark.range(1, numPartitions=1).select(F.inline(named))
 
 
 def audit_of(tables: StarTables) -> DataFrame:
@@ -620,15 +624,18 @@ def merge_all(
             continue
         number = tables.last_batch(table) + 1 if batch is None else batch
         form = (forms or {}).get(load.source, "document")
-        merge_batch(
-            load,
-            documents[load.source],
-            tables,
-            number,
-            mode=mode,
-            form=form,
-            strict=strict,
-            upsert=table in upsert,
-        )
+        with temporary_stages(tables.spark):
+            # read for the rows and for the faults: what the documents come from is done once
+            docs = stage(documents[load.source], "documents", **TEXTS)
+            merge_batch(
+                load,
+                docs,
+                tables,
+                number,
+                mode=mode,
+                form=form,
+                strict=strict,
+                upsert=table in upsert,
+            )
         batches[table] = number
     return batches

@@ -252,3 +252,45 @@ def test_one_stream_fills_all_tables_in_any_order(spark):
         assert named_rows(tables) == expected
     lost = spark.read.option("recursiveFileLookup", True).parquet(f"{tables.root}/_faults/unknown_source")
     assert [r.source for r in lost.collect()] == ["weather"]
+
+
+def test_staged_messages_are_read_by_kind_alone(spark, monkeypatch):
+    """One kind's messages are read without those of the others, dealt to tasks as if alone."""
+    from gridstats.streaming import merge_stream as streams
+
+    season, seen = small_season(), {}
+
+    def held(load, rows, *rest, **more):
+        seen[load.source] = rows._jdf.queryExecution().executedPlan().toString()
+
+    tables, landing = StarTables(spark, scratch_path(spark, "star")), scratch_path(spark, "landing")
+    for source, value in season:
+        write_messages(spark.createDataFrame([(value,)], "value string"), source, landing, compression="gzip")
+    monkeypatch.setattr(streams, "merge_batch", held)
+    streams.merge_all_stream(
+        stream_messages(spark, landing), tables, scratch_path(spark, "offsets")
+    ).awaitTermination()
+    assert seen
+    for source, plan in seen.items():
+        filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert f"= {source})" in filters
+
+
+def test_a_batch_builds_its_documents_once(spark):
+    """What documents come from is done once, for the rows and for the faults."""
+    from pyspark.sql import functions as F
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(name):
+        made.add(1)
+        return '{"MRData": {"StatusTable": {"Status": [{"statusId": "1", "status": "%s"}]}}}' % name
+
+    rows = spark.range(3, numPartitions=1).select(
+        text(F.col("id").cast("string")).alias("value"), F.col("id").alias("_seq")
+    )
+    tables = StarTables(spark, scratch_path(spark, "star"))
+    merge_all({"status": rows}, tables)
+    assert tables["raceStatusDim"].count() == 3
+    assert made.value == 3
