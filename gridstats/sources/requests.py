@@ -12,6 +12,8 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
+from pyarrow import RecordBatch
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -22,6 +24,7 @@ Fetch = Callable[[int, int], Iterable[str]]
 
 _REQUEST = T.StructType([T.StructField(c, T.IntegerType()) for c in ("season", "round", "page")])
 _SCHEMA = T.StructType([T.StructField("value", T.StringType()), T.StructField(SEQ, _REQUEST)])
+PAGES_PER_BATCH = 1000  # pages that travel to Spark at a time
 
 
 class Requests(InputPartition):
@@ -38,11 +41,16 @@ class RequestReader(DataSourceReader):
     def partitions(self) -> list[Requests]:
         return self.plan
 
-    def read(self, partition: Requests) -> Iterator[tuple[str, tuple[int, int, int]]]:
+    def read(self, partition: Requests) -> Iterator[RecordBatch]:
         season, first, last = partition.value
         for number in range(first, last + 1):
-            for page, text in enumerate(self._documents(season, number)):
-                yield text, (season, number, page)
+            texts = self._documents(season, number)
+            for begin in range(0, len(texts), PAGES_PER_BATCH):
+                some = texts[begin : begin + PAGES_PER_BATCH]
+                pages = range(begin, begin + len(some))
+                place = [pa.array(c, pa.int32()) for c in ([season] * len(some), [number] * len(some), pages)]
+                asked = pa.StructArray.from_arrays(place, _REQUEST.names)
+                yield RecordBatch.from_arrays([pa.array(some, pa.string()), asked], _SCHEMA.names)
 
     def _documents(self, season: int, number: int) -> list[str]:
         """All pages of one request, or none: a call that breaks off gives no part of them."""

@@ -6,7 +6,7 @@ from collections import ChainMap
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyarrow.dataset import dataset, field
+from pyarrow.dataset import dataset
 from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ TEAM_YEAR = 1999
 SPLIT_RACE = 1096
 SPLIT_NATION = "NATION_2"
 SPLIT_COUNTRY = "C"
-# Rounds that one folder of landed pages holds.
+# Rounds that one task asks for.
 ROUNDS = 61
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,8 +151,9 @@ def scan_requests(spark: SparkSession, folder: str) -> DataFrame:
     """Results asked for by season and round, out of a folder that stands for the public API."""
     path = scratch_path(spark, "pages")
     roles = Roles(spark, folder)
-    pages = docs.results_pages(roles).withColumn("slice", F.floor(F.col("round") / ROUNDS))
-    pages.repartition("season", "slice").write.partitionBy("season", "slice").parquet(path)
+    # a round is a folder of its own: a request reads what it asks for and nothing else
+    pages = docs.results_pages(roles)
+    pages.repartition("season", "round").write.partitionBy("season", "round").parquet(path)
     ends = roles["raceDim"].agg(F.min("year"), F.max("year")).first()
     seasons = range(ends[0], ends[1] + 1)
     asked = read_requests(spark, _pages_in(path), seasons, 1, 366, rounds_per_task=ROUNDS)
@@ -162,11 +163,10 @@ def scan_requests(spark: SparkSession, folder: str) -> DataFrame:
 def _pages_in(path: str) -> Callable[[int, int], list[str]]:
     def fetch(season: int, number: int) -> list[str]:
         store, root = FileSystem.from_uri(path)
-        place = f"{root}/season={season}/slice={number // ROUNDS}"
+        place = f"{root}/season={season}/round={number}"
         if store.get_file_info(place).type == FileType.NotFound:
             return []
-        held = dataset(place, filesystem=store, format="parquet")
-        return held.to_table(["value"], filter=field("round") == number)["value"].to_pylist()
+        return dataset(place, filesystem=store, format="parquet").to_table(["value"])["value"].to_pylist()
 
     return fetch
 
