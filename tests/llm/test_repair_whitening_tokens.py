@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridstats.llm import conversations
+from gridstats.llm import conversations, token_ids
 from gridstats.llm.audit_chain import ROOT, Histories
 from gridstats.llm.conversations import (
     audit_conversations,
@@ -376,3 +376,62 @@ def test_token_files_equal_the_tokenizer(spark):
     assert spark.read.parquet(path).count() > 4
     write_token_files(docs.limit(0), path, vocabulary, end_id=2)
     assert read_token_files(spark, path).count() == 0
+
+
+def test_new_pieces_are_tokenised_together_and_once():
+    pytest.importorskip("tokenizers")
+    vocabulary = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    encoder = _Encoder(vocabulary)
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts, self.chars = tokenizer, 0, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            self.chars += sum(map(len, texts))
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    plain = encoder.tokenizer
+    encoder.tokenizer = Counting(plain)
+    words = ["".join(w) for w in itertools.product("abcé", repeat=5)]
+    texts = [" ".join(words), ", ".join(words) + ".", "\n".join(words), "(" + ") (".join(words) + ")"]
+    coded = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert encoder(texts) == coded
+    assert encoder.tokenizer.texts < 30  # not one call a word
+    assert encoder.tokenizer.chars < 16 * len(words)  # a word with and without a space, beside whatever sign
+
+
+def test_pieces_beside_signs_and_wide_characters(monkeypatch):
+    tokenizers = pytest.importorskip("tokenizers")
+    vocabulary = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    encode = tokenizers.Tokenizer.from_file(vocabulary)
+    encode.encode_special_tokens = True
+    rnd = random.Random(8)
+    parts = [" ", "  ", "\n", "\n\n", "\t", "\x00", "\x1c", "\x7f", "\x85", "\xa0", "\u1680", "\u180e", "\u2003", "\u200b"]
+    parts += ["\u2028", "\u202f", "\u205f", "\u3000", "\u0301", "a", "é", "ł", "Ж", "×", "÷", "ª", "²", "7", "'", "''", "'s"]
+    parts += ["'S", "'re", "’s", ".", "..", ",", "-", "(", "|", "ひ", "α", "the"]
+    by_piece = _Encoder(vocabulary)
+    for room, call in ((1 << 20, 1 << 16), (50, 1 << 16), (500, 8)):
+        monkeypatch.setattr(token_ids, "KNOWN_PIECES", room)
+        monkeypatch.setattr(token_ids, "_CALL_BYTES", call)
+        texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 20))) for _ in range(3000)]
+        whole = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encode.encode_batch(texts, add_special_tokens=False)]
+        assert by_piece(texts) == whole
+    assert by_piece([]) == [] and by_piece(["", ""]) == [b"", b""]
+
+
+def test_blocks_start_from_what_the_header_tells():
+    rng = np.random.default_rng(9)
+    words = [rng.integers(0, 400, rng.integers(1, 5)).tolist() for _ in range(60)]
+    ids = np.array([i for _ in range(3000) for i in words[min(int(rng.exponential(12)), 59)]])
+    image = pack([1], [len(ids)], ids, 50257, block=64)
+    assert unpack(image)[2].tolist() == ids.tolist()
+    assert len(image) * 8 < 7 * len(ids)
+
+
+def test_many_ids_round_trip():
+    rng = np.random.default_rng(10)
+    for ids in (np.minimum(rng.zipf(1.2, 1_300_001) - 1, 60_000), np.full(1_100_000, 3), rng.integers(0, 1 << 19, 70_000)):
+        image = pack([1], [len(ids)], ids.astype(np.int64), 1 << 19)
+        assert np.array_equal(unpack(image)[2], ids)
