@@ -45,10 +45,10 @@ def read_wide_csv(
         text = F.concat(F.lit(f"more than {len(names)} fields in "), LINE)
         rows = rows.where(F.when(long, F.raise_error(text).cast("boolean")).otherwise(True))
     else:
-        rows = rows.where(~long)
+        rows = rows.where(~F.exists(F.array(_field_count(names[0])), lambda n: n > len(names)))
     if ORDER_COLUMN in wanted and ORDER_COLUMN not in names:
         rows = rows.withColumn(ORDER_COLUMN, F.monotonically_increasing_id().cast("string"))
-    return rows.select(*[f"`{c}`" for c in wanted])
+    return select_apart(rows, {c: f"`{c}`" for c in wanted})
 
 
 def wide_csv_rejects(
@@ -111,9 +111,18 @@ def coerce_numeric(df: DataFrame, columns: Iterable[str] = COERCED_COLUMNS) -> D
 
 def _each_column(df: DataFrame, readers: Mapping[str, Callable[[str], str]]) -> DataFrame:
     quoted = {c: f"`{c}`" for c in df.columns}
-    return df.selectExpr(
-        *[f"{readers[c](q)} AS {q}" if c in readers else q for c, q in quoted.items()]
-    )
+    return select_apart(df, {c: readers[c](q) if c in readers else q for c, q in quoted.items()})
+
+
+def select_apart(df: DataFrame, texts: Mapping[str, str]) -> DataFrame:
+    """Many columns by the SQL text of each, compiled apart from the steps before.
+
+    A lambda keeps a projection out of whole-stage code. There so many columns are one method that is
+    too long for the JIT compiler, and all that is in it is interpreted.
+    """
+    *_, last = texts
+    held = {**texts, last: f"transform(array({texts[last]}), v -> v)[0]"}
+    return df.selectExpr(*[f"{text} AS `{c}`" for c, text in held.items()])
 
 
 def drop_columns(df: DataFrame, columns: Iterable[str] = DROPPED_COLUMNS) -> DataFrame:
@@ -134,4 +143,6 @@ def clean_wide(text: DataFrame) -> DataFrame:
     }
     kept = [c for c in text.columns if c not in DROPPED_COLUMNS]
     typed = {c: readers[t] for c, t in wide_types().items() if t in readers}
-    return _each_column(replace_null_tokens(text.select(*kept)), typed)
+    texts = {n: null_if_token for n, t in text.dtypes if t == "string"}
+    # in one projection: no reader takes a token for a value
+    return _each_column(text.select(*kept), {**texts, **typed})

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import DROPPED_COLUMNS, ORDER_COLUMN, TABLES, wide_types
 from ..session import scratch_dir, stage
+from ..sources.csv import select_apart
 
 # The columns of the test tables that the roles are drawn from.
 _INPUTS = {
@@ -322,29 +323,25 @@ class Roles(Mapping[str, DataFrame]):
         row matters; a few numbers are unreadable on purpose.
         """
         columns = {
-            "l_orderkey": "l_orderkey",
+            "l_orderkey": "o_orderkey",
             **_DRIVER_STANDING,
             **_TEAM_STANDING,
             **_RESULT,
-            **_STOP,
-            **_LAP,
             **{
                 {"number": "number_driver"}.get(name, name): text
                 for name, text in _cast("driverDim", _DRIVER).items()
             },
         }
-        # only the given columns are shuffled; the texts are made of them behind the last shuffle,
-        # and what is joined there is small
+        # the given file is one row group, hence one task; what follows is the work of many. Only the
+        # given columns are shuffled; behind the shuffle an order's texts are made once for its lines
+        tasks = self.tasks(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         customers = self.read("customer").drop("c_name")
-        orders = self.orders().join(customers, F.expr("o_custkey = c_custkey"))
-        # the given file is one row group, hence one task; what follows is the work of many
-        lines = self.read("lineitem")
-        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        rows = (
-            lines.repartition(self.tasks(tasks), "l_orderkey")
-            .join(orders, F.expr("l_orderkey = o_orderkey"))
+        orders = (
+            self.orders()
+            .join(customers, F.expr("o_custkey = c_custkey"))
+            .repartition(tasks, "o_orderkey")
             .join(self.read("nation"), F.expr("c_nationkey = n_nationkey"))
-            .selectExpr(*_as(columns))
+            .selectExpr("o_orderkey", *_as(columns))
             .join(self["raceDim"], "raceId")
             .join(self["freePracticeDim"], "raceId")
             .join(self["circuitDim"], "circuitId")
@@ -352,25 +349,38 @@ class Roles(Mapping[str, DataFrame]):
             .join(self.teams_of_orders(), "constructorId")
         )
         changed = {
-            ORDER_COLUMN: "l_orderkey * 10 + lap",
             "surname": "concat(surname, if(l_orderkey % 3 = 0, ' jr', ''))",
             "location": "concat(location, ' ', l_orderkey % 4)",
             "number": "number_driver",
             "alt": "CASE circuitId % 5 WHEN 1 THEN 'abc' WHEN 2 THEN '1d' ELSE string(alt) END",
-            "duration": "if(stop = 6, '1:02.3', string(duration))",
             "sprint_date": "if(raceId % 5 = 0, date_sub(date, 1), NULL)",
             "sprint_time": "if(raceId % 5 = 0, '11:00:00', NULL)",
             "quali_date": "if(raceId % 5 = 0, NULL, date_sub(date, 1))",
             "quali_time": "if(raceId % 5 = 0, NULL, concat(lpad(raceId % 24, 2, '0'), ':45:00'))",
             "position": "if(positionOrder <= 10, positionOrder, NULL)",
-            "milliseconds": "if(positionOrder <= 10, milliseconds_laptimes, NULL)",
             **{c: "'x'" for c in DROPPED_COLUMNS},
         }
-        return rows.selectExpr(
-            *[
-                f"coalesce(string({changed.get(c, f'`{c}`')}), '\\\\N') AS `{c}`"
-                for c in wide_types()
-            ]
+        by_line = {
+            **{c: f"`{c}`" for c in (*_STOP, *_LAP)},
+            ORDER_COLUMN: "o_orderkey * 10 + lap",
+            "duration": "if(stop = 6, '1:02.3', string(duration))",
+            "milliseconds": "if(positionOrder <= 10, milliseconds_laptimes, NULL)",
+        }
+
+        def text(column: str) -> str:
+            return f"coalesce(string({column}), '\\\\N')"
+
+        told = [c for c in wide_types() if c not in by_line]
+        texts = ", ".join(f"{text(changed.get(c, f'`{c}`'))} AS `{c}`" for c in told)
+        # one column on its way through the join
+        columns = ("o_orderkey", f"struct({texts})", "positionOrder")
+        orders = select_apart(orders, dict(zip(("o_orderkey", "_order", "positionOrder"), columns)))
+        lines = self.read("lineitem").repartition(tasks, "l_orderkey")
+        rows = orders.join(lines, F.expr("o_orderkey = l_orderkey")).selectExpr(
+            "o_orderkey", "positionOrder", "_order", *_as({**_STOP, **_LAP})
+        )
+        return select_apart(
+            rows, {c: text(by_line[c]) if c in by_line else f"_order.`{c}`" for c in wide_types()}
         )
 
 
