@@ -85,8 +85,9 @@ def _field_count(first: str) -> Column:
     makes a null test on ``_line`` before it fills it, hence no such test.
     """
     line = F.coalesce(LINE, F.substring(f"`{first}`", 1, 0), F.lit(""))
-    plain = F.regexp_replace(line, r'(^|,)"[^"]*+(?:""[^"]*+)*+"', "$1")
-    return F.regexp_count(plain, F.lit(",")) + 1
+    quoted = F.regexp_replace(line, r'(^|,)"[^"]*+(?:""[^"]*+)*+"', "$1")
+    plain = F.when(F.contains(line, F.lit('"')), quoted).otherwise(line)
+    return F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(","))) + 1
 
 
 def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:

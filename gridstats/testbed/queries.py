@@ -122,14 +122,19 @@ def scan_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
     wide = Roles(spark, folder).wide_text()
     broken = F.col("lap") == "1"
     paths = [scratch_path(spark, "wide-lines"), scratch_path(spark, "wide-broken")]
-    line = F.concat_ws(",", *[F.col(f"`{c}`") for c in wide.columns])
     seventh = F.col("resultId").cast("long") % 7
-    planted = (
-        F.when(seventh == 3, F.concat(line, F.lit(",more")))
-        .when(seventh == 5, F.concat(line, F.lit(",,")))
-        .when(seventh == 6, F.regexp_replace(line, ",[^,]*$", ""))
-        .otherwise(line)
-    )
+
+    def plant(line: Column) -> Column:
+        return (
+            F.when(seventh == 3, F.concat(line, F.lit(",more")))
+            .when(seventh == 5, F.concat(line, F.lit(",,")))
+            .when(seventh == 6, F.regexp_replace(line, ",[^,]*$", ""))
+            .otherwise(line)
+        )
+
+    # a line is put together once, outside of whole-stage code: that many columns are too much for it
+    line = F.concat_ws(",", *[F.col(f"`{c}`") for c in wide.columns])
+    planted = F.transform(F.array(line), plant)[0]
     # one text column named as the header: its values are whole lines already
     lines = wide.where(~broken).select(planted.alias(",".join(wide.columns)))
     plain = {"header": True, "sep": "\u0001", "quote": "\u0000", "compression": "gzip"}

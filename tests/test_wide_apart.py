@@ -39,3 +39,14 @@ def test_texts_of_an_order_are_made_before_its_lines_are_joined(spark):
     made = next(i for i, line in enumerate(lines) if "Project" in line and "struct(" in line)
     assert joined < made
     assert not any("concat(surname" in line for line in lines[:joined])
+
+
+def test_fields_of_uneven_lines_are_counted_without_making_them(spark):
+    path = scratch_path(spark, "uneven")
+    lines = ["a,b,c", "1,2,3,4", '"x,y",2,3,4', '1,"say ""a,b"", c",3,4,5', "1,2", '1,2,3,"",', 'u"v,w"x,2,3', "é,,,,,"]
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
+    rejects = csv.wide_csv_rejects(spark, path)
+    assert sorted((r.line, r.fields) for r in rejects.collect()) == sorted(
+        [(lines[1], 4), (lines[2], 4), (lines[3], 5), (lines[5], 5), (lines[6], 4), (lines[7], 6)]
+    )
+    assert "regexp_extract_all" not in plan_of(rejects)  # a text for every comma
